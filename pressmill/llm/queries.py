@@ -1,10 +1,11 @@
 """The queries of this subpackage by name, and SQL for those that SQL can express."""
 
-from . import line_dedup, mixing, substring_dedup, suffix_dedup
+from . import line_dedup, mixing, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op7_simhash_components": simhash.op7_simhash_components,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
