@@ -53,8 +53,8 @@ def source_targets(sizes: DataFrame, epochs_of_all: float = 1.5, max_epochs: flo
 
 
 def mix_sources(docs: DataFrame, epochs_of_all: float = 1.5, max_epochs: float = 2.0, weights=WEIGHTS, quality: Column | None = None, buckets: int = BUCKETS) -> DataFrame:
-    """All rows of docs with size, source_size, target and taken."""
-    taken = {"size", "source_size", "target", "taken", "_key", "_bucket", "_tie", "_turn", "_s"}
+    """All rows of docs with size, source_size, target, copies (how often the mix takes the row) and taken."""
+    taken = {"size", "source_size", "target", "copies", "taken", "before", "left", "epochs", "extra", "_key", "_bucket", "_tie", "_turn", "_s"}
     extra = [c for c in docs.columns if c not in taken]
     rows = docs.select(
         *extra, word_count(docs["text"]).alias("size"), sampling_key(docs["doc_id"], F.lit(1.0) if quality is None else quality).alias("_key"), F.xxhash64(docs["text"]).alias("_tie")
@@ -83,7 +83,8 @@ def mix_sources(docs: DataFrame, epochs_of_all: float = 1.5, max_epochs: float =
     # a document is in if the budget ends behind its middle, so that the last one lands as near as it can
     middle = F.col("before") + F.sum("size").over(running) - F.col("size") / 2
     edge = joined.where(inside).withColumn("extra", (middle <= F.col("left")).cast("long"))
-    return whole.unionByName(edge).select(*extra, "size", "source_size", "target", ((F.col("epochs") + F.col("extra")) * F.col("size")).alias("taken"))
+    copies = F.col("epochs") + F.col("extra")
+    return whole.unionByName(edge).select(*extra, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def op10_mix_sources(spark, sf_dir):
