@@ -32,7 +32,7 @@ BYTE_SYMBOLS = mixed(np.arange(1, 257, dtype=U) * U(0xD1342543DE82EF95))
 
 def _power(n: int, inverse: bool) -> np.ndarray:
     name = "inverse" if inverse else "straight"
-    if len(_powers.get(name, ())) < n:
+    if name not in _powers or len(_powers[name]) < n:
         base = np.full(max(n, 1 << 16), pow(_MULT, -1, 1 << 64) if inverse else _MULT, dtype=U)
         base[0] = 1
         _powers[name] = np.multiply.accumulate(base)
