@@ -1,11 +1,12 @@
 """The queries of this subpackage by name, and SQL for those that SQL can express."""
 
-from . import decontaminate, language, line_dedup, mixing, simhash, substring_dedup, suffix_dedup
+from . import decontaminate, katz, language, line_dedup, mixing, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_katz_scores": katz.op4_katz_scores,
     "op5_language_id": language.op5_language_id,
     "op7_simhash_components": simhash.op7_simhash_components,
     "op8_line_dedup": line_dedup.op8_line_dedup,
