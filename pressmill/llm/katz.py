@@ -253,8 +253,7 @@ def _score(order: int, buckets: int, model: Model):
 
 
 def _weights(table: pa.Table) -> pa.Table:
-    """Per document (row) the sum of the log weights of the contexts it backs off from."""
-    order = abs(table["n"][0].as_py())
+    """Per chunk (its first row) the documents that back off, and the sum of their contexts' log weights."""
     keys, loss, lower, asked = [], [], [], []
     for row, n, data in zip(table["row"].to_pylist(), table["n"].to_pylist(), table["data"].to_pylist()):
         size, width = int.from_bytes(data[:4], "little"), data[4]
@@ -273,9 +272,20 @@ def _weights(table: pa.Table) -> pa.Table:
         for row, own, docs in asked:
             per_doc = np.bincount(docs, weights=weight[np.searchsorted(keys, own)])
             some = np.unique(docs)
-            rows.append(row + some.astype(np.int64))
-            sums.append(per_doc[some])
-    return pa.table({"row": pa.array(np.concatenate(rows) if rows else [], pa.int64()), "n": pa.array([order] * sum(map(len, rows)), pa.int32()), "weight": pa.array(np.concatenate(sums) if sums else [], pa.float64())})
+            rows.append(row)
+            sums.append(len(some).to_bytes(4, "little") + some.astype(np.uint32).tobytes() + per_doc[some].tobytes())
+    return pa.table({"row": pa.array(rows, pa.int64()), "data": pa.array(sums, pa.binary())})
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """The weights of one chunk's documents, added up over all buckets."""
+    docs, sums = [np.zeros(0, dtype=np.uint32)], [np.zeros(0)]
+    for data in table["data"].to_pylist():
+        n = int.from_bytes(data[:4], "little")
+        docs.append(np.frombuffer(data, dtype=np.uint32, count=n, offset=4))
+        sums.append(np.frombuffer(data, dtype=float, offset=4 + 4 * n))
+    docs, which = np.unique(np.concatenate(docs), return_inverse=True)
+    return pa.table({"row": pa.array(table["row"][0].as_py() + docs.astype(np.int64)), "weight": pa.array(np.bincount(which, weights=np.concatenate(sums)))})
 
 
 def katz_scores(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
@@ -303,9 +313,9 @@ def katz_scores(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFr
         scored.where(F.col("bucket").isNotNull())
         .select("row", "bucket", "n", "data", F.abs("n").alias("level"))
         .groupBy("bucket", "level")
-        .applyInArrow(_weights, "row long, n int, weight double")
+        .applyInArrow(_weights, "row long, data binary")
     )
-    added = weights.groupBy("row").agg(F.sum("weight").alias("weight"))
+    added = weights.groupBy("row").applyInArrow(_added, "row long, weight double")
     rows = scored.where(F.col("bucket").isNull()).select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
     return rows.join(added, "row", "left").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), (F.col("score") + F.coalesce("weight", F.lit(0.0))).alias("score")
