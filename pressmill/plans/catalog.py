@@ -1,4 +1,7 @@
 """All queries by name, with hand-written SQL for those that SQL can express."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import url_queries
+
+_MODULES = (url_queries,)
+QUERIES: dict = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+SQL: dict = {k: v for m in _MODULES for k, v in m.SQL.items()}
