@@ -142,7 +142,7 @@ TOPIC_NAMES = {
     "international": "international",
 }
 #: Categories that get a feed.
-FEED_CATEGORIES = ["politic", "economic", "social", "international", "technology", "health", "culture"]
+FEED_CATEGORIES = ["politic", "economic", "social", "international", "health", "technology", "culture"]
 SHOPPING, ABOUT = ["guide", "test", "review", "best", "top"], ["about", "contact", "terms", "privacy"]
 KEPT_TYPES = ["news_article", "opinion_article"]
 MIN_ANALYSED, FEED_SIZE, FEED_THRESHOLD = 100, 10, 0.4

@@ -29,5 +29,7 @@ def agree(spark, sf_dir, query, sql):
     columns = [d[0] for d in want.description]
     assert sorted(got.columns) == sorted(columns)
     ours, theirs = rows_of(got.columns, got.collect()), rows_of(columns, want.fetchall())
+    for mine, other in zip(ours, theirs):
+        if mine != other:
+            raise AssertionError(f"{str(mine)[:600]} is not {str(other)[:600]}")
     assert len(ours) == len(theirs)
-    assert ours == theirs
