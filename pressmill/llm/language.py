@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -148,12 +149,16 @@ def detect_language(docs: DataFrame, sample: dict[str, list[str]]) -> DataFrame:
     frozen = tuple((lang, tuple(texts)) for lang, texts in sorted(sample.items()))
     taken = {"lang_pred", "score", "bits_per_letter", "_original", "_known"}
     extra = [c for c in docs.columns if c not in taken and c != "text"]
-    lowered = docs.select(*extra, F.when(docs["text"].rlike(r"\p{L}"), F.lower("text")).cast("binary").alias("text"), docs["text"].alias("_original"))
-    schema = lowered.drop("text", "_original").schema.add("text", "string").add("lang_pred", "string").add("score", "double").add("bits_per_letter", "double")
+    rows_in = docs.select(*extra, "text", F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)).alias("_known"))
+    schema = rows_in.drop("text", "_known").schema.add("text", "string").add("lang_pred", "string").add("score", "double").add("bits_per_letter", "double")
+
+    def lowered(batches):
+        for b in batches:
+            text = pc.if_else(b.column("_known"), pc.utf8_lower(b.column("text")), None)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in extra), b.column("text"), text, pa.nulls(b.num_rows, pa.int64())], names=[*extra, "_original", "text", "_none"])
 
     def run(batches):
-        batches = (pa.RecordBatch.from_arrays([*b.columns, pa.nulls(b.num_rows, pa.int64())], names=[*b.schema.names, "_none"]) for b in batches)
-        for _, data, offsets, rows in text_chunks(batches, "_none"):
+        for _, data, offsets, rows in text_chunks(lowered(batches), "_none"):
             known = np.asarray(rows.column("text").is_valid()) & bool(frozen)
             pred, score, rate = np.full(len(known), "und", dtype=object), np.zeros(len(known)), np.full(len(known), np.nan)
             if known.any():
@@ -167,7 +172,7 @@ def detect_language(docs: DataFrame, sample: dict[str, list[str]]) -> DataFrame:
             columns = [rows.column(k) for k in extra] + [rows.column("_original"), pa.array(pred, pa.string()), pa.array(score), pa.array(rate, pa.float64(), from_pandas=True)]
             yield pa.RecordBatch.from_arrays(columns, names=[*extra, "text", "lang_pred", "score", "bits_per_letter"])
 
-    return lowered.mapInArrow(run, schema)
+    return rows_in.mapInArrow(run, schema)
 
 
 def op5_language_id(spark, sf_dir):
