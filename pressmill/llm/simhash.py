@@ -28,16 +28,24 @@ BUDGET, BLOCKS = 4, 6
 CROWDED = 20_000
 
 
-def fingerprint(text: bytes, shingle: int = 4) -> int:
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 of each run of `shingle` words, repeats included; of fewer words, of all together; none of no words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     size = min(shingle, len(words))
     starts = [0, *(ends[: len(words) - size] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts, ends[size - 1 :].tolist())], dtype="<u8")
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts, ends[size - 1 :].tolist())], dtype="<u8")
+
+
+def fingerprint(text: bytes, shingle: int = 4, distinct: bool = False) -> int:
+    """Each bit is one if over half the shingles' hashes have it; distinct ones count once if so asked."""
+    hashes = shingle_hashes(text, shingle)
+    if distinct:
+        hashes = np.unique(hashes)
     counts = np.zeros(64, dtype=np.int64)
     for i in range(0, len(hashes), 8192):
         part = hashes[i : i + 8192]
@@ -45,13 +53,13 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, keep: tuple = ("doc_id",)) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 4, keep: tuple = ("doc_id",), distinct: bool = False) -> DataFrame:
     """The kept columns and fp, the fingerprint as a long."""
     rows = docs.select(*keep, F.coalesce(docs["text"], F.lit("")).cast("binary").alias("_text"))
 
     def run(batches):
         for batch in batches:
-            out = [fingerprint(t.as_py(), shingle) for t in batch.column("_text")]
+            out = [fingerprint(t.as_py(), shingle, distinct) for t in batch.column("_text")]
             fps = pa.array(np.array(out, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), fps], names=[*keep, "fp"])
 
@@ -122,14 +130,15 @@ class _Groups:
                 self.label = further
 
 
-def trie_links(turned: np.ndarray, starts: np.ndarray, stops: np.ndarray, top: np.ndarray, budget: int, groups: _Groups) -> None:
+def trie_links(turned: np.ndarray, starts: np.ndarray, stops: np.ndarray, top: np.ndarray, budget: int, groups: _Groups) -> np.ndarray:
     """Joins in `groups` all pairs within each range of `turned` that differ in `budget` bits or fewer.
 
-    Ranges are sorted and share their top bits. The frontier holds node pairs (two index ranges and
+    Returns for each entry the nearest one before it within the budget, or -1. Ranges are sorted and share their top bits. The frontier holds node pairs (two index ranges and
     the bits they differ in); small ones are compared outright, the rest go down one level.
     """
     a0, a1, b0, b1 = starts.copy(), stops.copy(), starts.copy(), stops.copy()
     depth, errors = top.copy(), np.zeros(len(starts), dtype=np.int64)
+    nearest = np.full(len(turned), 1 << 62, dtype=np.int64)  # bits apart above the entry's number
     while len(a0):
         small = ((a1 - a0) * (b1 - b0) <= 256) | (depth > 63)
         for lo in range(0, int(small.sum()), 4096):
@@ -139,11 +148,13 @@ def trie_links(turned: np.ndarray, starts: np.ndarray, stops: np.ndarray, top: n
             which = np.repeat(np.arange(len(at)), size)
             k = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
             x, y = a0[at][which] + k // wide[which], b0[at][which] + k % wide[which]
-            near = (x < y) & (_popcount(turned[x] ^ turned[y]) <= budget)
+            apart = _popcount(turned[x] ^ turned[y])
+            near = (x < y) & (apart <= budget)
             groups.join(x[near], y[near])
+            np.minimum.at(nearest, y[near], apart[near] << 40 | x[near])
         a0, a1, b0, b1, depth, errors = (v[~small] for v in (a0, a1, b0, b1, depth, errors))
         if not len(a0):
-            return
+            break
         bit = U(1) << (U(63) - depth.astype(U))
         am, bm = _lower_bound(turned, a0, a1, bit), _lower_bound(turned, b0, b1, bit)
         same = a0 == b0
@@ -158,6 +169,7 @@ def trie_links(turned: np.ndarray, starts: np.ndarray, stops: np.ndarray, top: n
         live = merged[5] & (merged[4] <= budget) & (merged[1] > merged[0]) & (merged[3] > merged[2])
         a0, a1, b0, b1, errors = (v[live] for v in merged[:5])
         depth = depths[live]
+    return np.where(nearest < 1 << 62, nearest & (1 << 40) - 1, -1)
 
 
 def _lower_bound(turned: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -173,7 +185,7 @@ def _lower_bound(turned: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.nda
         lo = np.where(open_ & ~one, mid + 1, lo)
 
 
-def _links(tops: list[int], budget: int):
+def _links(tops: list[int], budget: int, nearest: bool):
     def run(table: pa.Table) -> pa.Table:
         layout = table["layout"].to_numpy()
         group = table["group"].to_numpy()
@@ -186,15 +198,22 @@ def _links(tops: list[int], budget: int):
         stops = np.append(starts[1:], len(order))
         several = stops - starts > 1
         groups = _Groups(len(order))
-        trie_links(turned, starts[several], stops[several], np.array(tops)[layout[starts[several]]], budget, groups)
+        before = trie_links(turned, starts[several], stops[several], np.array(tops)[layout[starts[several]]], budget, groups)
         linked = np.flatnonzero(groups.label != np.arange(len(order)))
-        return pa.table({"a": pa.array(node[groups.label[linked]]), "b": pa.array(node[linked])})
+        a, b = groups.label[linked], linked
+        if nearest:
+            more = np.flatnonzero(before >= 0)
+            a, b = np.append(a, before[more]), np.append(b, more)
+        return pa.table({"a": pa.array(node[a]), "b": pa.array(node[b])})
 
     return run
 
 
-def similar_links(nodes: DataFrame, budget: int = BUDGET, blocks: int = BLOCKS, crowded: int = CROWDED) -> DataFrame:
-    """Links (a, b) that connect the nodes (node, fp) of distinct fingerprints with `budget` bits or fewer between them."""
+def similar_links(nodes: DataFrame, budget: int = BUDGET, blocks: int = BLOCKS, crowded: int = CROWDED, nearest: bool = False) -> DataFrame:
+    """Links (a, b) that connect the nodes (node, fp) of distinct fingerprints with `budget` bits or fewer between them.
+
+    nearest adds the nearest other node to each, for use where links are confirmed one by one.
+    """
     spark = nodes.sparkSession
     layouts = _layouts(blocks, budget)
     bits, tops = [x for x, _ in layouts], [n for _, n in layouts]
@@ -211,7 +230,7 @@ def similar_links(nodes: DataFrame, budget: int = BUDGET, blocks: int = BLOCKS,
     group = F.when(F.col("other") < 0, F.xxhash64("head")).otherwise(F.xxhash64("head", low, high))
     buckets = 4 * shuffle_partitions(spark)
     dealt = pairs.select("layout", group.alias("group"), "turned", "node", F.pmod(F.xxhash64("layout", group), F.lit(buckets)).alias("bucket"))
-    return dealt.groupBy("bucket").applyInArrow(_links(tops, budget), "a long, b long")
+    return dealt.groupBy("bucket").applyInArrow(_links(tops, budget, nearest), "a long, b long")
 
 
 def simhash_components(docs: DataFrame, shingle: int = 4, budget: int = BUDGET, blocks: int = BLOCKS) -> DataFrame:
@@ -225,6 +244,56 @@ def simhash_components(docs: DataFrame, shingle: int = 4, budget: int = BUDGET,
     return out.select(real("node").alias("doc_id"), "fp", real("component").alias("component"))
 
 
+def _sketches(texts: DataFrame, shingle: int) -> DataFrame:
+    """node, sketch: 32-bit hashes of the distinct shingles of each text, ascending."""
+
+    def run(batches):
+        for batch in batches:
+            made = [np.unique(shingle_hashes(t, shingle).astype(np.uint32)).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], names=["node", "sketch"])
+
+    return texts.select("node", F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(run, "node long, sketch binary")
+
+
+def _confirm(similarity: float):
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist()):
+                a, b = np.frombuffer(a, dtype=np.uint32), np.frombuffer(b, dtype=np.uint32)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(both >= similarity * (len(a) + len(b) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, feature: int = 2, budget: int = 8, blocks: int = 10) -> DataFrame:
+    """doc_id, component: a row for each row of docs; documents linked by a Jaccard similarity of their shingles.
+
+    Candidates come from fingerprints of the distinct runs of `feature` words, which differ in fewer bits than those
+    of longer shingles do for the same share of changed words. Each distinct text is linked with its nearest
+    and first candidates, and those links stay whose shingles are as similar as asked.
+    """
+    ids = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("node"), "text")
+    rows = stored(fingerprints(ids.withColumn("sig", F.xxhash64("text")), feature, ("node", "sig"), True))
+    texts = stored(rows.groupBy("fp", "sig").agg(F.min("node").alias("node")))
+    alike = stored(texts.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    found = similar_links(alike.select(F.col("first").alias("node"), "fp"), budget, blocks, nearest=True)
+    same = texts.join(alike.where("n > 1"), "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    pairs = stored(found.unionByName(same).distinct())
+    linked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    # rows that share a doc_id but not their text each have a sketch: a link is confirmed if any of them is
+    sketches = stored(_sketches(ids.join(linked, "node", "left_semi"), shingle))
+    of = lambda name: sketches.select(F.col("node").alias(name), F.col("sketch").alias(f"sketch_{name}"))
+    links = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(_confirm(similarity), "a long, b long")
+    groups = components(stored(links))
+    least = texts.join(groups, "node", "left").select(F.col("fp").alias("_fp"), F.col("sig").alias("_sig"), F.coalesce("component", "node").alias("component"))
+    out = rows.join(least, (rows["fp"] == F.col("_fp")) & (rows["sig"] == F.col("_sig")))
+    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    return out.select(real("node").alias("doc_id"), real("component").alias("component"))
+
+
 def op7_simhash_components(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return simhash_components(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pressmill.llm import decontaminate, language
-from pressmill.llm.simhash import fingerprint
+from pressmill.llm.simhash import near_copies
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -107,6 +107,26 @@ def test_decontamination_query_and_edges(spark, small):
     assert decontaminate.contaminated(docs, bench, block_chars=20).count() == 3
 
 
+def similar_pairs(texts, size=5, least=0.8):
+    sets = []
+    for t in texts:
+        words = t.lower().encode().split()
+        sets.append({tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))})
+    return [(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])]
+
+
+def test_near_copies_recall(spark, medium):
+    docs = spark.read.parquet(f"{medium}/documents.parquet").where("text is not null and text <> ''")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.component for r in near_copies(docs).collect()}
+    ids = sorted(rows)
+    groups = brute.classes(len(ids), similar_pairs([rows[i] for i in ids]))
+    want = {i: ids[c] for i, c in zip(ids, groups)}
+    found = [i for i in ids if want[i] != i and got[i] != i]
+    extra = [i for i in ids if want[i] == i and got[i] != i]
+    assert len(found) >= 0.95 * sum(want[i] != i for i in ids) and not extra
+
+
 @pytest.fixture(scope="module")
 def stages(spark, small, tmp_path_factory):
     folder = tmp_path_factory.mktemp("stages")
@@ -130,8 +150,7 @@ def test_pipeline_stages(spark, small, stages):
     assert set(after) == set(before)
     before, after = (texts(x) for x in stages["simhash_near_dedup"])
     ids = sorted(before)
-    fps = [fingerprint(before[i].encode(), corpus_pipeline.SHINGLE) for i in ids]
-    groups = brute.classes(len(ids), brute.linked(fps, corpus_pipeline.BUDGET))
+    groups = brute.classes(len(ids), similar_pairs([before[i] for i in ids]))
     assert set(after) == {ids[c] for c in groups}
     before, after = (texts(x) for x in stages["decontamination"])
     items = [decontaminate.normal(r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
