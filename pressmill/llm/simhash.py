@@ -284,7 +284,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, feat
     pairs = stored(found.unionByName(same).distinct())
     linked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     # rows that share a doc_id but not their text each have a sketch: a link is confirmed if any of them is
-    sketches = stored(_sketches(ids.join(linked, "node", "left_semi"), shingle))
+    sketches = stored(_sketches(ids.join(linked.hint("merge"), "node", "left_semi"), shingle))  # linked grows with docs
     of = lambda name: sketches.select(F.col("node").alias(name), F.col("sketch").alias(f"sketch_{name}"))
     links = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(_confirm(similarity), "a long, b long")
     groups = components(stored(links))
