@@ -12,6 +12,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import urls
 from ..functions.rx import contains_any
@@ -28,9 +29,7 @@ PAGE = "status int, content_type string, html string"
 
 def fetched(links: DataFrame, fetch: Fetcher) -> DataFrame:
     """links (url, ...) with status, content_type and html; null where the fetcher has nothing."""
-    schema = links.schema
-    for part in PAGE.split(", "):
-        schema = schema.add(*part.split())
+    schema = T.StructType([*links.schema, *T._parse_datatype_string(PAGE)])
 
     def run(batches):
         for batch in batches:

@@ -119,7 +119,7 @@ def archive_month(spark, path: str, archive: str, month: str) -> dict:
     files = hadoop(target).getFileSystem(spark._jsc.hadoopConfiguration())
     try:
         rows = spark.read.parquet(source)
-        size = sum(s.getLength() for s in files.listStatus(hadoop(source)))
+        size = files.getContentSummary(hadoop(source)).getLength()
         rows.write.option("compression", "zstd").mode("overwrite").parquet(target)
         n, kept = rows.count(), spark.read.parquet(target).count()
         if n != kept:
