@@ -58,3 +58,8 @@ def count_contained(text: Column, parts: list[str]) -> Column:
 
 def lines(text: Column) -> Column:
     return F.split(text, "\n")
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, however often the body names it; keeps plans small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .rx import FLAGS, IGNORE_CASE, any_of, capitalize, contains_any, count_contained, lines, strip, word_count, words
+from .rx import FLAGS, IGNORE_CASE, any_of, capitalize, contains_any, count_contained, let, lines, strip, word_count, words
 
 
 def text_language(text: Column, domain: Column | None = None) -> Column:
@@ -176,20 +176,18 @@ def topic(path: Column) -> Column:
     """Romanian topic name and score by keywords of a URL path."""
     kept = F.filter(F.split(F.btrim(path, F.lit("/")), "-"), lambda p: (p != "") & ~F.regexp_like(p, F.lit(r"(?U)^\d+\z")))
     prompt = F.lower(F.array_join(kept, " "))
-    name = F.coalesce(*(F.when(contains_any(prompt, own), name) for name, own in fixed.TOPICS), F.lit("general"))
-    return F.struct(name.alias("name"), F.when(name == "general", 0.5).otherwise(0.75).alias("score"))
+    name = let(prompt, lambda p: F.coalesce(*(F.when(contains_any(p, own), name) for name, own in fixed.TOPICS), F.lit("general")))
+    return let(name, lambda n: F.struct(n.alias("name"), F.when(n == "general", 0.5).otherwise(0.75).alias("score")))
 
 
 def topic_label(found: Column) -> Column:
-    return F.concat(F.lit("Domeniu: "), found["name"], F.lit(" (scor: "), F.format_string("%.2f", found["score"]), F.lit(")"))
+    return let(found, lambda x: F.concat(F.lit("Domeniu: "), x["name"], F.lit(" (scor: "), F.format_string("%.2f", x["score"]), F.lit(")")))
 
 
 def category(label: Column) -> Column:
     name = strip(F.regexp_extract(label, r"Domeniu:([^(]*)", 1))
-    out = F.lit("general")
-    for romanian, english in fixed.TOPIC_NAMES.items():
-        out = F.when(name == romanian, english).otherwise(out)
-    return out
+    names = F.create_map(*(F.lit(x) for pair in fixed.TOPIC_NAMES.items() for x in pair))
+    return F.coalesce(F.try_element_at(names, name), F.lit("general"))
 
 
 def content_type(text: Column) -> Column:

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
-from .rx import FLAGS, capitalize, first_contained
+from .rx import FLAGS, capitalize, first_contained, let
 
 _PARTS = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
@@ -50,26 +50,35 @@ def is_category_page(path: Column) -> Column:
     return F.regexp_like(clean, F.lit("(?iuUd)" + "|".join(fixed.CATEGORY_PAGE)))
 
 
-def skip_reason(url: Column, rules: Column | None = None) -> Column:
-    """Why a URL is left out, by the first test that says so; `passed all filters` otherwise.
-
-    rules: a struct with additional_skip_patterns, require_article_id, allow_no_id_pages, or null.
-    """
-    text, path = filter_text(url), F.lower(percent_decoded(part(url, "path")))
-    language = domain_language(F.lower(part(url, "netloc")))
+def _reason(url: Column, text: Column, path: Column, language: Column, rules: Column | None) -> Column:
     said = lambda p: F.lit(f"matches skip pattern: {p}")
-    tests = [F.when(url.isNull(), "error parsing URL"), first_contained(text, fixed.SKIP_COMMON, said)]
-    tests += [F.when(language == name, first_contained(text, parts, said)) for name, parts in fixed.SKIP_BY_LANGUAGE.items()]
+    by_language = lambda x: [F.when(x["language"] == name, first_contained(x["text"], parts, said)) for name, parts in fixed.SKIP_BY_LANGUAGE.items()]
+    listed = let(F.struct(text.alias("text"), language.alias("language")), lambda x: F.coalesce(first_contained(x["text"], fixed.SKIP_COMMON, said), *by_language(x)))
+    tests = [F.when(url.isNull(), "error parsing URL"), listed]
     if rules is not None:
         own = F.get(F.filter(rules["additional_skip_patterns"], lambda p: F.contains(text, p)), F.lit(0))
         tests.append(F.when(own.isNotNull(), F.concat(F.lit("matches domain-specific pattern: "), own)))
         wanted = F.coalesce(rules["require_article_id"], F.lit(False)) & ~F.coalesce(rules["allow_no_id_pages"], F.lit(False))
         tests.append(F.when(wanted & ~has_article_id(url), "no article ID found"))
-    tests.append(F.when(is_category_page(path), "appears to be category page"))
-    tests += [F.when(F.endswith(path, F.lit(e)), f"file extension {e}") for e in fixed.SKIP_EXTENSIONS]
+    extensions = lambda p: [F.when(F.endswith(p, F.lit(e)), f"file extension {e}") for e in fixed.SKIP_EXTENSIONS]
+    tests.append(let(path, lambda p: F.coalesce(F.when(is_category_page(p), "appears to be category page"), *extensions(p))))
     return F.coalesce(*tests, F.lit("passed all filters"))
 
 
+def with_skip_reason(links: DataFrame, url: str = "url", rules: str | None = None) -> DataFrame:
+    """links with reason: why a URL is left out, by the first test that says so; `passed all filters` otherwise.
+
+    rules: a struct column with additional_skip_patterns, require_article_id, allow_no_id_pages, or null in it.
+    What many tests share is computed once, which keeps the plan small where the reason is filtered by.
+    """
+    u = F.col(url)
+    shared = {"_path": F.lower(percent_decoded(part(u, "path"))), "_query": F.lower(part(u, "query")), "_language": domain_language(F.lower(part(u, "netloc")))}
+    text = F.when(F.col("_query") != "", F.concat("_path", F.lit("?"), "_query")).otherwise(F.col("_path"))
+    rows = links.withColumns(shared).withColumn("_text", text)
+    reason = _reason(u, F.col("_text"), F.col("_path"), F.col("_language"), None if rules is None else F.col(rules))
+    return rows.withColumn("reason", reason).drop("_path", "_query", "_language", "_text")
+
+
 def storage_name(path: Column, url: Column) -> Column:
     """File name for a link's page; null for paths that are none."""
     clean = F.btrim(path, F.lit("/"))

@@ -49,8 +49,9 @@ def feed_rows(articles: DataFrame, feed: str, ties: str, size: int = fixed.FEED_
     """
     score = F.coalesce("importance_score", F.lit(0.0))
     newest = F.coalesce("ai_processed_at", "extracted_at", F.lit(""))
-    order = Window.partitionBy(feed).orderBy(score.desc() if best_first else score.asc(), newest.desc(), F.col(ties).asc())
-    return articles.where(score >= threshold).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+    # those under the threshold come last in the order: as a filter after the ranks, the threshold leaves scores to be computed once
+    order = Window.partitionBy(feed).orderBy(score < threshold, score.desc() if best_first else score.asc(), newest.desc(), F.col(ties).asc())
+    return articles.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= size) & (score >= threshold))
 
 
 def by_category(articles: DataFrame, categories: list[str] = fixed.FEED_CATEGORIES) -> DataFrame:

@@ -39,13 +39,6 @@ def per_page(pages: DataFrame, make: Callable[..., tuple], inputs: list[str], ad
     return pages.select(*keep, *(F.col(c).alias(f"_in{i}") for i, c in enumerate(inputs))).mapInArrow(run, schema)
 
 
-def spread_out(pages: DataFrame) -> DataFrame:
-    """Parsing is what costs: a table of few files is dealt to all cores first."""
-    spark = pages.sparkSession
-    wanted = spark.sparkContext.defaultParallelism
-    return pages.repartition(wanted) if len(pages.inputFiles()) < wanted else pages
-
-
 def rewritten(pages: DataFrame, how: str) -> DataFrame:
     """pages with html rewritten: `strip`, `clean`, `light` or `marked`. Pages that cannot be parsed stay as they are."""
     work = {"strip": clean.strip_irrelevant, "clean": clean.clean, "light": clean.clean_lightly, "marked": clean.marked}[how]

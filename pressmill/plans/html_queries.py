@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..operators import onboarding, pages
-from .tables import table
+from .tables import spread_out, table
 
 
 def _pages(spark, sf_dir):
-    return pages.spread_out(table(spark, sf_dir, "pages").withColumn("site", urls.bare_domain(urls.part(F.col("url"), "netloc"))))
+    return spread_out(table(spark, sf_dir, "pages").withColumn("site", urls.bare_domain(urls.part(F.col("url"), "netloc"))))
 
 
 def _rewritten(how):

@@ -1,15 +1,16 @@
 """Queries over document texts: cleaning, statistics, enrichment and feeds."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..functions.rx import any_of, strip, word_count, words
 from ..operators import articles
-from .tables import sql_list, table
+from .tables import spread_out, sql_list, table
 
 
 def documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", "text")
+    return spread_out(table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", "text"))
 
 
 def doc_language(spark, sf_dir):
@@ -154,8 +155,6 @@ def category_feed_top10(spark, sf_dir):
 
 def boilerplate_lines(spark, sf_dir):
     """The five short lines that each source repeats most, with their counts."""
-    from pyspark.sql import Window
-
     found = documents(spark, sf_dir).select("source", F.explode(F.split("text", "\n")).alias("line")).withColumn("line", strip(F.col("line")))
     counts = found.where(F.char_length("line").between(5, 100)).groupBy("source", "line").agg(F.count("*").alias("n")).where("n > 1")
     best = Window.partitionBy("source").orderBy(F.desc("n"), "line")

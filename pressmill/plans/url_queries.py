@@ -17,11 +17,11 @@ def url_language(spark, sf_dir):
 
 
 def url_skip_reason(spark, sf_dir):
-    return page_urls(spark, sf_dir).select("page_id", urls.skip_reason(F.col("url")).alias("reason"))
+    return urls.with_skip_reason(page_urls(spark, sf_dir)).select("page_id", "reason")
 
 
 def link_skip_reason(spark, sf_dir):
-    return links(spark, sf_dir).select("page_id", "path", urls.skip_reason(F.col("url")).alias("reason"))
+    return urls.with_skip_reason(links(spark, sf_dir)).select("page_id", "path", "reason")
 
 
 def url_filter_reasons(spark, sf_dir):
@@ -40,12 +40,12 @@ def link_reasons_by_rules(spark, sf_dir):
     hosts = found.select("domain").distinct().orderBy("domain").limit(3)
     numbered = hosts.withColumn("i", F.row_number().over(Window.orderBy("domain")))
     rules = spark.createDataFrame([(i + 1, r[1], r[2], r[3]) for i, r in enumerate(RULES)], "i int, additional_skip_patterns array<string>, require_article_id boolean, allow_no_id_pages boolean")
-    return urls.with_rules(found, numbered.join(rules, "i")).select("page_id", "path", urls.skip_reason(F.col("url"), F.col("rules")).alias("reason"))
+    return urls.with_skip_reason(urls.with_rules(found, numbered.join(rules, "i")), rules="rules").select("page_id", "path", "reason")
 
 
 def url_kept(spark, sf_dir):
     """Kept pages by host."""
-    kept = page_urls(spark, sf_dir).where(urls.skip_reason(F.col("url")) == "passed all filters")
+    kept = urls.with_skip_reason(page_urls(spark, sf_dir)).where("reason = 'passed all filters'")
     return kept.groupBy(urls.part(F.col("url"), "netloc").alias("host")).agg(F.count("*").alias("pages"))
 
 
@@ -79,7 +79,7 @@ def page_links(spark, sf_dir):
 
 def page_link_counts(spark, sf_dir):
     """Links per host: on pages, distinct, and distinct ones kept by the filter."""
-    found = links(spark, sf_dir).withColumn("kept", urls.skip_reason(F.col("url")) == "passed all filters")
+    found = urls.with_skip_reason(links(spark, sf_dir)).withColumn("kept", F.col("reason") == "passed all filters")
     return found.groupBy("domain").agg(F.count("*").alias("found"), F.count_distinct("path").alias("distinct_paths"), F.count_distinct(F.when(F.col("kept"), F.col("path"))).alias("kept_paths"))
 
 

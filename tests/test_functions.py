@@ -31,14 +31,14 @@ def one(spark, column, **values):
     ],
 )
 def test_urls(spark, url, reason, article_id):
-    assert one(spark, urls.skip_reason(F.col("u")), u=url) == reason
+    assert urls.with_skip_reason(spark.createDataFrame([(url,)], "url string")).first().reason == reason
     assert one(spark, urls.article_id(F.col("u")), u=url) == article_id
 
 
 def test_domain_rules(spark):
     rules = spark.createDataFrame([("a.com", ["/own"], True, False), ("b.com", [], True, True), ("c.com", [], False, False)], "domain string, additional_skip_patterns array<string>, require_article_id boolean, allow_no_id_pages boolean")
     links = spark.createDataFrame([(d, f"https://{d}{p}") for d in ("a.com", "b.com", "c.com", "d.com") for p in ("/x/own", "/x/y", "/x/y-1234567")], "domain string, url string")
-    got = {r.url: r.reason for r in urls.with_rules(links, rules).select("url", urls.skip_reason(F.col("url"), F.col("rules")).alias("reason")).collect()}
+    got = {r.url: r.reason for r in urls.with_skip_reason(urls.with_rules(links, rules), rules="rules").collect()}
     assert got["https://a.com/x/own"] == "matches domain-specific pattern: /own" and got["https://a.com/x/y"] == "no article ID found"
     assert {v for k, v in got.items() if "a.com" not in k or "123" in k} == {"passed all filters"}
 
