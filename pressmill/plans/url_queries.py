@@ -30,8 +30,8 @@ def url_filter_reasons(spark, sf_dir):
     return left_out.groupBy("reason").agg(F.count("*").alias("n")).withColumn("total_skipped", F.sum("n").over(Window.partitionBy()))
 
 
-#: Filter rules of three invented sites, in the form that site rules have.
-RULES = [("news0.example.com", ["/en/1", "/fr/"], False, False), ("news1.example.org", [], True, False), ("news2.example.net", ["/de/"], True, True)]
+#: Filter rules for the first three hosts: patterns, whether an article id is asked for, whether pages without one pass.
+RULES = [(1, ["/en/1", "/d"], False, False), (2, [], True, False), (3, ["/e"], True, True)]
 
 
 def link_reasons_by_rules(spark, sf_dir):
@@ -39,7 +39,7 @@ def link_reasons_by_rules(spark, sf_dir):
     found = links(spark, sf_dir)
     hosts = found.select("domain").distinct().orderBy("domain").limit(3)
     numbered = hosts.withColumn("i", F.row_number().over(Window.orderBy("domain")))
-    rules = spark.createDataFrame([(i + 1, r[1], r[2], r[3]) for i, r in enumerate(RULES)], "i int, additional_skip_patterns array<string>, require_article_id boolean, allow_no_id_pages boolean")
+    rules = spark.createDataFrame(RULES, "i int, additional_skip_patterns array<string>, require_article_id boolean, allow_no_id_pages boolean")
     return urls.with_skip_reason(urls.with_rules(found, numbered.join(rules, "i")), rules="rules").select("page_id", "path", "reason")
 
 
@@ -164,3 +164,11 @@ SQL["page_link_counts"] = (
     + " SELECT l.domain, count(*) AS found, count(DISTINCT l.path) AS distinct_paths, count(DISTINCT CASE WHEN reason = 'passed all filters' THEN l.path END) AS kept_paths FROM links l JOIN reasons r ON l.page_id = r.page_id AND l.path = r.path GROUP BY l.domain"
 )
 SQL["url_filter_reasons"] = SQL["url_filter_reasons"].replace("sum(count(*)) OVER ()::BIGINT", "CAST(sum(count(*)) OVER () AS BIGINT)")
+SQL["link_reasons_by_rules"] = (
+    SQL["link_skip_reason"].removesuffix(" SELECT * FROM reasons")
+    + f""", h AS (SELECT domain, row_number() OVER (ORDER BY domain) AS i FROM (SELECT DISTINCT domain FROM links)),
+    j AS (SELECT r.page_id, r.path, r.reason, h.i, l.url, lower(url_decode(l.path)) AS full_path FROM reasons r JOIN links l ON r.page_id = l.page_id AND r.path = l.path JOIN h ON l.domain = h.domain),
+    k AS (SELECT *, list_filter(CASE i WHEN 1 THEN {sql_list(RULES[0][1])} WHEN 3 THEN {sql_list(RULES[2][1])} ELSE [] END, lambda x: contains(full_path, x))[1] AS own FROM j)
+    SELECT page_id, path, CASE WHEN starts_with(reason, 'matches skip pattern') THEN reason WHEN own IS NOT NULL THEN 'matches domain-specific pattern: ' || own
+        WHEN i = 2 AND {_id("url", fixed.ARTICLE_ID)} IS NULL THEN 'no article ID found' ELSE reason END AS reason FROM k"""
+)
