@@ -79,15 +79,18 @@ def markdown_repaired(text: Column) -> Column:
 
 def paragraphs(text: Column) -> Column:
     """A blank line where a line ends a sentence and the next one begins another."""
-    all_lines = lines(text)
 
-    def spaced(line, i):
-        here, after = strip(line), strip(F.coalesce(F.get(all_lines, i + 1), F.lit("")))
-        ends = F.regexp_like(here, F.lit(r"""[.!?"]\z"""))
-        starts = F.regexp_like(after, F.lit(r"""\A["\p{Lu}\p{Lt}]""")) & ~F.regexp_like(after, F.lit(r"\A(?:[#>\-*]|[123]\.)"))
-        return F.when(ends & starts, F.concat(line, F.lit("\n"))).otherwise(line)
+    def spaced(all_lines):
+        def one(line, i):
+            here, after = strip(line), strip(F.coalesce(F.get(all_lines, i + 1), F.lit("")))
+            ends = F.regexp_like(here, F.lit(r"""[.!?"]\z"""))
+            starts = F.regexp_like(after, F.lit(r"""\A["\p{Lu}\p{Lt}]""")) & ~F.regexp_like(after, F.lit(r"\A(?:[#>\-*]|[123]\.)"))
+            return F.when(ends & starts, F.concat(line, F.lit("\n"))).otherwise(line)
 
-    return F.when(text == "", text).otherwise(F.array_join(F.transform(all_lines, spaced), "\n"))
+        return F.transform(all_lines, one)
+
+    # lines are bound once: named inside the lambda they would be made anew for each line
+    return F.array_join(let(lines(text), spaced), "\n")
 
 
 def overlap(part: Column, whole: Column) -> Column:

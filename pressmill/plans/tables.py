@@ -11,9 +11,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_out(rows: DataFrame) -> DataFrame:
-    """A table of fewer files than there are cores, dealt to all of them, where work per row is what costs; larger ones as they are."""
+    """A table of fewer partitions than there are cores, dealt to all of them, where work per row is what costs; larger ones as they are."""
     wanted = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(wanted) if len(rows.inputFiles()) < wanted else rows
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
 
 
 def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
