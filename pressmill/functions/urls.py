@@ -124,6 +124,21 @@ def url_title(url: Column, domain: Column) -> Column:
     return found
 
 
+def _without_dots(url: Column) -> Column:
+    """The URL with . and .. segments of its path worked out; they are rare, so most URLs pass as they are."""
+
+    def worked_out(u):
+        segments = F.split(part(u, "path"), "/")
+        empty = F.array().cast("array<string>")
+        up = lambda kept: F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+        kept = F.aggregate(segments, empty, lambda a, x: F.when(x == "..", up(a)).when(x == ".", a).otherwise(F.concat(a, F.array(x))))
+        end = F.when(F.element_at(segments, -1).isin(".", ".."), "/").otherwise("")
+        rest = F.regexp_extract(u, r"(?s)[?#].*$", 0)
+        return F.concat(part(u, "scheme"), F.lit("://"), part(u, "netloc"), F.array_join(kept, "/"), end, rest)
+
+    return let(url, lambda u: F.when(F.regexp_like(u, F.lit(r"^[^?#]*/\.{1,2}(?:[/?#]|$)")), worked_out(u)).otherwise(u))
+
+
 def resolved(link: Column, base: Column) -> Column:
     """The link relative to its page's URL: absolute, //host, /path, ?query, #fragment or a name beside the page."""
     scheme, netloc, path, query = (part(base, p) for p in ("scheme", "netloc", "path", "query"))
@@ -134,11 +149,11 @@ def resolved(link: Column, base: Column) -> Column:
     return (
         F.when(F.regexp_like(link, F.lit(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:")), link)
         .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
-        .when(F.startswith(link, F.lit("/")), F.concat(root, link))
+        .when(F.startswith(link, F.lit("/")), _without_dots(F.concat(root, link)))
         .when(link == "", F.concat(root, path, with_query))
         .when(F.startswith(link, F.lit("#")), F.concat(root, path, with_query, link))
         .when(F.startswith(link, F.lit("?")), F.concat(root, path, link))
-        .otherwise(beside)
+        .otherwise(_without_dots(beside))
     )
 
 
