@@ -217,13 +217,23 @@ c AS (SELECT e.doc_id, e.language, e.text, coalesce({_strip("array_to_string(ls,
 #: Word boundaries of SQL's engine know ASCII only: other letters become underscores first, which are word characters there as well.
 _ASCII = r"regexp_replace(text, '[^\x00-\x7f]', '_', 'g')"
 _PERSONS = "list_sort(list_distinct(list_concat(" + ", ".join(rf"regexp_extract_all({_ASCII}, '{p}')" for p in fixed.PERSONS) + ")))"
-#: Places are looked up with non-ASCII letters as they are between non-letters written out.
-_ORGS = [r"(?:" + "|".join(n for n in names if n[0].isascii() and n[-1].isascii()) + r")" for names in fixed.ORGANIZATIONS]
-_N_PLACES = (
-    "len(list_distinct(list_transform(regexp_extract_all(regexp_replace(' ' || text || ' ', '([^\\p{L}\\p{N}_])', '\\1\\1', 'g'), '(?i)[^\\p{L}\\p{N}_]("
-    + "|".join(n for names in fixed.LOCATIONS for n in names if " " not in n and "-" not in n)
-    + ")[^\\p{L}\\p{N}_]', 1), lambda x: lower(x))))"
-)
+#: Each word between two marks, so that whole names can be told without word boundaries, which know ASCII only.
+_WRAPPED = r"regexp_replace(text, '([\p{L}\p{N}_]+)', chr(1) || '\1' || chr(2), 'g')"
+
+
+def _named(names, flags):
+    """The names that stand in a text as whole words."""
+    import re
+
+    marked = "|".join(re.sub(r"\w+", lambda m: rf"\x01{m[0]}\x02", n) for n in names)
+    return f"regexp_extract_all({_WRAPPED}, '{flags}(?:{_quoted(marked)})')"
+
+
+_BARE = "replace(replace(x, chr(1), ''), chr(2), '')"
+_PLACES = f"list_sort(list_distinct(list_transform(list_concat({', '.join(_named(n, '(?i)') for n in fixed.LOCATIONS)}), lambda x: upper(({_BARE})[1]) || lower(({_BARE})[2:]))))"
+_COMPANIES = rf"regexp_extract_all({_WRAPPED}, '\x01[A-Z][A-Za-z]*\x02\s+\x01(?:SA|SAS|SARL|Inc|Corp|Ltd|AG|GmbH)\x02')"
+_ORGS = f"list_sort(list_distinct(list_transform(list_concat({', '.join(_named(n, '') for n in fixed.ORGANIZATIONS)}, {_COMPANIES}), lambda x: {_BARE})))"
+_N_PLACES = f"len({_PLACES})"
 
 
 def _importance(x, title):
@@ -262,9 +272,12 @@ SQL = {
     "doc_clean_stats": f"""WITH {_CLEAN}, n AS (SELECT doc_id, len({_words("text")}) AS original_words, len({_words("cleaned")}) AS cleaned_words,
         len(list_filter(string_split(text, chr(10)), lambda x: {_strip("x")} <> ''))::INT AS original_lines, len(list_filter(string_split(cleaned, chr(10)), lambda x: {_strip("x")} <> ''))::INT AS cleaned_lines FROM c)
         SELECT *, original_words - cleaned_words AS words_removed, original_lines - cleaned_lines AS lines_removed, coalesce((original_words - cleaned_words)::DOUBLE / nullif(original_words, 0) * 100, 0.0) AS reduction_percentage FROM n""",
-    "doc_paywall_cut": "SELECT doc_id, CASE WHEN len(string_split(text, chr(10))) >= 5 THEN 5 ELSE 0 END::INT AS line FROM documents WHERE text IS NOT NULL",
+    "doc_paywall_cut": f"""WITH {_D}, l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
+        m AS (SELECT doc_id, min(i) AS i FROM l WHERE i % 5 = 0 OR regexp_matches(line, '(?i){_quoted(any_of(fixed.PAYWALL["english"]))}') GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(i, 0)::INT AS line FROM d LEFT JOIN m ON d.doc_id = m.doc_id""",
     "doc_word_stats": f"WITH {_D}, n AS (SELECT doc_id, len({_words('text')}) AS words, len(list_distinct({_words('text')})) AS unique_words FROM d) SELECT *, coalesce(words > 20 AND unique_words::DOUBLE / nullif(words, 0) < 0.1, false) AS repetitive FROM n",
     "doc_complexity": f"WITH {_D} SELECT doc_id, {_COMPLEXITY} AS complexity FROM d",
+    "doc_entities": f"WITH {_D} SELECT doc_id, {_PERSONS} AS persons, {_PLACES} AS locations, {_ORGS} AS organizations FROM d",
     "doc_entity_counts": f"WITH {_D}, p AS (SELECT doc_id, unnest({_PERSONS}) AS person FROM d) SELECT person, count(*) AS documents FROM p GROUP BY person",
     "doc_sentiment": f"WITH {_D} SELECT doc_id, {_SENTIMENT} AS sentiment FROM d",
     "doc_importance": f"WITH {_D} SELECT doc_id, {_importance('text', _TITLE)} AS importance FROM d",
