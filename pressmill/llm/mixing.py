@@ -61,7 +61,8 @@ def mix_sources(docs: DataFrame, epochs_of_all: float = 1.5, max_epochs: float =
     )
     rows = rows.withColumn("_bucket", F.floor(F.col("_key") / (1 + F.col("_key")) * buckets).cast("int"))
 
-    sums = stored(rows.groupBy("source", "_bucket").agg(F.sum("size").alias("sum")))
+    # at most `buckets` rows per source, and one per source below: few files hold them at any input size
+    sums = stored(rows.groupBy("source", "_bucket").agg(F.sum("size").alias("sum")).coalesce(32))
     targets = source_targets(sums.groupBy("source").agg(F.sum("sum").alias("source_size")), epochs_of_all, max_epochs, weights)
     epochs = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))
     upto = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -75,7 +76,7 @@ def mix_sources(docs: DataFrame, epochs_of_all: float = 1.5, max_epochs: float =
         .agg(F.max_by("before", F.when(F.col("before") < F.col("left"), F.col("_bucket"))).alias("before"), F.max(F.when(F.col("before") < F.col("left"), F.col("_bucket"))).alias("_turn"))
         .withColumnRenamed("source", "_s")
     )
-    lasts = stored(lasts)
+    lasts = stored(lasts.coalesce(4))
     joined = rows.join(lasts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     inside = F.coalesce(F.col("_bucket") == F.col("_turn"), F.lit(False))
     whole = joined.where(~inside).withColumn("extra", (F.col("_bucket") < F.coalesce("_turn", F.lit(-1))).cast("long"))
