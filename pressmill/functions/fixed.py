@@ -90,6 +90,13 @@ DROPPED_EVERYWHERE = [
 ]
 LANGUAGE_WORDS = [("romanian", ["și", "cu", "pentru", "este", "sunt", "într-un", "într-o"]), ("french", ["avec", "pour", "dans", "cette", "vous", "nous", "être"])]
 
+#: Broken emphasis joined, empty emphasis dropped, markers spaced, blank space shortened, in this order.
+MARKDOWN_REPAIRS = [
+    (r"(\w)\*\*[ \t]*\n[ \t]*(\w)", "$1**$2"), (r"(\w)[ \t]*\n[ \t]*\*\*(\w)", "$1**$2"), (r"(\w)\*[ \t]*\n[ \t]*(\w)", "$1*$2"), (r"(\w)[ \t]*\n[ \t]*\*(?!\*)(\w)", "$1*$2"),
+    (r"(\w)`[ \t]*\n[ \t]*(\w)", "$1`$2"), (r"(\w)[ \t]*\n[ \t]*`(\w)", "$1`$2"), (r"\*\*\s*\*\*", ""), (r"(?<!\*)\*\s+\*(?!\*)", ""), ("``", ""), (r"\*{3,}", "**"),
+    (r"(\w)(\*\*\w)", "$1 $2"), (r"(\w)(\*(?!\*)\w)", "$1 $2"), (r"[ \t]{2,}", " "), (r"\n{3,}", "\n\n"), (r"[ \t]+\n", "\n"),
+]
+
 # --- enrichment ------------------------------------------------------------------------------
 
 PERSONS = [r"\b[A-Z][a-z]+\s+[A-Z][a-z]+\b", r"\b[A-Z]\.\s*[A-Z][a-z]+\b"]

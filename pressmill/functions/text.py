@@ -68,11 +68,7 @@ def filled_lines(text: Column) -> Column:
 
 def markdown_repaired(text: Column) -> Column:
     """Joins emphasis broken by line ends, drops empty emphasis, spaces out markers and blank lines."""
-    for pattern, to in (
-        (r"(\w)\*\*[ \t]*\n[ \t]*(\w)", "$1**$2"), (r"(\w)[ \t]*\n[ \t]*\*\*(\w)", "$1**$2"), (r"(\w)\*[ \t]*\n[ \t]*(\w)", "$1*$2"), (r"(\w)[ \t]*\n[ \t]*\*(?!\*)(\w)", "$1*$2"),
-        (r"(\w)`[ \t]*\n[ \t]*(\w)", "$1`$2"), (r"(\w)[ \t]*\n[ \t]*`(\w)", "$1`$2"), (r"\*\*\s*\*\*", ""), (r"(?<!\*)\*\s+\*(?!\*)", ""), ("``", ""), (r"\*{3,}", "**"),
-        (r"(\w)(\*\*\w)", "$1 $2"), (r"(\w)(\*(?!\*)\w)", "$1 $2"), (r"[ \t]{2,}", " "), (r"\n{3,}", "\n\n"), (r"[ \t]+\n", "\n"),
-    ):
+    for pattern, to in fixed.MARKDOWN_REPAIRS:
         text = F.regexp_replace(text, FLAGS + pattern, to)
     return text
 
