@@ -77,8 +77,14 @@ def language(root) -> str:
     return next((name for name, words in LANGUAGE_WORDS if any(w in text for w in words)), "en")
 
 
+def _bare(string: str) -> str:
+    """A text node's or a comment's own words."""
+    return (string[4:-3] if isinstance(string, dom.Comment) and string.startswith("<!--") else string).strip()
+
+
 def repeated_texts(root) -> list[str]:
-    texts = [s for e in [root, *root.elements()] for c in e.children if isinstance(c, str) and not isinstance(c, dom.Comment) and 5 <= len(s := c.strip()) <= 100]
+    """Short texts, comments included, that stand in the page more than once, the most frequent first."""
+    texts = [s for e in [root, *root.elements()] for c in e.children if isinstance(c, str) and 5 <= len(s := _bare(c)) <= 100]
     return [text for text, n in Counter(texts).most_common(MOST_REPEATED) if n > 1]
 
 
