@@ -26,6 +26,9 @@ from .components import components
 BUDGET, BLOCKS = 4, 6
 #: Fingerprints a subtree may hold before it is split into child pairs.
 CROWDED = 20_000
+#: Band prints of a text and the random orders each of them takes: 0.99993 of pairs of similarity 0.8 share a print.
+BANDS, WIDTH = 24, 5
+_ORDERS = np.random.default_rng(7).integers(0, 1 << 64, (2, BANDS * WIDTH), dtype=U)
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -244,15 +247,43 @@ def simhash_components(docs: DataFrame, shingle: int = 4, budget: int = BUDGET,
     return out.select(real("node").alias("doc_id"), "fp", real("component").alias("component"))
 
 
+def _minima(seeds: np.ndarray, odd: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The least value of the hashes in each of the random orders that the seeds stand for."""
+    least = np.full(len(seeds), ~U(0), dtype=U)
+    for i in range(0, len(hashes), 1024):
+        np.minimum(least, ((hashes[None, i : i + 1024] ^ seeds[:, None]) * odd[:, None]).min(axis=1), out=least)
+    return least
+
+
+def band_prints(text: bytes, shingle: int) -> list[int]:
+    """A print for each band: two texts share it with a probability of their shingles' Jaccard similarity to the power of WIDTH."""
+    seeds, odd = _ORDERS
+    least = _minima(seeds, odd | U(1), np.unique(shingle_hashes(text, shingle))).reshape(BANDS, WIDTH)
+    return [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least)]
+
+
+def _prints(ids: DataFrame, feature: int, shingle: int) -> DataFrame:
+    """node, sig, fp and bands of each row of node, sig, text."""
+
+    def run(batches):
+        for batch in batches:
+            texts = [t or b"" for t in batch.column("text").to_pylist()]
+            fps = np.array([fingerprint(t, feature, True) for t in texts], dtype=np.uint64).view(np.int64)
+            bands = [np.array(band_prints(t, shingle), dtype=np.uint64).view(np.int64) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("sig"), pa.array(fps), pa.array(bands, pa.list_(pa.int64()))], names=["node", "sig", "fp", "bands"])
+
+    return ids.select("node", "sig", F.col("text").cast("binary").alias("text")).mapInArrow(run, "node long, sig long, fp long, bands array<long>")
+
+
 def _sketches(texts: DataFrame, shingle: int) -> DataFrame:
-    """node, sketch: 32-bit hashes of the distinct shingles of each text, ascending."""
+    """sig, sketch: 32-bit hashes of the distinct shingles of each text, ascending."""
 
     def run(batches):
         for batch in batches:
             made = [np.unique(shingle_hashes(t, shingle).astype(np.uint32)).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], names=["node", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(made, pa.binary())], names=["sig", "sketch"])
 
-    return texts.select("node", F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(run, "node long, sketch binary")
+    return texts.select("sig", F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(run, "sig long, sketch binary")
 
 
 def _confirm(similarity: float):
@@ -268,30 +299,94 @@ def _confirm(similarity: float):
     return run
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, feature: int = 2, budget: int = 8, blocks: int = 10) -> DataFrame:
-    """doc_id, component: a row for each row of docs; documents linked by a Jaccard similarity of their shingles.
+def _across(limit: int):
+    """Pairs of a group's texts under different labels, up to `limit` for each text; a row with cut says that there were more."""
 
-    Candidates come from fingerprints of the distinct runs of `feature` words, which differ in fewer bits than those
-    of longer shingles do for the same share of changed words. Each distinct text is linked with its nearest
-    and first candidates, and those links stay whose shingles are as similar as asked.
+    def run(table: pa.Table) -> pa.Table:
+        group, label, own, sig = (table[c].to_numpy() for c in ("group", "label", "own", "sig"))
+        order = np.lexsort((sig, own, label, group))
+        group, label, own, sig = group[order], label[order], own[order], sig[order]
+        ends = lambda *keys: np.append(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1, len(sig))
+        stop, after = ends(group), ends(group, label)
+        at = np.arange(len(sig))
+        stop, after = stop[np.searchsorted(stop, at, side="right")], after[np.searchsorted(after, at, side="right")]
+        n = np.minimum(stop - after, limit)
+        x = np.repeat(at, n)
+        y = after[x] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+        meant = (own[x] != own[y]) | table["inner"].to_numpy()[order][x]
+        x, y = x[meant], y[meant]
+        cut = np.zeros(len(x), dtype=bool)
+        if (stop - after > limit).any():  # said by a pair of a text with itself, as no other may be left
+            x, y, cut = np.append(x, 0), np.append(y, 0), np.append(cut, True)
+        return pa.table({"a": pa.array(np.minimum(sig[x], sig[y])), "b": pa.array(np.maximum(sig[x], sig[y])), "cut": pa.array(cut)})
+
+    return run
+
+
+def across_pairs(members: DataFrame, labels: DataFrame, limit: int, crowded: int) -> DataFrame:
+    """a, b, cut: pairs of members (key, n, sig) that share a key and not the label (node, component); n texts have the key.
+
+    Crowded keys are dealt out as pairs of their parts.
+    """
+    named = members.join(labels, members["sig"] == labels["node"], "left").select("key", "n", "sig", F.coalesce("component", "sig").alias("label"))
+    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select(F.col("key").alias("k"))
+    parts = F.ceil(F.col("n") / crowded).cast("int")
+    split = named.join(stored(mixed), F.col("key") == F.col("k"), "left_semi").withColumn("own", F.pmod(F.xxhash64("sig", F.lit(1)), parts).cast("int"))
+    dealt = split.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    buckets = 16 * shuffle_partitions(members.sparkSession)
+    rows = dealt.select(group.alias("group"), "label", "own", "sig", (F.col("own") == F.col("other")).alias("inner"), F.pmod(group, F.lit(buckets)).alias("bucket"))
+    return rows.groupBy("bucket").applyInArrow(_across(limit), "a long, b long, cut boolean")
+
+
+def near_copy_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, feature: int = 2, budget: int = 8, blocks: int = 10, first_limit: int = 16, crowded: int = 1024) -> DataFrame:
+    """node, sig, head, head_sig: a row for each row of docs, by doc_id (null is NULL_ID) and hash of its text; head is the least of its group.
+
+    Groups are the components of distinct texts linked by a Jaccard similarity of their shingles. Candidates are, first,
+    spanning links of fingerprints (of distinct runs of `feature` words, which differ in fewer bits than those of longer
+    shingles) and of all texts that share a band print; those links stay whose shingles are as similar as asked. Then all pairs
+    that share a band print and are not yet in one group are tried, a few per text at first, until none is left untried.
     """
-    ids = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("node"), "text")
-    rows = stored(fingerprints(ids.withColumn("sig", F.xxhash64("text")), feature, ("node", "sig"), True))
-    texts = stored(rows.groupBy("fp", "sig").agg(F.min("node").alias("node")))
-    alike = stored(texts.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    ids = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("node"), "text", F.xxhash64("text").alias("sig"))
+    rows = stored(_prints(ids, feature, shingle))
+    texts = stored(rows.groupBy("sig").agg(F.min("node").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    alike = stored(texts.groupBy("fp").agg(F.min("sig").alias("first"), F.count("*").alias("n")))
     found = similar_links(alike.select(F.col("first").alias("node"), "fp"), budget, blocks, nearest=True)
-    same = texts.join(alike.where("n > 1"), "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    pairs = stored(found.unionByName(same).distinct())
-    linked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    # rows that share a doc_id but not their text each have a sketch: a link is confirmed if any of them is
-    sketches = stored(_sketches(ids.join(linked.hint("merge"), "node", "left_semi"), shingle))  # linked grows with docs
-    of = lambda name: sketches.select(F.col("node").alias(name), F.col("sketch").alias(f"sketch_{name}"))
-    links = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(_confirm(similarity), "a long, b long")
-    groups = components(stored(links))
-    least = texts.join(groups, "node", "left").select(F.col("fp").alias("_fp"), F.col("sig").alias("_sig"), F.coalesce("component", "node").alias("component"))
-    out = rows.join(least, (rows["fp"] == F.col("_fp")) & (rows["sig"] == F.col("_sig")))
+    same = texts.join(alike.where("n > 1"), "fp").where("sig <> first").select(F.col("first").alias("a"), F.col("sig").alias("b"))
+    spread = texts.select("sig", F.explode("bands").alias("key"))
+    hubs = stored(spread.groupBy("key").agg(F.min("sig").alias("first"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("key", "k"))
+    members = stored(spread.join(hubs, F.col("key") == F.col("k")).select("key", "n", "first", "sig"))
+    shared = members.where("sig <> first").select(F.col("first").alias("a"), F.col("sig").alias("b"))
+    pairs = found.unionByName(same).unionByName(shared).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = stored(pairs.distinct())
+    linked = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    one_each = texts.join(linked, "sig", "left_semi").select("node", "sig")
+    # linked grows with docs; rows that are wholly alike leave one sketch
+    sketches = stored(_sketches(ids.join(one_each.hint("merge"), ["node", "sig"], "left_semi"), shingle).dropDuplicates(["sig"]))
+    of = lambda name: sketches.select(F.col("sig").alias(name), F.col("sketch").alias(f"sketch_{name}"))
+    confirmed = lambda p: p.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(_confirm(similarity), "a long, b long")
+    tried, links, limit = pairs, stored(confirmed(pairs)), first_limit
+    groups = stored(components(links))
+    while True:
+        found = stored(across_pairs(members.select("key", "n", "sig"), groups, limit, crowded).groupBy("a", "b").agg(F.max("cut").alias("cut")))
+        fresh = stored(found.where("a <> b").select("a", "b").join(tried, ["a", "b"], "left_anti"))
+        more = stored(confirmed(fresh))
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            groups = stored(components(links))
+        if found.where("cut").isEmpty():
+            break
+        tried, limit = tried.unionByName(fresh), limit * 16
+    grouped = texts.select("sig", "node").join(groups.withColumnRenamed("node", "member"), F.col("sig") == F.col("member"), "left").select("sig", "node", F.coalesce("component", "sig").alias("group"))
+    heads = grouped.groupBy("group").agg(F.min(F.struct("node", "sig")).alias("least")).withColumnRenamed("group", "g")
+    least = grouped.join(heads, F.col("group") == F.col("g")).select(F.col("sig").alias("_sig"), "least.*").toDF("_sig", "head", "head_sig")
+    return rows.select("node", "sig").join(stored(least), F.col("sig") == F.col("_sig")).select("node", "sig", "head", "head_sig")
+
+
+def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, feature: int = 2, budget: int = 8, blocks: int = 10) -> DataFrame:
+    """doc_id, component: a row for each row of docs; component is the least doc_id of its near_copy_groups."""
     real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return out.select(real("node").alias("doc_id"), real("component").alias("component"))
+    return near_copy_groups(docs, similarity, shingle, feature, budget, blocks).select(real("node").alias("doc_id"), real("head").alias("component"))
 
 
 def op7_simhash_components(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pressmill.llm import decontaminate, language
-from pressmill.llm.simhash import near_copies
+from pressmill.llm.simhash import across_pairs, near_copies
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -127,6 +127,39 @@ def test_near_copies_recall(spark, medium):
     assert len(found) >= 0.95 * sum(want[i] != i for i in ids) and not extra
 
 
+def recall(spark, texts, **options):
+    """Share of the similar pairs that end in one component; no component may join what is not linked."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component for r in near_copies(docs, **options).collect()}
+    pairs = similar_pairs(texts)
+    label = brute.classes(len(texts), pairs)
+    assert all(label[got[i]] == label[i] for i in got)
+    return sum(got[i] == got[j] for i, j in pairs) / len(pairs)
+
+
+def test_near_copies_in_a_family_of_one_template(spark):
+    # pages of one template are alike in fewer than 0.8 of their shingles; each has one true copy among them
+    rnd = random.Random(12)
+    words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    template, texts = words(200), []
+    for _ in range(150):
+        page = f"{template} {words(45)}"
+        texts += [page, f"{page} {words(30)}"]
+    assert recall(spark, texts) == 1
+
+
+def test_across_pairs_leave_none_out(spark):
+    members = spark.createDataFrame([(k, 40, i) for k in (1, 2) for i in range(40)] + [(3, 2, 0), (3, 2, 5)], "key long, n long, sig long")
+    labels = spark.createDataFrame([(i, i % 5) for i in range(30)], "node long, component long")  # the rest are their own
+    label = [i % 5 if i < 30 else i for i in range(40)]
+    want = {(i, j) for j in range(40) for i in range(j) if label[i] != label[j]}
+    for crowded in (1000, 7):
+        rows = across_pairs(members, labels, 1000, crowded).collect()
+        assert {(r.a, r.b) for r in rows} == want and not any(r.cut for r in rows)
+        rows = across_pairs(members, labels, 2, crowded).collect()
+        assert {(r.a, r.b) for r in rows if r.a != r.b} < want and any(r.cut for r in rows)
+
+
 @pytest.fixture(scope="module")
 def stages(spark, small, tmp_path_factory):
     folder = tmp_path_factory.mktemp("stages")
