@@ -137,6 +137,24 @@ def recall(spark, texts, **options):
     return sum(got[i] == got[j] for i, j in pairs) / len(pairs)
 
 
+def test_near_copies_just_over_the_threshold(spark):
+    rnd, texts = random.Random(11), []
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    for i in range(150):
+        base = words(120)
+        copy = list(base)
+        if i % 3 == 0:
+            copy += words(28)  # a passage is added
+        elif i % 3 == 1:
+            at = rnd.randrange(100)
+            copy[at : at + 8] = words(8)  # a passage is replaced
+        else:
+            for at in (30, 75):
+                copy[at] = "changed"
+        texts += [" ".join(base), " ".join(copy)]
+    assert recall(spark, texts) == 1
+
+
 def test_near_copies_in_a_family_of_one_template(spark):
     # pages of one template are alike in fewer than 0.8 of their shingles; each has one true copy among them
     rnd = random.Random(12)
