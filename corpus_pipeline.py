@@ -13,7 +13,7 @@ from pressmill.llm.decontaminate import contaminated
 from pressmill.llm.language import detect_language, fold, labelled_sample
 from pressmill.llm.line_dedup import line_dedup
 from pressmill.llm.mixing import mix_sources
-from pressmill.llm.simhash import near_copies
+from pressmill.llm.simhash import near_copy_groups
 
 #: Near copies share this much of their five-word shingles.
 SHINGLE, SIMILARITY = 5, 0.8
@@ -42,9 +42,9 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _unpacked(cut, docs, text=text, n_chars=F.char_length(text).cast("long"))
 
 
-def _by_id(docs: DataFrame) -> DataFrame:
-    """Whole rows as _row with their doc_id, in which null has a value, as _id."""
-    return docs.select(F.struct(F.lit(0).alias("_"), *docs.columns).alias("_row"), F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Whole rows as _row with their doc_id, in which null has a value, as _id and the hash of their text as _sig."""
+    return docs.select(F.struct(F.lit(0).alias("_"), *docs.columns).alias("_row"), F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.xxhash64("text").alias("_sig"))
 
 
 def _rows(packed: DataFrame, like: DataFrame) -> DataFrame:
@@ -52,21 +52,23 @@ def _rows(packed: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of least doc_id; of rows that repeat one."""
-    groups = near_copies(docs.select("doc_id", "text"), SIMILARITY, SHINGLE)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component"))).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_gone")).distinct()
-    rows = _by_id(docs)
-    kept = rows.join(stored(gone), F.col("_id") == F.col("_gone"), "left_anti")
-    again = stored(kept.groupBy("_id").count().where("count > 1").select(F.col("_id").alias("_again")))
-    repeated = kept.join(again, F.col("_id") == F.col("_again"), "left_semi").dropDuplicates(["_id"])
-    return _rows(kept.join(again, F.col("_id") == F.col("_again"), "left_anti").unionByName(repeated), docs)
+    """Of each group of near copies the document of least doc_id and hash of its text; one of rows that repeat both."""
+    groups = near_copy_groups(docs.select("doc_id", "text"), SIMILARITY, SHINGLE)
+    gone = groups.where("node <> head or sig <> head_sig").select(F.col("node").alias("_id"), F.col("sig").alias("_sig")).distinct()
+    key = ["_id", "_sig"]
+    kept = _keyed(docs).join(stored(gone), key, "left_anti")
+    again = stored(kept.groupBy(key).count().where("count > 1").select(key))
+    repeated = kept.join(again, key, "left_semi").dropDuplicates(key)
+    return _rows(kept.join(again, key, "left_anti").select(repeated.columns).unionByName(repeated), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = contaminated(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = stored(found.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_gone")).distinct())
-    return _rows(_by_id(docs).join(gone, F.col("_id") == F.col("_gone"), "left_anti"), docs)
+    """Documents that hold no benchmark item; rows are told apart by doc_id and text."""
+    key = F.xxhash64("doc_id", "text")
+    found = contaminated(docs.select(key.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = stored(found.select(F.col("doc_id").alias("_gone")).distinct())
+    rows = _keyed(docs).withColumn("_key", F.xxhash64("_row.doc_id", "_row.text"))
+    return _rows(rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti"), docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -219,3 +219,17 @@ def test_pipeline_run_and_clashing_columns(spark, small, stages, tmp_path):
         out = stage(spark, docs, small)
         assert out.columns == docs.columns, name
         assert out.count() >= 1
+
+
+def test_null_and_shared_ids_in_the_pipeline(spark, tmp_path):
+    text = lambda k, n=80: " ".join(f"{k}{i}" for i in range(n))
+    leak = text("leak", 30)
+    bench = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    bench.write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (None, f"{text('c')} {leak}"), (7, text("d")), (7, text("e")), (7, f"{text('f')} {leak}"), (8, text("a") + " end"), (9, text("e") + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' as lang", "'s' as source", "length(text) as n_chars")
+    once = corpus_pipeline.keep_one_of_near_copies(spark, docs, f"file://{tmp_path}")
+    key = lambda r: (r[0] or 0, r[1])
+    assert sorted(((r.doc_id, r.text) for r in once.collect()), key=key) == sorted((rows[i] for i in (0, 1, 3, 4, 5, 6)), key=key)
+    clean = corpus_pipeline.drop_contaminated(spark, once, f"file://{tmp_path}")
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=key) == sorted((rows[i] for i in (0, 1, 4, 5)), key=key)
