@@ -1,9 +1,8 @@
 """License scans by conditional compression.
 
-A block of text is compressed alone and with each license template as zstandard raw-content dictionary;
-templates are ranked by the bytes they save. Of the best ones the first is confirmed whose
-wording, aligned with the block word by word, differs in few words and in none that tells it from
-its relatives. The rest of the block is then scanned again, so several licenses in a row are all found.
+Each license template whose telling words stand in a block of text is aligned with it word by word, and confirmed if the
+wording differs in few words and in none that tells it from its relatives. The stretch is compressed alone and with the
+template as zstandard raw-content dictionary; of the confirmed templates the one counts that saves most bytes. The rest of the block is then scanned again, so several licenses in a row are all found.
 
 Candidate blocks are lines that hold a cue, with the short lines around them that wrapped license
 text consists of. Cues are searched in every text by Spark itself; only texts with one reach Python.
@@ -105,7 +104,6 @@ CUES = ("licens", "permission", "redistribut", "public domain", "rights reserved
 MAX_DIFFERENCE = 0.2
 #: On so little text zstandard parses best, and still fast, at a high level.
 LEVEL = 19
-RANKED = 4
 #: Lines before and after a line with a cue that belong to its block if they are short.
 NEAR, SHORT = 12, 120
 OUT = "doc_id long, line int, license string, saved int, words int, differences int, wording string"
@@ -129,13 +127,10 @@ def _frozen(templates: dict):
     return tuple((name, text, must) for name, forms in templates.items() for text, must in forms)
 
 
-def ranked(words: list[str], frozen) -> list[tuple[int, int]]:
-    """(bytes saved, template's number), best first; ties go to the longer template."""
-    templates, plain = _templates(frozen)
+def saving(words: list[str], template, plain) -> int:
+    """Bytes that the template as dictionary saves on the words."""
     body = " ".join(words).encode()
-    alone = len(plain.compress(body))
-    saved = [(alone - len(t[3].compress(body)), i) for i, t in enumerate(templates)]
-    return sorted(saved, key=lambda x: (-x[0], -len(templates[x[1]][1]), x[1]))
+    return len(plain.compress(body)) - len(template[3].compress(body))
 
 
 def aligned(template: tuple[str, ...], words: list[str]) -> tuple[int, int, int]:
@@ -156,18 +151,23 @@ def differences(template: tuple[str, ...], words: list[str]) -> tuple[list[str],
 
 
 def confirmed(words: list[str], frozen):
-    """(license, bytes saved, stretch, differences) of the first ranked template that the wording confirms."""
-    templates, _ = _templates(frozen)
-    for saved, i in ranked(words, frozen)[:RANKED]:
-        name, template, must, _ = templates[i]
-        if saved <= 0 or not must <= set(words):
+    """(license, bytes saved, stretch, differences) of the template that saves most among those that the wording confirms; ties go to the longer one.
+
+    Bytes are those of the stretch alone, so what else stands in the block, however long, does not count.
+    """
+    templates, plain = _templates(frozen)
+    there, best = set(words), None
+    for i, (name, template, must, _) in enumerate(templates):
+        if not must <= there:
             continue
         distance, lo, hi = aligned(template, words)
         if distance <= MAX_DIFFERENCE * len(template):
             found, touched = differences(template, words[lo:hi])
             if not must & touched:
-                return name, saved, lo, hi, distance, found
-    return None
+                saved = saving(words[lo:hi], templates[i], plain)
+                if best is None or (saved, len(template)) > best[0]:
+                    best = (saved, len(template)), (name, saved, lo, hi, distance, found)
+    return best and best[1]
 
 
 def blocks(text: str) -> list[tuple[int, str]]:

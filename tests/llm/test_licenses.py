@@ -1,5 +1,6 @@
 """License scans against whole lines of the tables, changed wordings and each edge case."""
 
+import random
 import textwrap
 
 import pytest
@@ -59,3 +60,11 @@ def test_edges(spark):
     got = licenses.scan_licenses(docs).collect()
     assert sorted((r.doc_id or 0, r.license) for r in got) == [(0, "MIT"), (3, "MIT"), (3, "MIT"), (4, "MIT")]
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text, name", sorted(LINES.items()))
+def test_notice_inside_a_long_line(text, name):
+    common = "the of and to a in that is was he for it with as his on be at by had not are but from or have an they which one you were all her she there would their we him been has".split()
+    prose = random.Random(0).choices(common, [1 / (i + 2) for i in range(len(common))], k=2500)
+    for size in (250, 625, 1250, 2500):
+        assert names(" ".join(prose[: size // 2] + text.split() + prose[size // 2 : size])) == [name]
