@@ -5,7 +5,7 @@ wording differs in few words and in none that tells it from its relatives. The s
 template as zstandard raw-content dictionary; of the confirmed templates the one counts that saves most bytes. The rest of the block is then scanned again, so several licenses in a row are all found.
 
 Candidate blocks are lines that hold a cue, with the short lines around them that wrapped license
-text consists of. Cues are searched in every text by Spark itself; only texts with one reach Python.
+text consists of, across single blank lines between its paragraphs. Cues are searched in every text by Spark itself; only texts with one reach Python.
 Templates are a parameter of fixed, small size; rows are independent, so nothing is shuffled.
 
 Edge cases: null and empty texts have no license; very long texts are scanned whole; a license that
@@ -180,7 +180,7 @@ def blocks(text: str) -> list[tuple[int, str]]:
             wanted.add(i)
             for step in (-1, 1):
                 for j in range(i + step, i + step * (NEAR + 1), step):
-                    if not 0 <= j < len(lines) or len(lines[j]) > SHORT or not lines[j].strip():
+                    if not 0 <= j < len(lines) or len(lines[j]) > SHORT or not (lines[j].strip() or lines[j - step].strip()):
                         break
                     wanted.add(j)
     out: list[tuple[int, list[str]]] = []

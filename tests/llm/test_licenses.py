@@ -68,3 +68,41 @@ def test_notice_inside_a_long_line(text, name):
     prose = random.Random(0).choices(common, [1 / (i + 2) for i in range(len(common))], k=2500)
     for size in (250, 625, 1250, 2500):
         assert names(" ".join(prose[: size // 2] + text.split() + prose[size // 2 : size])) == [name]
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD_TEXT = """Copyright (c) 2020, Some Body
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NEITHER = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+@pytest.mark.parametrize("text, name", [(MIT_TEXT, "MIT"), (BSD_TEXT, "BSD-2-Clause"), (BSD_TEXT + NEITHER, "BSD-3-Clause")])
+def test_published_texts_with_blank_lines(text, name):
+    assert names(text) == [name]
