@@ -1,7 +1,7 @@
 """Line deduplication: lines that many documents share stay in one document only.
 
-Line hashes are counted with map-side combining, the shared ones are range-partitioned and
-sorted by hash, document and position into an index, and what comes back per document is a
+Line hashes are grouped with the count of their documents and the largest of these; the shared ones
+are a table in ranges of the hash, which an equi-join takes back to the lines, and what comes back per document is a
 sparse keep bitmap, not text. Everything runs in DataFrame functions.
 
 Edge cases: null or empty text is one empty line. Repeated rows with one doc_id count as one

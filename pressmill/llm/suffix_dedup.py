@@ -185,7 +185,7 @@ def _map_regions(window: int, buckets: int):
 
 
 class SuffixLevels:
-    """Suffix arrays of geometrically growing sizes over suffixes seen so far.
+    """Sorted lists of suffix ranks, of geometrically growing sizes, over suffixes seen so far.
 
     A suffix is known by a 64-bit rank: its first three bytes in text order, then a fingerprint of
     its first `window` bytes. Suffixes come in corpus order, so what a level holds is earlier.
