@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Stands for a null doc_id inside an operator: such rows sort before every real document.
@@ -14,12 +14,26 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new path in the folder all executors share (spark.checkpoint.dir; a temporary one where it is unset)."""
+    """A new path in the folder all executors share, spark.checkpoint.dir; only a local session may leave that unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/pressmill-{uuid.uuid4().hex}"
+    return f"{_own_folder(base, spark)}/{uuid.uuid4().hex}"
+
+
+def _own_folder(base: str, spark: SparkSession) -> str:
+    return f"{base.rstrip('/')}/pressmill-{spark.conf.get('spark.app.id', 'app')}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Removes all tables that this application has stored; call it when the results are written, which may read them."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(base, spark))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, *partition_by: str) -> DataFrame:
@@ -36,3 +50,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def ascii_lower(col):
     """A-Z to a-z and nothing else; lower() does just that where all is ASCII, and much faster."""
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
+
+
+def running_sums(rows: DataFrame, order: list[Column], **sums: Column) -> DataFrame:
+    """rows with, by name, the sum of a column over all rows before this one (null or 0 at the first); no two rows may tie.
+
+    Rows are dealt in ranges of the order; each range sums its own, and one row per range says where it starts.
+    """
+    ranges = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *order)
+    dealt = stored(ranges.withColumns({f"_{name}": value for name, value in sums.items()} | {"_range": F.spark_partition_id()}))
+    earlier, before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_range").agg(*(F.sum(f"_{name}").alias(f"_{name}") for name in sums))
+    starts = starts.select(F.col("_range").alias("_at"), *(F.coalesce(F.sum(f"_{name}").over(earlier), F.lit(0)).alias(f"_from_{name}") for name in sums))
+    joined = dealt.join(starts, F.col("_range") == F.col("_at"))
+    return joined.select(*rows.columns, *((F.col(f"_from_{name}") + F.coalesce(F.sum(f"_{name}").over(before), F.lit(0))).alias(name) for name in sums))

@@ -5,21 +5,24 @@ is cut off is shared out again by weight). A source is taken as whole epochs fir
 its target is filled with documents in order of exponential keys -ln(u)/quality, u being a hash
 of doc_id. The prefix sums are taken in two levels: sizes by key bucket, then, only within the
 one bucket where a source's budget ends, by document. So a source with a third of all rows never
-meets in one task, and all of it runs in DataFrame functions.
+meets in one task, nor do the sources themselves, and all of it runs in DataFrame functions.
 
 Edge cases: null text has size 0; a null source is a source of its own, last in order; a null
 doc_id is hashed as the empty string; rows that repeat are each a document. A source of size 0
-has target 0. Extra columns are kept unless they carry a name of the result.
+has target 0. A null or NaN quality counts as 1; documents of a quality of 0 or less come after all others of
+their source, among themselves as if their quality were 1. Extra columns are kept unless they carry a name of the result.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import running_sums, stored
 
 #: Buckets of the sampling keys within a source; the last prefix sum covers one of them.
 BUCKETS = 4096
 WEIGHTS = (3, 1, 2)
+#: Quality weight of a document labelled 0, and what a label of 1 adds; without a label the weight is 1.
+LABEL_BASE, LABEL_GAIN = 0.5, 1.0
 
 
 def word_count(text: Column) -> Column:
@@ -31,37 +34,52 @@ def word_count(text: Column) -> Column:
 def sampling_key(doc_id: Column, quality: Column) -> Column:
     """Exponential with rate quality; ascending order samples without replacement by quality."""
     digits = F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 13), 16, 10).cast("long")
-    return -F.log((digits + F.lit(0.5)) / F.lit(float(2**52))) / quality
+    return -F.log((digits + F.lit(0.5)) / F.lit(float(2**52))) / F.when(quality > 0, quality).otherwise(F.lit(1.0))
+
+
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """doc_id, quality: the weight that a document's labels (0 to 1) give it, their mean where there are several."""
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+    return rows.groupBy("doc_id").agg((F.lit(LABEL_BASE) + F.lit(LABEL_GAIN) * F.avg("quality")).alias("quality"))
 
 
 def source_targets(sizes: DataFrame, epochs_of_all: float = 1.5, max_epochs: float = 2.0, weights=WEIGHTS) -> DataFrame:
     """source, source_size, target from a table (source, source_size) of one row per source.
 
-    Water filling in closed form: in ascending order of cap/weight the first source whose cap
-    exceeds the level reached by what the capped ones before it leave fixes the level. The two
-    windows run over one row per source, which a mix lists by hand.
+    Water filling: in ascending order of cap/weight the first source that its cap does not bind, given what the
+    sources before it take at their caps, fixes the level. Later ones cannot: once caps exceed the total, the
+    level computed from them is negative.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.row_number().over(by_name) - 1) % len(weights) + 1)
-    ranked = sizes.withColumn("weight", weight).withColumn("cap", F.lit(max_epochs) * F.col("source_size"))
-    order = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, rest, every = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing), Window.partitionBy()
-    level = (F.lit(epochs_of_all) * F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(rest)
-    levels = ranked.withColumn("level", level).withColumn("fits", F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level")))
-    final = F.coalesce(F.min("fits").over(every), F.lit(float("inf")))
-    return levels.select("source", "source_size", F.least("cap", final * F.col("weight")).alias("target"))
-
-
-def mix_sources(docs: DataFrame, epochs_of_all: float = 1.5, max_epochs: float = 2.0, weights=WEIGHTS, quality: Column | None = None, buckets: int = BUCKETS) -> DataFrame:
-    """All rows of docs with size, source_size, target, copies (how often the mix takes the row) and taken."""
-    taken = {"size", "source_size", "target", "copies", "taken", "before", "left", "epochs", "extra", "_key", "_bucket", "_tie", "_turn", "_s"}
-    extra = [c for c in docs.columns if c not in taken]
-    rows = docs.select(
-        *extra, word_count(docs["text"]).alias("size"), sampling_key(docs["doc_id"], F.lit(1.0) if quality is None else quality).alias("_key"), F.xxhash64(docs["text"]).alias("_tie")
-    )
-    rows = rows.withColumn("_bucket", F.floor(F.col("_key") / (1 + F.col("_key")) * buckets).cast("int"))
+    by_name = F.col("source").asc_nulls_last()
+    turn = F.col("nth") % len(weights) + 1
+    named = running_sums(sizes, [by_name], nth=F.lit(1)).withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn.cast("int")))
+    ranked = stored(named.select("source", "source_size", "weight", (F.lit(max_epochs) * F.col("source_size")).alias("cap")).withColumn("ratio", F.col("cap") / F.col("weight")))
+    total, weight = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    filled = running_sums(ranked, [F.col("ratio"), by_name], rank=F.lit(1), capped=F.col("cap"), weighed=F.col("weight"))
+    level = (F.lit(float(epochs_of_all) * total) - F.coalesce("capped", F.lit(0.0))) / (F.lit(float(weight)) - F.coalesce("weighed", F.lit(0.0)))
+    fixed = filled.select("rank", "ratio", level.alias("level")).where(F.col("level") <= F.col("ratio")).agg(F.min_by("level", "rank")).first()[0]
+    return ranked.select("source", "source_size", F.least("cap", F.lit(float("inf") if fixed is None else fixed) * F.col("weight")).alias("target"))
+
 
-    # at most `buckets` rows per source, and one per source below: few files hold them at any input size
+def mix_sources(docs: DataFrame, epochs_of_all: float = 1.5, max_epochs: float = 2.0, weights=WEIGHTS, quality: DataFrame | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """All rows of docs with size, source_size, target, copies (how often the mix takes the row) and taken.
+
+    quality is a table (doc_id, quality) of one row per doc_id at most.
+    """
+    made = {"size", "source_size", "target", "copies", "taken", "before", "left", "epochs", "extra", "_key", "_bucket", "_tie", "_turn", "_s", "_q", "_d"}
+    extra = [c for c in docs.columns if c not in made]
+    rows = docs.select(*extra, word_count(docs["text"]).alias("size"), F.xxhash64(docs["text"]).alias("_tie"))
+    if quality is None:
+        rows = rows.withColumn("_q", F.lit(1.0))
+    else:
+        known = quality.select(F.col("doc_id").alias("_d"), F.col("quality").cast("double").alias("_q"))
+        rows = rows.join(known, rows["doc_id"] == known["_d"], "left").drop("_d").withColumn("_q", F.coalesce(F.nanvl("_q", F.lit(1.0)), F.lit(1.0)))
+    rows = rows.withColumn("_key", sampling_key(F.col("doc_id"), F.col("_q")))
+    # documents of no quality have buckets of their own behind the others
+    behind = F.when(F.col("_q") > 0, 0).otherwise(buckets)
+    rows = rows.withColumn("_bucket", F.floor(F.col("_key") / (1 + F.col("_key")) * buckets).cast("int") + behind).drop("_q")
+
+    # at most twice `buckets` rows per source, and one per source below: few files hold them at any input size
     sums = stored(rows.groupBy("source", "_bucket").agg(F.sum("size").alias("sum")).coalesce(32))
     targets = source_targets(sums.groupBy("source").agg(F.sum("sum").alias("source_size")), epochs_of_all, max_epochs, weights)
     epochs = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))
@@ -88,20 +106,28 @@ def mix_sources(docs: DataFrame, epochs_of_all: float = 1.5, max_epochs: float =
     return whole.unionByName(edge).select(*extra, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def labelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_weights(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_mix_sources(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_sources(docs, quality=labelled_quality(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+#: Targets by another way than above: the highest ratio at which all sources, filled to it, stay within the total, tells the capped ones.
 SQL = r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-        -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) AS key FROM documents),
+WITH q AS (SELECT doc_id, 0.5::DOUBLE + avg(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / coalesce(q.quality, 1.0::DOUBLE) AS key
+      FROM documents LEFT JOIN q USING (doc_id)),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight, 2.0::DOUBLE * source_size AS cap FROM s),
-l AS (SELECT *, (1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE
-        - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-        / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-t AS (SELECT source, source_size, least(cap, weight * (SELECT min(level) FROM l WHERE level <= cap / weight)) AS target FROM l),
+g AS (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE AS total FROM s),
+r AS (SELECT a.cap / a.weight AS ratio, sum(least(b.cap, b.weight * (a.cap / a.weight))) AS filled FROM w a CROSS JOIN w b GROUP BY 1),
+c AS (SELECT coalesce(max(ratio), -1) AS ratio FROM r, g WHERE filled <= total),
+f AS (SELECT (any_value(total) - coalesce(sum(cap) FILTER (WHERE cap / weight <= ratio), 0)) / sum(weight) FILTER (WHERE cap / weight > ratio) AS level FROM w, c, g),
+t AS (SELECT source, source_size, CASE WHEN cap / weight <= ratio THEN cap ELSE weight * level END AS target FROM w, c, f),
 e AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size) END AS epochs FROM t),
 p AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS upto

@@ -94,12 +94,76 @@ def test_lines_and_mix_edges(spark, edges):
     assert mixing.mix_sources(clash).count() == line_dedup.line_dedup(clash).count() == len(EDGES)
 
 
-def test_mix_meets_targets(spark, medium):
-    rows = mixing.op10_mix_sources(spark, medium)
-    docs = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "source")
-    largest = rows.agg(F.max("size")).first()[0]
-    for r in rows.join(docs, "doc_id").groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("n")).collect():
-        assert abs(r.t - r.n) <= largest
+def water_filling(sizes, weights=(3, 1, 2)):
+    """source -> target: whatever exceeds a cap is shared again among those below theirs, until nothing does."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, left, open_ = dict.fromkeys(names, 0.0), 1.5 * sum(sizes.values()), set(names)
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        over = {s for s in open_ if weight[s] * level > 2 * sizes[s]}
+        for s in over or open_:
+            target[s] = 2.0 * sizes[s] if over else weight[s] * level
+        left -= sum(target[s] for s in over)
+        open_ = open_ - over if over else set()
+    return target
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_mix_meets_targets(spark, medium, sf):
+    path = medium.replace("sf0.01", sf)
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "source")
+    rows = mixing.op10_mix_sources(spark, path).join(docs, "doc_id")
+    assert rows.where("taken < 0 or taken > 2 * size or target < 0 or target > 2 * source_size").isEmpty()
+    found = rows.groupBy("source").agg(F.max("target").alias("t"), F.sum("taken").alias("n"), F.sum("size").alias("size"), F.max("size").alias("largest"), F.max("source_size").alias("m")).collect()
+    want = water_filling({r.source: r["size"] for r in found})
+    for r in found:
+        assert r.m == r["size"] and abs(r.t - want[r.source]) < 1e-6 and abs(r.t - r.n) <= r.largest
+    assert abs(sum(r.t for r in found) - 1.5 * sum(r["size"] for r in found)) < 1e-3
+
+
+def test_targets_against_water_filling(spark):
+    import random
+
+    rnd = random.Random(3)
+    for n in (1, 2, 5, 40):
+        sizes = {f"s{i}": rnd.choice([0, 1, 10, 10, rnd.randrange(10**6)]) for i in range(n)} | {None: rnd.randrange(100)}
+        table = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {r.source: r.target for r in mixing.source_targets(table).collect()}
+        want = water_filling(sizes)
+        assert set(got) == set(want) and all(abs(got[s] - want[s]) < 1e-6 for s in want)
+
+
+def test_mix_by_quality(spark):
+    # one source, half of which is to be taken once more; a quality of 0 comes last, null and NaN count as 1
+    docs = spark.createDataFrame([(i, "w " * 10, "s") for i in range(400)], "doc_id long, text string, source string")
+    kinds = [0.0, None, float("nan"), 50.0]
+    quality = spark.createDataFrame([(i, kinds[i % 4]) for i in range(400)], "doc_id long, quality double")
+    rows = mixing.mix_sources(docs, quality=quality)
+    twice = {k: rows.where((F.col("doc_id") % 4 == k) & (F.col("copies") == 2)).count() for k in range(4)}
+    assert rows.where("copies not in (1, 2)").isEmpty() and sum(twice.values()) == 200
+    assert twice[0] == 0 and twice[3] > 95 and min(twice[1], twice[2]) > 30
+    only_zero = mixing.mix_sources(docs, quality=quality.withColumn("quality", F.lit(0.0)))
+    assert only_zero.where("copies = 2").count() == 200
+    none = mixing.mix_sources(docs, quality=quality.limit(0))
+    plain = lambda df: sorted((r.doc_id, r.copies) for r in df.collect())
+    assert plain(none) == plain(mixing.mix_sources(docs)) != plain(rows)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, None), (None, 1)], "doc_id long, quality int")
+    assert {r.doc_id: r.quality for r in mixing.quality_weights(labels).collect()} == {1: 1.0, 2: 1.5}
+
+
+def test_running_sums(spark):
+    from pressmill.llm.common import drop_stored, running_sums, scratch_dir
+
+    rows = spark.createDataFrame([(i, i * i) for i in range(100)], "k long, v long").repartition(5)
+    got = {r.k: (r.n, r.total) for r in running_sums(rows, [F.col("k").desc()], n=F.lit(1), total=F.col("v")).collect()}
+    assert got == {i: (99 - i, sum(j * j for j in range(i + 1, 100))) for i in range(100)}
+    folder = scratch_dir(spark).rsplit("/", 1)[0].removeprefix("file://")
+    import os
+
+    assert os.listdir(folder)
+    drop_stored(spark)
+    assert not os.path.exists(folder)
 
 
 def test_repeated_rows_and_null_ids(spark):
