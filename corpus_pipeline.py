@@ -12,7 +12,7 @@ from pressmill.llm.common import NULL_ID, stored
 from pressmill.llm.decontaminate import contaminated
 from pressmill.llm.language import detect_language, fold, labelled_sample
 from pressmill.llm.line_dedup import line_dedup
-from pressmill.llm.mixing import mix_sources
+from pressmill.llm.mixing import labelled_quality, mix_sources
 from pressmill.llm.simhash import near_copy_groups
 
 #: Near copies share this much of their five-word shingles.
@@ -73,7 +73,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with size, source_size, target, copies and taken."""
-    return mix_sources(docs).where(F.col("copies") > 0)
+    return mix_sources(docs, quality=labelled_quality(spark, sf_dir)).where(F.col("copies") > 0)
 
 
 STAGES = [

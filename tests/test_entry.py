@@ -25,3 +25,8 @@ def test_without_the_subpackage(tmp_path):
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert q and s and not any(n.startswith('op') or n == 'pipeline' for n in q)"
     subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, check=True)
+
+
+def test_without_a_module_that_the_subpackage_needs():
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; q = e.queries(); assert q and e.oracle_sql() and 'pipeline' not in q"
+    subprocess.run([sys.executable, "-B", "-c", code], cwd=ROOT, check=True)
