@@ -3,7 +3,7 @@
 Documents with one fingerprint are one node. Of six blocks of the 64 bits, two at least are alike in
 any pair that differs in four bits or fewer, so there are fifteen tries, each with another two blocks on
 top, where no error is allowed: Spark's shuffle is the descent through these top levels. Below them, node pairs of the
-bucket's tries are traversed together level by level; each pair carries the bits it differs in so far and is dropped
+bucket's tries are traversed together from branch to branch; each pair carries the bits it differs in so far and is dropped
 when they exceed the budget. Crowded subtrees are first split by Spark into their pairs of child nodes,
 which are bucketed on their own. A task returns links that span what is connected in it, not all pairs.
 
@@ -26,6 +26,8 @@ from .components import components
 BUDGET, BLOCKS = 4, 6
 #: Fingerprints a subtree may hold before it is split into child pairs.
 CROWDED = 20_000
+#: Node pairs of tries that a task takes a step further at once.
+FRONTIER = 100_000
 #: Band prints of a text and the random orders each of them takes: 0.99993 of pairs of similarity 0.8 share a print.
 BANDS, WIDTH = 24, 5
 _ORDERS = np.random.default_rng(7).integers(0, 1 << 64, (2, BANDS * WIDTH), dtype=U)
@@ -133,48 +135,63 @@ class _Groups:
                 self.label = further
 
 
+def _shared_bits(x: np.ndarray) -> np.ndarray:
+    """Leading zero bits of each difference: how long the two entries go together."""
+    for step in (1, 2, 4, 8, 16, 32):
+        x = x | (x >> U(step))
+    return 64 - _popcount(x)
+
+
+def _below(depth: np.ndarray) -> np.ndarray:
+    """Masks of the bits from a depth (0 to 64) on."""
+    return np.where(depth > 63, U(0), ~U(0) >> np.minimum(depth, 63).astype(U))
+
+
 def trie_links(turned: np.ndarray, starts: np.ndarray, stops: np.ndarray, top: np.ndarray, budget: int, groups: _Groups) -> np.ndarray:
     """Joins in `groups` all pairs within each range of `turned` that differ in `budget` bits or fewer.
 
-    Returns for each entry the nearest one before it within the budget, or -1. Ranges are sorted and share their top bits. The frontier holds node pairs (two index ranges and
-    the bits they differ in); small ones are compared outright, the rest go down one level.
+    Returns for each entry the nearest one before it within the budget, or -1. Ranges are sorted and share their top bits;
+    each is a binary trie whose nodes are ranges of entries of one prefix. The frontier holds node pairs with the bits
+    they differ in so far. A step takes each pair down to where one of its nodes branches, adds the bits in
+    which the stretch between differs, drops the pair if that exceeds the budget, and goes on with the pairs of children.
     """
-    a0, a1, b0, b1 = starts.copy(), stops.copy(), starts.copy(), stops.copy()
-    depth, errors = top.copy(), np.zeros(len(starts), dtype=np.int64)
     nearest = np.full(len(turned), 1 << 62, dtype=np.int64)  # bits apart above the entry's number
-    while len(a0):
-        small = ((a1 - a0) * (b1 - b0) <= 256) | (depth > 63)
-        for lo in range(0, int(small.sum()), 4096):
-            at = np.flatnonzero(small)[lo : lo + 4096]
-            wide = b1[at] - b0[at]
-            size = (a1[at] - a0[at]) * wide
-            which = np.repeat(np.arange(len(at)), size)
-            k = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
-            x, y = a0[at][which] + k // wide[which], b0[at][which] + k % wide[which]
-            apart = _popcount(turned[x] ^ turned[y])
-            near = (x < y) & (apart <= budget)
-            groups.join(x[near], y[near])
-            np.minimum.at(nearest, y[near], apart[near] << 40 | x[near])
-        a0, a1, b0, b1, depth, errors = (v[~small] for v in (a0, a1, b0, b1, depth, errors))
-        if not len(a0):
-            break
+    stack = [(starts, stops, starts, stops, top.astype(np.int64), np.zeros(len(starts), dtype=np.int64))]
+    while stack:  # in parts, the deepest first, so that memory stays bounded however many pairs there are
+        part = stack.pop()
+        if len(part[0]) > FRONTIER:
+            stack.append(tuple(v[FRONTIER:] for v in part))
+        a0, a1, b0, b1, depth, errors = (v[:FRONTIER] for v in part)
+        branch = np.minimum(_shared_bits(turned[a0] ^ turned[a1 - 1]), _shared_bits(turned[b0] ^ turned[b1 - 1]))
+        errors = errors + _popcount((turned[a0] ^ turned[b0]) & _below(depth) & ~_below(branch))
+        live = errors <= budget
+        leaf = live & (branch > 63)
+        _join_leaves(a0[leaf], a1[leaf], b0[leaf], b1[leaf], errors[leaf], groups, nearest)
+        live &= branch <= 63
+        a0, a1, b0, b1, depth, errors = (v[live] for v in (a0, a1, b0, b1, branch, errors))
         bit = U(1) << (U(63) - depth.astype(U))
         am, bm = _lower_bound(turned, a0, a1, bit), _lower_bound(turned, b0, b1, bit)
-        same = a0 == b0
-        parts = [
-            (a0, am, b0, bm, errors, np.ones(len(a0), dtype=bool)),
-            (am, a1, bm, b1, errors, np.ones(len(a0), dtype=bool)),
-            (a0, am, bm, b1, errors + 1, np.ones(len(a0), dtype=bool)),
-            (am, a1, b0, bm, errors + 1, ~same),
-        ]
-        merged = [np.concatenate([p[i] for p in parts]) for i in range(6)]
-        depths = np.concatenate([depth + 1] * 4)
-        live = merged[5] & (merged[4] <= budget) & (merged[1] > merged[0]) & (merged[3] > merged[2])
-        a0, a1, b0, b1, errors = (v[live] for v in merged[:5])
-        depth = depths[live]
+        apart, every = a0 != b0, np.ones(len(a0), dtype=bool)
+        children = [(a0, am, b0, bm, 0, every), (am, a1, bm, b1, 0, every), (a0, am, bm, b1, 1, every), (am, a1, b0, bm, 1, apart)]
+        use = [use & (hi > lo) & (high > low) & (errors + more <= budget) for lo, hi, low, high, more, use in children]
+        # the branching bit itself is in the difference that the next step counts
+        pairs = [np.concatenate([c[i][u] for c, u in zip(children, use)]) for i in range(4)] + [np.concatenate([v[u] for u in use]) for v in (depth, errors)]
+        if len(pairs[0]):
+            stack.append(tuple(pairs))
     return np.where(nearest < 1 << 62, nearest & (1 << 40) - 1, -1)
 
 
+def _join_leaves(a0, a1, b0, b1, errors, groups: _Groups, nearest: np.ndarray) -> None:
+    """Leaf pairs within the budget; a leaf may hold several equal entries, of which all meet the other leaf's first."""
+    for first, lo, hi in ((a0, b0, b1), (b0, a0, a1)):
+        which = np.repeat(np.arange(len(lo)), hi - lo)
+        other = lo[which] + np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
+        x, y = np.minimum(first[which], other), np.maximum(first[which], other)
+        pair = x < y
+        groups.join(x[pair], y[pair])
+        np.minimum.at(nearest, y[pair], errors[which][pair] << 40 | x[pair])
+
+
 def _lower_bound(turned: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.ndarray) -> np.ndarray:
     """In each range the first index whose entry has the bit set, by bisection of all ranges at once."""
     lo, hi = lo.copy(), hi.copy()
