@@ -7,8 +7,17 @@ repeat only where its anchor's gram repeats. Runs, not windows, are what gets sh
 """
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .blobs import text_chunks
 
 U = np.uint64
+#: A gram of more contexts than this is heavy; contexts are counted on one in SAMPLED of them, by a hash.
+CROWDED, SAMPLED = 4096, 64
+#: The heavy grams that every task is told, at most; it bounds what travels to them, 8 bytes each.
+MOST_HEAVY = 1 << 16
 _MULT = 0x9E3779B97F4A7C15
 _POS_BITS = 24
 #: Symbols a chunk may hold: positions are packed into the low bits of gram hashes.
@@ -84,3 +93,21 @@ def runs(rolling: Rolling, bounds: np.ndarray, window: int, gram: int):
     last = np.append(stop, len(where))[np.searchsorted(stop, first, side="right")]
     anchor = where[first]
     return first, last - first, anchor, grams[anchor]
+
+
+def heavy_grams(texts: DataFrame, found) -> np.ndarray:
+    """Keys of the grams that stand in very many different contexts, ascending; found(data, offsets) gives (key, content) of a chunk's runs.
+
+    It only decides how windows are dealt out: those of a heavy gram one by one, by their own hash, so that they
+    do not meet in one task. Both ways find the same repeats.
+    """
+
+    def run(batches):
+        for _, data, offsets, _ in text_chunks(batches):
+            parts = [np.unique(np.stack([k, c])[:, c % U(SAMPLED) == 0], axis=1) for k, c in found(data, offsets)]
+            pairs = np.unique(np.concatenate(parts, axis=1), axis=1) if parts else np.zeros((2, 0), dtype=U)
+            yield pa.record_batch([pa.array(pairs[0].view(np.int64)), pa.array(pairs[1].view(np.int64))], names=["key", "content"])
+
+    contexts = texts.mapInArrow(run, "key long, content long").distinct().groupBy("key").agg(F.count("*").alias("n"))
+    rows = contexts.where(F.col("n") > CROWDED // SAMPLED).orderBy(F.desc("n"), "key").limit(MOST_HEAVY).select("key").collect()
+    return np.sort(np.array([r["key"] for r in rows], dtype=np.int64).view(U))

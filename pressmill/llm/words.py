@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from .anchors import BYTE_SYMBOLS, Rolling
+from .anchors import BYTE_SYMBOLS, Rolling, U
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -25,5 +25,11 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return Rolling(BYTE_SYMBOLS[data]).spans(starts, ends)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at_once: int = 1 << 18) -> np.ndarray:
+    """A hash of each word, made for so many of them at once that a giant text needs no giant tables."""
+    out = np.zeros(len(starts), dtype=U)
+    for lo in range(0, len(starts), at_once):
+        part = slice(lo, lo + at_once)
+        base = starts[lo]
+        out[part] = Rolling(BYTE_SYMBOLS[data[base : ends[part][-1]]]).spans(starts[part] - base, ends[part] - base)
+    return out
