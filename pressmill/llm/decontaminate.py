@@ -3,7 +3,7 @@
 A test item may differ from a passage in `k` edits, a share of its length. Cut into k + 1 pieces,
 one piece at least must stand in the passage unchanged. An Aho-Corasick automaton of all
 pieces finds these in one pass over each document, and Myers' bit-parallel distance verifies
-the passage around each find. Items come to the tasks in blocks of bounded size, each block
+the passage around each find. Items come to the tasks in blocks of bounded size, one after the other, each block
 against all documents; documents are never shuffled.
 
 Texts are compared case-folded and with white space as single spaces. Edge cases: null or empty texts
@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 ERROR_RATE = 0.08
 MIN_CHARS = 40
 #: Characters of items that a block holds about.
@@ -96,7 +98,8 @@ def matches(text: str, items, rate: float = ERROR_RATE, min_chars: int = MIN_CHA
     out = []
     for number, starts in begins.items():
         item, k, best = items[number][1], budgets[number], None
-        exact = next((s for s in sorted(starts) if s >= 0 and text.startswith(item, s)), None)
+        short = len(item) < min_chars
+        exact = next((s for s in sorted(starts) if s >= 0 and text.startswith(item, s) and not (short and not _whole(text, s, s + len(item)))), None)
         if exact is not None:
             best = (0, exact, exact + len(item))
         elif k:
@@ -109,7 +112,7 @@ def matches(text: str, items, rate: float = ERROR_RATE, min_chars: int = MIN_CHA
                 distance, end = best_match(item, text[at : hi + len(item) + k], masks[number])
                 if distance <= k and (best is None or distance < best[0]):
                     best = (distance, max(0, at + end - len(item)), at + end)
-        if best and (len(item) >= min_chars or _whole(text, best[1], best[2])):
+        if best:
             out.append((number, *best))
     return out
 
@@ -123,14 +126,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE
     test = benchmark.select("item_id", "text").where(F.length(F.trim("text")) > 0)
     total = test.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_chars))
+    if blocks > 1:
+        test = stored(test.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")), "block")
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     out = None
     for block in range(blocks):
-        rows = test.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        rows = (test.where(F.col("block") == block) if blocks > 1 else test).select("item_id", "text").collect()
         items = tuple(sorted(((r["item_id"], n) for r in rows if (n := normal(r["text"]))), key=lambda x: (x[0] is None, x[0] or 0, x[1])))
         if not items and block:
             continue
         found = texts.mapInArrow(_scan(items, rate, min_chars), OUT)
+        # of several blocks each runs before the next is read, so the driver and the plan never hold more than one
+        found = stored(found) if blocks > 1 else found
         out = found if out is None else out.unionByName(found)
     return out
 
