@@ -40,9 +40,8 @@ TAIL = 0.05
 CHUNK = 8_000_000
 START, END = (mixed(np.array([seed], dtype=U))[0] for seed in (0x5354, 0x454E))
 OWNER = U(1 << 63)
-ROW_BITS = 22
 REPLY = "chunk long, bucket int, n int, data binary"
-SCORED = "row long, bucket int, n int, data binary, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+SCORED = "chunk long, place int, bucket int, n int, data binary, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
 def encode(keys: np.ndarray) -> bytes:
@@ -233,10 +232,11 @@ def _score(order: int, buckets: int, model: Model):
                 blobs += [(b, n, encode(keys[lo:hi]) + loss[lo:hi].tobytes() + lower[lo:hi].tobytes(), hi - lo) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
         chance[open_] = np.log10(model.unknown)
         per_doc = lambda x: np.bincount(tokens.doc, weights=x, minlength=docs)
-        first_row, k = chunk << ROW_BITS, len(blobs)
+        k = len(blobs)
         return pa.table(
             {
-                "row": pa.array(np.append(np.arange(docs) + first_row, np.full(k, first_row)), pa.int64()),
+                "chunk": pa.array(np.full(docs + k, chunk), pa.int64()),
+                "place": pa.array([*range(docs), *[None] * k], pa.int32()),
                 "bucket": pa.array([None] * docs + [b[0] for b in blobs], pa.int32()),
                 "n": pa.array([0] * docs + [b[1] for b in blobs], pa.int32()),
                 "data": pa.array([None] * docs + [b[3].item().to_bytes(4, "little") + b[2] for b in blobs], pa.binary()),
@@ -253,9 +253,9 @@ def _score(order: int, buckets: int, model: Model):
 
 
 def _weights(table: pa.Table) -> pa.Table:
-    """Per chunk (its first row) the documents that back off, and the sum of their contexts' log weights."""
+    """Per chunk the documents that back off, and the sum of their contexts' log weights."""
     keys, loss, lower, asked = [], [], [], []
-    for row, n, data in zip(table["row"].to_pylist(), table["n"].to_pylist(), table["data"].to_pylist()):
+    for chunk, n, data in zip(table["chunk"].to_pylist(), table["n"].to_pylist(), table["data"].to_pylist()):
         size, width = int.from_bytes(data[:4], "little"), data[4]
         end = 13 + width * (size - 1)
         own = decode(data[4:end], size)
@@ -264,17 +264,17 @@ def _weights(table: pa.Table) -> pa.Table:
             loss.append(np.frombuffer(data, dtype=float, count=size, offset=end))
             lower.append(np.frombuffer(data, dtype=float, offset=end + 8 * size))
         else:
-            asked.append((row, own, np.frombuffer(data, dtype=np.uint32, offset=end)))
-    rows, sums = [], []
+            asked.append((chunk, own, np.frombuffer(data, dtype=np.uint32, offset=end)))
+    chunks, sums = [], []
     if keys and asked:
         keys, which = np.unique(np.concatenate(keys), return_inverse=True)
         weight = np.log10(np.bincount(which, weights=np.concatenate(loss))) - np.log10(np.maximum(1 - np.bincount(which, weights=np.concatenate(lower)), 1e-12))
-        for row, own, docs in asked:
+        for chunk, own, docs in asked:
             per_doc = np.bincount(docs, weights=weight[np.searchsorted(keys, own)])
             some = np.unique(docs)
-            rows.append(row)
+            chunks.append(chunk)
             sums.append(len(some).to_bytes(4, "little") + some.astype(np.uint32).tobytes() + per_doc[some].tobytes())
-    return pa.table({"row": pa.array(rows, pa.int64()), "data": pa.array(sums, pa.binary())})
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "data": pa.array(sums, pa.binary())})
 
 
 def _added(table: pa.Table) -> pa.Table:
@@ -285,7 +285,8 @@ def _added(table: pa.Table) -> pa.Table:
         docs.append(np.frombuffer(data, dtype=np.uint32, count=n, offset=4))
         sums.append(np.frombuffer(data, dtype=float, offset=4 + 4 * n))
     docs, which = np.unique(np.concatenate(docs), return_inverse=True)
-    return pa.table({"row": pa.array(table["row"][0].as_py() + docs.astype(np.int64)), "weight": pa.array(np.bincount(which, weights=np.concatenate(sums)))})
+    chunk = np.full(len(docs), table["chunk"][0].as_py(), dtype=np.int64)
+    return pa.table({"chunk": pa.array(chunk), "place": pa.array(docs.astype(np.int32)), "weight": pa.array(np.bincount(which, weights=np.concatenate(sums)))})
 
 
 def katz_scores(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
@@ -311,13 +312,13 @@ def katz_scores(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFr
     scored = stored(both.groupBy("chunk").applyInArrow(_score(order, buckets, model), SCORED))
     weights = (
         scored.where(F.col("bucket").isNotNull())
-        .select("row", "bucket", "n", "data", F.abs("n").alias("level"))
+        .select("chunk", "bucket", "n", "data", F.abs("n").alias("level"))
         .groupBy("bucket", "level")
-        .applyInArrow(_weights, "row long, data binary")
+        .applyInArrow(_weights, "chunk long, data binary")
     )
-    added = weights.groupBy("row").applyInArrow(_added, "row long, weight double")
-    rows = scored.where(F.col("bucket").isNull()).select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
-    return rows.join(added, "row", "left").select(
+    added = weights.groupBy("chunk").applyInArrow(_added, "chunk long, place int, weight double")
+    rows = scored.where(F.col("bucket").isNull()).select("chunk", "place", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
+    return rows.join(added, ["chunk", "place"], "left").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), (F.col("score") + F.coalesce("weight", F.lit(0.0))).alias("score")
     )
 
