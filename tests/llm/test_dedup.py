@@ -85,12 +85,86 @@ def test_simhash_edges_and_splits(spark, edges):
         assert brute.classes(len(fps), links) == brute.classes(len(fps), want)
 
 
+def test_substring_dedup_heavy_grams(spark, monkeypatch, edges):
+    # with a low bound nearly every gram is heavy, and the windows are dealt out one by one
+    from pressmill.llm import anchors
+
+    middle = "the same five words and more stand in each text of this table here"
+    rows = [(i, f"{' '.join(str(i * 7919 + k) for k in range(9))} {middle} {' '.join(str(i % 97 + k) for k in range(14))}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for bound in (0, 64, 4096):
+        monkeypatch.setattr(anchors, "CROWDED", bound)
+        got = {r[0]: tuple(r[1:]) for r in substring_dedup.remove_repeated_words(docs, with_text=False).collect()}
+        assert got == brute.substring_dedup(rows)
+    monkeypatch.setattr(anchors, "CROWDED", 0)
+    got = {r[0]: tuple(r[1:]) for r in substring_dedup.remove_repeated_words(edges, with_text=False).collect()}
+    assert got == brute.substring_dedup([(r[0], r[1]) for r in EDGES])
+
+
+def test_substring_dedup_giant_document(spark):
+    words = [f"{k * 2654435761 % 999983:x}" for k in range(1_100_000)]
+    cut = substring_dedup.PIECE
+    rows = [(1, " ".join(words)), (2, " ".join(words[cut - 30 : cut + 30])), (0, " ".join(words[cut - 7 : cut + 9])), (3, " ".join(words[-400_000:]))]
+    got = {r[0]: tuple(r[1:]) for r in substring_dedup.remove_repeated_words(spark.createDataFrame(rows, "doc_id long, text string"), with_text=False).collect()}
+    assert got == brute.substring_dedup(rows)
+
+
+def test_substring_dedup_rejects_what_the_sources_do_not_hold(spark, monkeypatch):
+    text = " ".join(f"w{k}" for k in range(40))
+    docs = spark.createDataFrame([(1, text), (2, f"own words {text}"), (3, "x " * 40), (None, text)], "doc_id long, text string")
+    right = substring_dedup.repeated_paths
+
+    def wrong_at_first(docs, window, seed):
+        found = right(docs, window, seed)
+        return found if seed else found.withColumn("at", F.when(F.col("doc") == 2, F.col("at") + 1).otherwise(F.col("at")))
+
+    monkeypatch.setattr(substring_dedup, "repeated_paths", wrong_at_first)
+    got = sorted((r[0] or 0, r[1], r[2]) for r in substring_dedup.remove_repeated_words(docs).collect())
+    assert got == [(0, 40, 0), (1, 40, 40), (2, 42, 40), (3, 40, 0)]
+
+
+@pytest.mark.parametrize("sizes", [(300, 8, 4, 0), (60, 30, 8, 0), (500, 4, 4, 5), (1, 3, 3, 0), (0, 1, 1, 0)])
+def test_trie_walk_on_deep_groups(monkeypatch, sizes):
+    import random
+
+    import numpy as np
+
+    monkeypatch.setattr(simhash, "FRONTIER", 1000)
+    clusters, size, budget, top = sizes
+    rnd, fps = random.Random(7), [0, 0, (1 << 64) - 1, 5]
+    for _ in range(clusters):
+        base = rnd.getrandbits(64)
+        for _ in range(size):
+            fps.append(base)
+            for bit in rnd.sample(range(64), rnd.randint(1, budget)):
+                base ^= 1 << bit
+    fps = sorted(fps)
+    turned = np.array(fps, dtype=np.uint64)
+    heads = np.array([f >> (64 - top) for f in fps])
+    starts = np.flatnonzero(np.append(True, heads[1:] != heads[:-1]))
+    groups = simhash._Groups(len(fps))
+    nearest = simhash.trie_links(turned, starts, np.append(starts[1:], len(fps)), np.full(len(starts), top), budget, groups)
+    pairs = [(i, j) for i, j in brute.linked(fps, budget) if heads[i] == heads[j]]
+    assert brute.classes(len(fps), list(enumerate(groups.label.tolist()))) == brute.classes(len(fps), pairs)
+    apart = lambda i, j: (fps[i] ^ fps[j]).bit_count()
+    least = {}
+    for i, j in pairs:
+        least[j] = min(least.get(j, 64), apart(i, j))
+    assert {j: apart(i, j) for j, i in enumerate(nearest.tolist()) if i >= 0} == least
+
+
 def test_lines_and_mix_edges(spark, edges):
     got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in line_dedup.line_dedup(edges).collect()}
     assert got[1] == got[2] == (1, 0, "")
     assert got[6] == (4, 2, "x\ny") and got[7] == (1, 1, "") and got[9] == (3, 1, "\n") and got[14] == (2, 0, f"{LONG}\nz")
     assert {r.doc_id for r in mixing.mix_sources(edges).collect()} == {r[0] for r in EDGES}
-    clash = edges.withColumn("size", F.lit("x")).withColumn("key", F.lit(1)).withColumn("drop", F.lit(2))
+    # many runs in one long text, and one line in enough documents to fill all slices
+    long = "\n".join(f"{LONG} {i}" if i % 3 else f"own line {i}" for i in range(3000))
+    many = spark.createDataFrame([(i, long) for i in range(6)] + [(100 + i, f"{LONG}\n{i}") for i in range(2000)], "doc_id long, text string").repartition(11)
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in line_dedup.line_dedup(many).collect()}
+    assert all(got[i] == (3000, 2000, "\n".join(f"own line {k}" for k in range(0, 3000, 3))) for i in range(5)) and got[5] == (3000, 0, long)
+    assert all(got[100 + i] == ((2, 1, str(i)) if i < 1999 else (2, 0, f"{LONG}\n{i}")) for i in range(2000))
+    clash = edges.withColumn("size", F.lit("x")).withColumn("key", F.lit(1)).withColumn("starts", F.lit(2))
     assert mixing.mix_sources(clash).count() == line_dedup.line_dedup(clash).count() == len(EDGES)
 
 

@@ -94,6 +94,46 @@ def test_edit_matching_against_dynamic_programming():
         assert found == want, number
 
 
+def distances(items, text):
+    """Least edit distance of each item to any substring of the text: the full table, a row per character, all items together."""
+    import numpy as np
+
+    width = max(len(i) for i in items)
+    letters = np.array([[ord(c) for c in i.ljust(width, "\0")] for i in items])
+    ends, steps = np.array([len(i) for i in items]), np.arange(width + 1)
+    row = np.tile(steps, (len(items), 1))
+    best = ends.copy()
+    for c in text:
+        new = np.zeros_like(row)
+        new[:, 1:] = np.minimum(row[:, :-1] + (letters != ord(c)), row[:, 1:] + 1)
+        row = np.minimum.accumulate(new - steps, axis=1) + steps
+        best = np.minimum(best, row[np.arange(len(items)), ends])
+    return best.tolist()
+
+
+def test_decontamination_query_against_all_distances(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("text is not null").collect()
+    items = [(r.item_id, decontaminate.normal(r.text)) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.op3_decontaminate(spark, small).collect()}
+    want = {}
+    for d in docs:
+        text = decontaminate.normal(d.text)
+        for (item_id, item), apart in zip(items, distances([i for _, i in items], text)):
+            if len(item) >= decontaminate.MIN_CHARS:
+                if apart <= int(len(item) * decontaminate.ERROR_RATE):
+                    want[d.doc_id, item_id] = apart
+            elif re.search(rf"(?<![^\W_]){re.escape(item)}(?![^\W_])", text):
+                want[d.doc_id, item_id] = 0
+    assert got == want and len(want) > 10
+
+
+def test_short_items_at_every_hit():
+    items = ((0, "tiny"), (1, "a b"))
+    found = lambda text: [m[0] for m in decontaminate.matches(text, items)]
+    assert found("destiny and a tiny thing") == [0] and found("tiny") == [0] and found("destiny tinyest") == []
+    assert found("ca bc a b") == [1] and found("xa ba bx") == []
+
+
 def test_decontamination_query_and_edges(spark, small):
     got = {(r.doc_id, r.item_id) for r in decontaminate.op3_decontaminate(spark, small).collect()}
     docs = spark.read.parquet(f"{small}/documents.parquet").collect()
