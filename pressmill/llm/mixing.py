@@ -8,7 +8,7 @@ one bucket where a source's budget ends, by document. So a source with a third o
 meets in one task, nor do the sources themselves, and all of it runs in DataFrame functions.
 
 Edge cases: null text has size 0; a null source is a source of its own, last in order; a null
-doc_id is hashed as the empty string; rows that repeat are each a document. A source of size 0
+doc_id is hashed as the empty string; rows that repeat are each a document, and are taken equally often. A source of size 0
 has target 0. A null or NaN quality counts as 1; documents of a quality of 0 or less come after all others of
 their source, among themselves as if their quality were 1. Extra columns are kept unless they carry a name of the result.
 """
@@ -66,21 +66,23 @@ def mix_sources(docs: DataFrame, epochs_of_all: float = 1.5, max_epochs: float =
 
     quality is a table (doc_id, quality) of one row per doc_id at most.
     """
-    made = {"size", "source_size", "target", "copies", "taken", "before", "left", "epochs", "extra", "_key", "_bucket", "_tie", "_turn", "_s", "_q", "_d"}
+    made = {"size", "source_size", "target", "copies", "taken", "before", "left", "epochs", "extra", "_key", "_bucket", "_tie", "_turn", "_s", "_q", "_d", "_cut"}
     extra = [c for c in docs.columns if c not in made]
     rows = docs.select(*extra, word_count(docs["text"]).alias("size"), F.xxhash64(docs["text"]).alias("_tie"))
     if quality is None:
         rows = rows.withColumn("_q", F.lit(1.0))
     else:
         known = quality.select(F.col("doc_id").alias("_d"), F.col("quality").cast("double").alias("_q"))
-        rows = rows.join(known, rows["doc_id"] == known["_d"], "left").drop("_d").withColumn("_q", F.coalesce(F.nanvl("_q", F.lit(1.0)), F.lit(1.0)))
+        # one plan at every size: labels may be as many as documents
+        rows = rows.join(known.hint("merge"), rows["doc_id"] == known["_d"], "left").drop("_d").withColumn("_q", F.coalesce(F.nanvl("_q", F.lit(1.0)), F.lit(1.0)))
     rows = rows.withColumn("_key", sampling_key(F.col("doc_id"), F.col("_q")))
     # documents of no quality have buckets of their own behind the others
     behind = F.when(F.col("_q") > 0, 0).otherwise(buckets)
     rows = rows.withColumn("_bucket", F.floor(F.col("_key") / (1 + F.col("_key")) * buckets).cast("int") + behind).drop("_q")
 
     # at most twice `buckets` rows per source, and one per source below: few files hold them at any input size
-    sums = stored(rows.groupBy("source", "_bucket").agg(F.sum("size").alias("sum")).coalesce(32))
+    keys = stored(rows.select("source", "doc_id", "size", "_key", "_bucket", "_tie"))
+    sums = stored(keys.groupBy("source", "_bucket").agg(F.sum("size").alias("sum")).coalesce(32))
     targets = source_targets(sums.groupBy("source").agg(F.sum("sum").alias("source_size")), epochs_of_all, max_epochs, weights)
     epochs = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))
     upto = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -95,15 +97,18 @@ def mix_sources(docs: DataFrame, epochs_of_all: float = 1.5, max_epochs: float =
         .withColumnRenamed("source", "_s")
     )
     lasts = stored(lasts.coalesce(4))
-    joined = rows.join(lasts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    inside = F.coalesce(F.col("_bucket") == F.col("_turn"), F.lit(False))
-    whole = joined.where(~inside).withColumn("extra", (F.col("_bucket") < F.coalesce("_turn", F.lit(-1))).cast("long"))
-    running = Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id", "size", "_tie").rowsBetween(Window.unboundedPreceding, 0)
-    # a document is in if the budget ends behind its middle, so that the last one lands as near as it can
-    middle = F.col("before") + F.sum("size").over(running) - F.col("size") / 2
-    edge = joined.where(inside).withColumn("extra", (middle <= F.col("left")).cast("long"))
-    copies = F.col("epochs") + F.col("extra")
-    return whole.unionByName(edge).select(*extra, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    # in that bucket documents of one place in the order go together; the last ones in are those whose middle the budget reaches
+    place = F.struct("_key", "doc_id", "size", "_tie")
+    inside = keys.join(lasts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_turn")))
+    alike = inside.groupBy("_s", "before", "left", place.alias("_place")).agg(F.sum("size").alias("sum"))
+    running = Window.partitionBy("_s").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    middle = F.col("before") + F.sum("sum").over(running) - F.col("sum") / 2
+    cuts = alike.withColumn("_in", middle <= F.col("left")).where("_in").groupBy("_s").agg(F.max("_place").alias("_cut"))
+    ends = stored(lasts.join(cuts.withColumnRenamed("_s", "_c"), F.col("_s").eqNullSafe(F.col("_c")), "left").drop("_c").coalesce(4))
+    within = (F.col("_bucket") < F.col("_turn")) | ((F.col("_bucket") == F.col("_turn")) & F.coalesce(place <= F.col("_cut"), F.lit(False)))
+    copies = F.col("epochs") + F.coalesce(within, F.lit(False)).cast("long")
+    chosen = rows.join(ends, F.col("source").eqNullSafe(F.col("_s"))).withColumn("copies", copies)
+    return chosen.select(*extra, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def labelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
