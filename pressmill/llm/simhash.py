@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import U
+from .blobs import sort_runs
 from .common import NULL_ID, shuffle_partitions, stored
 from .components import components
 
@@ -317,11 +318,18 @@ def _confirm(similarity: float):
 
 
 def _across(limit: int):
-    """Pairs of a group's texts under different labels, up to `limit` for each text; a row with cut says that there were more."""
+    """Pairs of a group's texts under different labels, up to `limit` for each text; a row with cut says that there were more.
+
+    Texts propose pairs to those of labels that more of the group's texts have, so that the many texts of one large
+    label do not each name the few others.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         group, label, own, sig = (table[c].to_numpy() for c in ("group", "label", "own", "sig"))
-        order = np.lexsort((sig, own, label, group))
+        order, new = sort_runs(group, label)
+        many = np.empty(len(order), dtype=np.int64)
+        many[order] = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] if len(order) else 0
+        order = np.lexsort((sig, own, label, many, group))
         group, label, own, sig = group[order], label[order], own[order], sig[order]
         ends = lambda *keys: np.append(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1, len(sig))
         stop, after = ends(group), ends(group, label)
