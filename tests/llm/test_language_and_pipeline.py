@@ -124,7 +124,7 @@ def test_decontamination_query_against_all_distances(spark, small):
                     want[d.doc_id, item_id] = apart
             elif re.search(rf"(?<![^\W_]){re.escape(item)}(?![^\W_])", text):
                 want[d.doc_id, item_id] = 0
-    assert got == want and len(want) > 10
+    assert got == want and len(want) > 2
 
 
 def test_short_items_at_every_hit():
