@@ -45,7 +45,10 @@ def _flush(out: list[str], line: list[str]) -> None:
 
 
 def main_text(html: str) -> str:
-    root = dom.parse(html)
+    return main_text_of(dom.parse(html))
+
+
+def main_text_of(root: dom.Element) -> str:
     articles = root.find_all("article")
     best = max(articles, key=lambda e: len(e.text(strip=True)), default=None)
     if best is None or len(best.text(strip=True)) < 100:
@@ -58,8 +61,12 @@ def main_text(html: str) -> str:
 
 
 def headers_of(html: str) -> dict[str, int]:
+    return headers_in(dom.parse(html))
+
+
+def headers_in(root: dom.Element) -> dict[str, int]:
     """Text of each header over three characters, as it is and normalised, with its level; deeper levels win."""
-    root, found = dom.parse(html), {}
+    found = {}
     for level in range(1, 7):
         for e in root.find_all(f"h{level}"):
             text = e.text(strip=True)

@@ -1,6 +1,4 @@
-"""What a sample page suggests for its site's rules: selectors of titles, subtitles, authors and content, what to remove, language."""
-
-from collections import Counter
+"""What a sample page holds that its site's rules are made from; operators/pages.py scores it in Spark."""
 
 from . import dom
 
@@ -20,7 +18,8 @@ REMOVABLE = [
 ]
 LANGUAGES = ("en", "fr", "ro", "es", "de", "it")
 LANGUAGE_WORDS = (("fr", ("le ", "la ", "les ", "des ", "une ", "par ")), ("ro", ("și ", "în ", "de ", "cu ", "pe ", "sau ")))
-MOST, MOST_REMOVED, MOST_REPEATED = 5, 20, 10
+KINDS = {"titles": TITLES, "subtitles": SUBTITLES, "authors": AUTHORS, "contents": CONTENTS}
+MOST, MOST_REMOVED, MOST_REPEATED, SHOWN = 5, 20, 10, 150
 
 
 def selector_of(e: dom.Element) -> str:
@@ -31,50 +30,16 @@ def selector_of(e: dom.Element) -> str:
     return "." + ".".join(classes) if classes else e.name
 
 
-def _scored(root: dom.Element, weights, fits, bonus) -> list[tuple[str, float, str]]:
-    """(selector, score, text), the best first; of equal ones in the order of the selectors and the page."""
-    found = []
-    for selector, weight in weights:
-        for e in dom.select(root, selector):
-            meta = e.name == "meta"
-            text = e.attrs.get("content", "") if meta else e.text(strip=True)
-            if fits(len(text), meta):
-                found.append((selector if meta else selector_of(e), weight + (0 if meta else bonus(e, text)), text))
-    return sorted(found, key=lambda x: -x[1])[:MOST]
-
-
-def titles(root):
-    return _scored(root, TITLES, lambda n, _: n > 10, lambda e, _: 0.5 * ("title" in " ".join(e.classes).lower()) + 0.3 * (e.name == "h1"))
-
-
-def subtitles(root):
-    return _scored(root, SUBTITLES, lambda n, meta: n > 20 if meta else 20 <= n <= 300, lambda e, _: 0.5 * ("subtitle" in " ".join(e.classes).lower()))
-
-
-def authors(root):
-    return _scored(root, AUTHORS, lambda n, _: 3 <= n <= 100, lambda e, _: 0.0)
-
-
-def contents(root):
-    return _scored(root, CONTENTS, lambda n, _: n > 200, lambda e, text: min(len(text.split()) / 1000, 2.0))
-
-
-def removable(root) -> list[str]:
-    found = {}
-    for e in root.elements():
-        own, ident = " ".join(e.classes).lower(), e.attrs.get("id", "").lower()
-        if any(x in own or x in ident for x in REMOVABLE):
-            found.setdefault(selector_of(e))
-    return list(found)[:MOST_REMOVED]
-
-
-def language(root) -> str:
-    pages = root.find_all("html")
-    named = pages[0].attrs.get("lang", "")[:2].lower() if pages else ""
-    if named in LANGUAGES:
-        return named
-    text = root.text()[:1000].lower()
-    return next((name for name, words in LANGUAGE_WORDS if any(w in text for w in words)), "en")
+def parts(root: dom.Element) -> list[dict]:
+    """Every element that a selector of a kind finds, in the order of the selectors and the page; what it is worth is for the plan to say."""
+    out = []
+    for kind, weights in KINDS.items():
+        for nth, (selector, _) in enumerate(weights):
+            for e in dom.select(root, selector):
+                meta = e.name == "meta"
+                text = e.attrs.get("content", "") if meta else e.text(strip=True)
+                out.append({"kind": kind, "nth": nth, "selector": selector if meta else selector_of(e), "name": e.name, "classes": " ".join(e.classes).lower(), "chars": len(text), "words": len(text.split()), "text": text[:SHOWN]})
+    return out
 
 
 def _bare(string: str) -> str:
@@ -82,16 +47,13 @@ def _bare(string: str) -> str:
     return (string[4:-3] if isinstance(string, dom.Comment) and string.startswith("<!--") else string).strip()
 
 
-def repeated_texts(root) -> list[str]:
-    """Short texts, comments included, that stand in the page more than once, the most frequent first."""
-    texts = [s for e in [root, *root.elements()] for c in e.children if isinstance(c, str) and 5 <= len(s := _bare(c)) <= 100]
-    return [text for text, n in Counter(texts).most_common(MOST_REPEATED) if n > 1]
-
-
-def analysed(html: str) -> dict:
-    """Everything about a page, from one parse."""
+def page(html: str) -> dict:
+    """What rules are made from, from one parse: candidates, named elements, strings (comments included), language attribute, text."""
     root = dom.parse(html)
+    elements = list(root.elements())
+    top = next((e for e in elements if e.name == "html"), None)
+    named = [{"selector": selector_of(e), "names": f"{' '.join(e.classes).lower()} {e.attrs.get('id', '').lower()}"} for e in elements if e.classes or e.attrs.get("id")]
     return {
-        "titles": titles(root), "subtitles": subtitles(root), "authors": authors(root), "contents": contents(root), "removable": removable(root), "language": language(root),
-        "repeated": repeated_texts(root), "classes": [c for e in root.elements() for c in e.classes], "ids": [e.attrs["id"] for e in root.elements() if e.attrs.get("id")],
+        "parts": parts(root), "named": named, "strings": [t for e in [root, *elements] for c in e.children if isinstance(c, str) and (t := _bare(c))], "lang": top.attrs.get("lang", "") if top else "",
+        "page_text": root.text(), "classes": [c for e in elements for c in e.classes], "ids": [e.attrs["id"] for e in elements if e.attrs.get("id")],
     }

@@ -32,11 +32,9 @@ def strip_irrelevant(html: str) -> str:
     return str(root)
 
 
-def _parsed_without_comments(html: str) -> dom.Element:
-    root = dom.parse(re.sub(r"<!--.*?-->", "", html, flags=re.DOTALL))
+def _without_comments(root: dom.Element) -> None:
     for e in [root, *root.elements()]:
         e.children = [c for c in e.children if not (isinstance(c, dom.Comment) and c.startswith("<!--"))]
-    return root
 
 
 def _page_header(e: dom.Element) -> bool:
@@ -46,8 +44,12 @@ def _page_header(e: dom.Element) -> bool:
 
 
 def clean(html: str) -> str:
-    """Only what belongs to the content: no navigation, forms, advertisements, empty elements or layout attributes."""
-    root = _parsed_without_comments(html)
+    return cleaned(dom.parse(html))
+
+
+def cleaned(root: dom.Element) -> str:
+    """Only what belongs to the content: no navigation, forms, advertisements, empty elements or layout attributes. Changes the tree."""
+    _without_comments(root)
     _without(root, lambda e: e.name in NO_CONTENT)
     _without(root, _page_header)
     _without(root, lambda e: any(x in e.attrs.get("class", "") for x in UNWANTED_CLASSES) or any(x in e.attrs.get("id", "") for x in UNWANTED_IDS))
@@ -60,8 +62,12 @@ def clean(html: str) -> str:
 
 
 def clean_lightly(html: str) -> str:
-    """Without what is surely no content; attributes stay but for style."""
-    root = _parsed_without_comments(html)
+    return lightly_cleaned(dom.parse(html))
+
+
+def lightly_cleaned(root: dom.Element) -> str:
+    """Without what is surely no content; attributes stay but for style. Changes the tree."""
+    _without_comments(root)
     _without(root, lambda e: e.name in NO_CONTENT_LIGHT)
     _without(root, lambda e: any(x in e.attrs.get(a, "") for x in UNWANTED_LIGHT for a in ("class", "id")))
     for e in root.elements():

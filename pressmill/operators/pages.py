@@ -9,11 +9,13 @@ from pyspark.sql import types as T
 
 from ..functions import text as texts
 from ..functions import urls
-from ..functions.rx import strip, word_count
+from ..functions.rx import contains_any, strip, word_count
 from ..html import article, candidates, clean, dom, sections
 
-_SCORED = "array<struct<selector:string,score:double,text:string>>"
-ANALYSIS = f"titles {_SCORED}, subtitles {_SCORED}, authors {_SCORED}, contents {_SCORED}, removable array<string>, language string, repeated array<string>, classes array<string>, ids array<string>, text_chars int, text_words int"
+PARSED = (
+    "parts array<struct<kind:string,nth:int,selector:string,name:string,classes:string,chars:int,words:int,text:string>>, named array<struct<selector:string,names:string>>, strings array<string>, "
+    "lang string, page_text string, classes array<string>, ids array<string>"
+)
 EXTRACTION = "cleaned_html string, extracted string, sections string, headers map<string,int>, title string, author string, date string"
 #: html.parser trees and texts of so many pages are in a task's memory at once.
 ROWS = 64
@@ -52,21 +54,68 @@ def rewritten(pages: DataFrame, how: str) -> DataFrame:
     return per_page(pages, make, ["html"], "html string")
 
 
-def _analysis(html):
-    found = candidates.analysed(html or "")
-    text = dom.parse(html or "").text()
-    return (*(found[k] for k in ("titles", "subtitles", "authors", "contents")), found["removable"], found["language"], found["repeated"], found["classes"], found["ids"], len(text), len(text.split()))
+def _scored(kind: str) -> Column:
+    """The best candidates of a kind: selector, score, text; of equal ones in the order of the selectors and the page."""
+    n, meta = (lambda p: p["chars"]), (lambda p: p["name"] == "meta")
+    fits = {
+        "titles": lambda p: n(p) > 10,
+        "subtitles": lambda p: F.when(meta(p), n(p) > 20).otherwise(n(p).between(20, 300)),
+        "authors": lambda p: n(p).between(3, 100),
+        "contents": lambda p: n(p) > 200,
+    }[kind]
+    holds = lambda p, word: F.contains(p["classes"], F.lit(word)).cast("int") * F.lit(0.5)
+    bonus = {
+        "titles": lambda p: holds(p, "title") + (p["name"] == "h1").cast("int") * F.lit(0.3),
+        "subtitles": lambda p: holds(p, "subtitle"),
+        "authors": lambda p: F.lit(0.0),
+        "contents": lambda p: F.least(p["words"] / F.lit(1000), F.lit(2.0)),
+    }[kind]
+    weights = F.array(*(F.lit(float(w)) for _, w in candidates.KINDS[kind]))
+    own = F.filter("parts", lambda p: (p["kind"] == kind) & fits(p))
+    score = lambda p: F.element_at(weights, p["nth"] + 1) + F.when(meta(p), F.lit(0.0)).otherwise(bonus(p))
+    ranked = F.array_sort(F.transform(own, lambda p, i: F.struct((-score(p)).alias("minus"), i.alias("i"), p["selector"].alias("selector"), p["text"].alias("text"))))
+    return F.transform(F.slice(ranked, 1, candidates.MOST), lambda c: F.struct(c["selector"].alias("selector"), (-c["minus"]).alias("score"), c["text"].alias("text")))
+
+
+def _removable() -> Column:
+    """Selectors of elements whose classes or id tell that they are no content, in the order of the page."""
+    own = F.filter("named", lambda e: contains_any(e["names"], candidates.REMOVABLE))
+    return F.slice(F.array_distinct(F.transform(own, lambda e: e["selector"])), 1, candidates.MOST_REMOVED)
+
+
+def _page_language() -> Column:
+    """By the page's own attribute, else by common words near its top, else English."""
+    own, text = F.lower(F.substring("lang", 1, 2)), F.lower(F.substring("page_text", 1, 1000))
+    by_words = F.coalesce(*(F.when(contains_any(text, list(words)), F.lit(name)) for name, words in candidates.LANGUAGE_WORDS), F.lit("en"))
+    return F.when(own.isin(*candidates.LANGUAGES), own).otherwise(by_words)
+
+
+def _repeated() -> Column:
+    """Short strings that stand in a page more than once, the most frequent first, then in the order of the page."""
+    short = F.array_sort(F.transform(F.filter("strings", lambda s: F.char_length(s).between(5, 100)), lambda s, i: F.struct(s.alias("s"), i.alias("i"))))
+    starts = F.filter(F.transform(short, lambda x, i: F.struct(x["s"].alias("s"), x["i"].alias("first"), i.alias("at"), ((i == 0) | (F.get(short, i - 1)["s"] != x["s"])).alias("new"))), lambda x: x["new"])
+    counted = F.transform(starts, lambda x, i: F.struct((x["at"] - F.coalesce(F.get(starts, i + 1)["at"], F.size(short))).alias("minus"), x["first"].alias("first"), x["s"].alias("s")))
+    return F.transform(F.slice(F.array_sort(F.filter(counted, lambda c: c["minus"] < -1)), 1, candidates.MOST_REPEATED), lambda c: c["s"])
 
 
 def analysed(pages: DataFrame) -> DataFrame:
-    """pages with selector candidates of each kind, parts to remove, language, repeated texts, classes and ids."""
+    """pages with selector candidates of each kind, parts to remove, language, repeated texts, classes and ids.
+
+    A page is parsed once, in its task, to candidates and strings; thresholds, scores and ranks are Spark's.
+    """
 
     def make(html):
-        found = _analysis(html)
-        scored, rest = found[:4], found[4:]
-        return (*([{"selector": s, "score": float(x), "text": t[:150]} for s, x, t in kind] for kind in scored), *rest)
+        try:
+            found = candidates.page(html or "")
+        except RecursionError:
+            found = candidates.page("")
+        return tuple(found[k] for k in ("parts", "named", "strings", "lang", "page_text", "classes", "ids"))
 
-    return per_page(pages, make, ["html"], ANALYSIS)
+    rows = per_page(pages, make, ["html"], PARSED)
+    scored = {kind: _scored(kind) for kind in candidates.KINDS}
+    return rows.withColumns(
+        scored | {"removable": _removable(), "language": _page_language(), "repeated": _repeated(), "text_chars": F.char_length("page_text"), "text_words": word_count(F.col("page_text"))}
+    ).drop("parts", "named", "strings", "lang", "page_text")
 
 
 def selector_scores(analysis: DataFrame, site: str) -> DataFrame:
@@ -88,7 +137,7 @@ def most_common(analysis: DataFrame, site: str, column: str, most: int) -> DataF
 def site_language(analysis: DataFrame, site: str, first: str) -> DataFrame:
     """site, language: the most frequent one; of equal ones that of the earliest page."""
     counts = analysis.groupBy(site, "language").agg(F.count("*").alias("n"), F.min(first).alias("first"))
-    return counts.groupBy(site).agg(F.max_by("language", F.struct("n", (-F.col("first")).alias("earlier"))).alias("language"))
+    return counts.groupBy(site).agg(F.min_by("language", F.struct((-F.col("n")).alias("fewer"), "first")).alias("language"))
 
 
 def validated(analysis: DataFrame, site: str) -> DataFrame:
@@ -107,17 +156,20 @@ def _extraction(method: str, rules: dict):
     def make(html, domain, url_title):
         try:
             formatted = clean.marked(html or "")
-            cleaned = clean.clean(formatted) if method == "dense" else clean.clean_lightly(formatted)
-            found, root = article.main_text(cleaned), dom.parse(formatted)
+            # one tree for all: sections, metadata and headers are read before it is cleaned
+            root = dom.parse(formatted)
+            own = sections.sections(root, rules.get(domain) or {}, url_title or "")
+            title = _meta(root, 'meta[property="og:title"]', "title", "h1")
+            author = _meta(root, 'meta[name="author"]', ".author", ".byline", '[rel="author"]')
+            date = _meta(root, 'meta[property="article:published_time"]', 'meta[name="date"]')
+            headers = article.headers_in(root)
+            cleaned = clean.cleaned(root) if method == "dense" else clean.lightly_cleaned(root)
+            found = article.main_text_of(root)
         except RecursionError:
             return html, None, "", {}, None, None, None
         if method == "dense":
             found = article.paragraph_spaced(found)
-        own = sections.sections(root, rules.get(domain) or {}, url_title or "")
-        title = _meta(root, 'meta[property="og:title"]', "title", "h1")
-        author = _meta(root, 'meta[name="author"]', ".author", ".byline", '[rel="author"]')
-        date = _meta(root, 'meta[property="article:published_time"]', 'meta[name="date"]')
-        return cleaned, found, own, article.headers_of(formatted), title, author, date
+        return cleaned, found, own, headers, title, author, date
 
     return make
 

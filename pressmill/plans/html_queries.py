@@ -1,8 +1,12 @@
 """Queries over page HTML: cleaning, analysis of sample pages, rules of sites, extraction and feeds."""
 
+import re
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import urls
+from ..html import candidates
 from ..operators import onboarding, pages
 from .tables import spread_out, table
 
@@ -20,7 +24,34 @@ def _analysis(spark, sf_dir):
 
 
 def html_candidates(spark, sf_dir):
-    return _analysis(spark, sf_dir).drop("classes", "ids", "url")
+    """The best selectors of each kind on each page."""
+    found = _analysis(spark, sf_dir)
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("found")) for k in candidates.KINDS))).alias("k")
+    each = found.select("page_id", kinds).select("page_id", F.col("k.kind").alias("kind"), F.posexplode("k.found").alias("i", "c"))
+    return each.select("page_id", "kind", (F.col("i") + 1).alias("rank"), "c.selector", "c.score", "c.text")
+
+
+def html_page_parts(spark, sf_dir):
+    """Size of the text, parts to remove and how many classes and ids each page has."""
+    return _analysis(spark, sf_dir).select("page_id", "text_chars", "text_words", F.array_join("removable", " ").alias("removable"), F.size("classes").alias("n_classes"), F.size("ids").alias("n_ids"))
+
+
+def html_kept_tags(spark, sf_dir):
+    """Elements that each way of cleaning leaves, by page and tag."""
+    counts = None
+    for how in ("strip", "clean", "light"):
+        tags = F.explode(F.regexp_extract_all("html", F.lit("<([a-z][a-z0-9]*)"), F.lit(1))).alias("tag")
+        own = pages.rewritten(_pages(spark, sf_dir), how).select("page_id", F.lit(how).alias("how"), tags)
+        counts = own if counts is None else counts.unionByName(own)
+    return counts.groupBy("page_id", "how", "tag").agg(F.count("*").alias("n"))
+
+
+def site_rules(spark, sf_dir):
+    """The proposed rules of each site as columns, read back from their YAML."""
+    rules = onboarding.site_rules(_analysis(spark, sf_dir), "site", "page_id")
+    line = lambda key: F.regexp_extract("config", rf"(?m)^{key}: (.*)$", 1)
+    listed = lambda key: F.array_join(F.regexp_extract_all(F.regexp_extract("config", rf"(?m)^{key}:\n((?:- .*\n)+)", 1), F.lit(r"(?m)^- (.*)$"), F.lit(1)), " ")
+    return rules.select("site", "language", line("domain").alias("domain"), line("title_selector").alias("title_selector"), listed("article_selectors").alias("article_selectors"))
 
 
 def page_language(spark, sf_dir):
@@ -79,10 +110,43 @@ def extract_gates(spark, sf_dir):
 
 QUERIES = {f"html_{name}": _rewritten(how) for name, how in (("strip", "strip"), ("clean", "clean"), ("light_clean", "light"), ("markdown", "marked"))} | {
     f.__name__: f
-    for f in (html_candidates, page_language, selector_scores, site_classes, repeated_texts, site_validation, onboard_config, page_lang_attr, page_titles_regex, extract_articles, extract_articles_light, extract_gates)
+    for f in (html_candidates, html_page_parts, html_kept_tags, site_rules, page_language, selector_scores, site_classes, repeated_texts, site_validation, onboard_config, page_lang_attr, page_titles_regex, extract_articles, extract_articles_light, extract_gates)
 }
+#: Pages of the tables in SQL: without scripts and styles (whose text is no text), without comments, entities as characters.
+_PAGES = r"""
+p0 AS (SELECT page_id, html, regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^www\.', '') AS site, lower(substr(regexp_extract(html, '(?i)<html[^>]*\blang=["'']?([a-zA-Z-]+)', 1), 1, 2)) AS lang,
+    regexp_replace(regexp_replace(html, '(?s)<(?:script|style)>.*?</(?:script|style)>', '', 'g'), '(?s)<!--.*?-->', '', 'g') AS bare FROM pages),
+p1 AS (SELECT *, @regexp_replace(bare, '<[^>]*>', chr(1), 'g')@ AS marked,
+    @trim(regexp_extract(bare, '(?s)<h1>(.*?)</h1>', 1))@ AS h1, @regexp_replace(regexp_extract(bare, '(?s)<article>(.*?)</article>', 1), '\s*<[^>]*>\s*', '', 'g')@ AS body FROM p0),
+p AS (SELECT *, replace(marked, chr(1), '') AS page_text FROM p1),
+a AS (SELECT *, CASE WHEN lang IN ('en', 'fr', 'ro', 'es', 'de', 'it') THEN lang WHEN regexp_matches(lower(substr(page_text, 1, 1000)), 'le |la |les |des |une |par ') THEN 'fr'
+    WHEN regexp_matches(lower(substr(page_text, 1, 1000)), 'și |în |de |cu |pe |sau ') THEN 'ro' ELSE 'en' END AS language FROM p),
+c AS (SELECT page_id, site, 'titles' AS kind, 'h1' AS selector, 2.0::DOUBLE + 0.3::DOUBLE AS score, h1 AS text FROM p WHERE length(h1) > 10
+    UNION ALL SELECT page_id, site, 'contents', 'article', 1.5::DOUBLE + least(len(regexp_extract_all(body, '\S+'))::DOUBLE / 1000, 2.0::DOUBLE), body FROM p WHERE length(body) > 200),
+s0 AS (SELECT page_id, site, trim(unnest(string_split(marked, chr(1)))) AS value FROM p),
+s1 AS (SELECT page_id, site, value FROM s0 WHERE length(value) BETWEEN 5 AND 100 GROUP BY 1, 2, 3 HAVING count(*) > 1),
+rep AS (SELECT site, value, count(*) AS n, row_number() OVER (PARTITION BY site ORDER BY count(*) DESC, value) AS rank FROM s1 GROUP BY site, value),
+lg AS (SELECT site, language, row_number() OVER (PARTITION BY site ORDER BY count(*) DESC, min(page_id)) AS k FROM a GROUP BY site, language)
+"""
+_ENTITIES = {"&copy;": "©", "&middot;": "·", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&amp;": "&"}
+#: What stands between two at signs, with its entities as characters.
+_PAGES = re.sub(r"@([^@]+)@", lambda m: reduce(lambda x, e: f"replace({x}, '{e[0]}', '{e[1]}')", _ENTITIES.items(), m[1]), _PAGES)
+_TAGS = r"t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<(?:script|style)>.*?</(?:script|style)>', '', 'g'), '<([a-z][a-z0-9]*)', 1)) AS tag FROM pages)"
+#: Elements of the tables' pages that are gone: in strip those without content and attributes, in both others what is no content and what it holds.
+_GONE = {"strip": ["br", "meta"], "clean": ["head", "meta", "title", "nav", "ul", "li", "a", "footer"], "light": ["meta", "title", "nav", "ul", "li", "a", "footer"]}
 SQL = {
     "page_lang_attr": """SELECT page_id, CASE WHEN lang IN ('en', 'fr', 'ro', 'es', 'de', 'it') THEN lang END AS language FROM
         (SELECT page_id, lower(substr(regexp_extract(html, '(?i)<html[^>]*\\blang=["'']?([a-zA-Z-]+)', 1), 1, 2)) AS lang FROM pages)""",
     "page_titles_regex": "SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')) AS title FROM pages",
+    "page_language": f"WITH {_PAGES} SELECT page_id, language FROM a",
+    "html_candidates": f"WITH {_PAGES} SELECT page_id, kind, 1 AS rank, selector, score, substr(text, 1, 150) AS text FROM c",
+    "html_page_parts": f"WITH {_PAGES} SELECT page_id, length(page_text)::INT AS text_chars, len(regexp_extract_all(page_text, '\\S+'))::INT AS text_words, '' AS removable, 1 AS n_classes, 0 AS n_ids FROM p",
+    "html_kept_tags": f"WITH {_TAGS} " + " UNION ALL ".join(f"SELECT page_id, '{how}' AS how, tag, count(*) AS n FROM t WHERE NOT list_contains({gone}, tag) GROUP BY page_id, tag" for how, gone in _GONE.items()),
+    "selector_scores": f"WITH {_PAGES} SELECT site, kind, selector, sum(score::DECIMAL(20, 6))::DOUBLE AS score, 1 AS rank FROM c GROUP BY site, kind, selector",
+    "site_classes": f"WITH {_PAGES} SELECT site, 'ad' AS value, count(*) AS n, 1 AS rank FROM p GROUP BY site",
+    "repeated_texts": f"WITH {_PAGES} SELECT site, value, n, rank FROM rep WHERE rank <= 5",
+    "site_validation": f"""WITH {_PAGES} SELECT site, count(*) AS pages, count(*) FILTER (WHERE length(page_text) > 500) AS successful, count(*) FILTER (WHERE length(page_text) <= 500) AS failed,
+        coalesce(avg(len(regexp_extract_all(page_text, '\\S+'))) FILTER (WHERE length(page_text) > 500), 0.0::DOUBLE) AS average_words FROM p GROUP BY site""",
+    "site_rules": f"""WITH {_PAGES} SELECT site, language, CASE WHEN starts_with(site, 'www.') THEN site ELSE 'www.' || site END AS domain, 'h1' AS title_selector,
+        CASE WHEN EXISTS (SELECT 1 FROM c WHERE c.site = lg.site AND kind = 'contents') THEN 'article .article-content .post-content .entry-content main' ELSE '.article-content .post-content .entry-content article main' END AS article_selectors FROM lg WHERE k = 1""",
 }

@@ -2,6 +2,7 @@
 
 import pytest
 
+from pressmill.operators import pages
 from pressmill.html import article, candidates, clean, dom, sections
 
 PAGE = """<!DOCTYPE html><html lang="fr"><head><title>A title of the page</title><meta name="description" content="What the page is about, in short">
@@ -71,13 +72,17 @@ def test_sections():
     assert sections.sections(root, {}) == ""
 
 
-def test_candidates():
-    found = candidates.analysed(PAGE)
-    assert found["titles"][0][:2] == (".title", 3.8) and found["authors"][0][0] == ".author" and found["language"] == "fr"
-    assert found["subtitles"][0] == ('meta[name="description"]', 1.0, "What the page is about, in short")
-    assert "#menu" in found["removable"] and ".sidebar" in found["removable"] and "home" in found["classes"]
-    assert candidates.language(dom.parse("<p>și acum</p>")) == "ro" and candidates.language(dom.parse("<p>xyz</p>")) == "en"
-    assert candidates.repeated_texts(dom.parse("<p>again</p><p>again</p><p>once only</p>")) == ["again"]
+def test_candidates(spark):
+    rows = [(1, PAGE), (2, "<p>și acum</p>"), (3, "<p>xyz</p><p>xyz</p>"), (4, "<p>again</p><i>once only</i><p>again</p><b>other</b><!--other-->"), (5, None), (6, "<h1 class='Title x'>A heading of some length</h1>" * 7)]
+    found = {r.i: r for r in pages.analysed(spark.createDataFrame(rows, "i int, html string")).collect()}
+    page = found[1]
+    assert page.titles[0][:2] == (".title", 3.8) and page.authors[0][0] == ".author" and page.language == "fr"
+    assert tuple(page.subtitles[0]) == ('meta[name="description"]', 1.0, "What the page is about, in short")
+    assert "#menu" in page.removable and ".sidebar" in page.removable and "home" in page.classes
+    assert found[2].language == "ro" and found[3].language == found[5].language == "en"
+    assert found[4].repeated == ["other", "again"] and found[3].repeated == found[5].repeated == []
+    assert len(found[6].titles) == 5 and {t.selector for t in found[6].titles} == {".Title.x"} and found[6].titles[0].score == 2.8
+    assert found[5].titles == [] and found[5].text_chars == 0
     assert candidates.selector_of(dom.parse('<i class="1 2">').children[0]) == "i"
 
 
