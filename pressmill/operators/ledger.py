@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import stored
+
 
 def new_links(found: DataFrame, log: DataFrame) -> DataFrame:
     """Links that this month's log does not hold; a link is new again next month."""
@@ -24,10 +26,11 @@ def limit_successes(work: DataFrame, limit: int, order: str, per: str | None = N
     """The first `limit` items that ended well (per domain or in all), with every other item that comes before the last of them."""
     from pyspark.sql import Window
 
-    # without a domain, all counts meet in one window, but only the bounded head of successes is needed
     if per is None:
-        head = work.where("status = 'success'").orderBy(order).limit(limit).agg(F.count("*").alias("_n"), F.max(order).alias("_last"))
-        return work.join(head, (F.col("_n") < limit) | (F.col(order) <= F.col("_last"))).drop("_n", "_last")
+        # only the last of the wanted successes is looked up, so that not all items meet in one window
+        rows = stored(work)
+        head = rows.where("status = 'success'").orderBy(order).limit(limit).agg(F.count("*"), F.max(order)).first()
+        return rows if head[0] < limit else rows.where(F.col(order) <= F.lit(head[1]))
     before = Window.partitionBy(per).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     counted = work.withColumn("_before", F.coalesce(F.sum((F.col("status") == "success").cast("int")).over(before), F.lit(0)))
     return counted.where(F.col("_before") < limit).drop("_before")

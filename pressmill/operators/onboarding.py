@@ -77,6 +77,27 @@ def as_yaml(rules: dict) -> str:
     return yaml.dump(rules, default_flow_style=False, allow_unicode=True, sort_keys=False)
 
 
+def report(sites: DataFrame, found: DataFrame, analysis: DataFrame, rules: DataFrame, now) -> DataFrame:
+    """site, found, successful, failed, average_words, language, created_at and whether the site has rules; a row for each site."""
+    n = found.groupBy("site").agg(F.count("*").alias("found"))
+    checked = pages.validated(analysis, "site").drop("pages")
+    rows = sites.select("site").distinct().join(n, "site", "left").join(checked, "site", "left").join(rules.select("site", "language"), "site", "left")
+    zero = {"found": 0, "successful": 0, "failed": 0, "average_words": 0.0}
+    return rows.fillna(zero).withColumns({"has_rules": F.col("language").isNotNull(), "created_at": F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss")})
+
+
+def save(rules: DataFrame, found: DataFrame, folder: str) -> None:
+    """The rules as one text file per site below {folder}/rules/file=<site>, and the report as JSON lines."""
+    named = rules.select(F.regexp_replace("site", r"^www\.", "").alias("file"), "config")
+    named.repartition("file").write.mode("overwrite").partitionBy("file").text(f"{folder}/rules")
+    found.write.mode("overwrite").json(f"{folder}/report")
+
+
+def saved_rules(spark, folder: str) -> DataFrame:
+    """site, config as saved."""
+    return spark.read.text(f"{folder}/rules", wholetext=True).select(F.col("file").alias("site"), F.rtrim("value").alias("config"))
+
+
 def site_rules(analysis: DataFrame, site: str, first: str) -> DataFrame:
     """site, language, config (YAML) from analysed sample pages; first orders pages where languages tie."""
     scores = pages.selector_scores(analysis, site)

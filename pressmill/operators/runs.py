@@ -1,13 +1,14 @@
 """Whole runs: link discovery, fetching, feeds and retention, each one plan over tables."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..sources import fetch as web
 from ..sources import sinks
-from . import articles, retention
-from .ledger import limit_successes, new_links, not_done
+from ..scratch import stored
+from . import articles, onboarding, pages, retention
+from .ledger import new_links, not_done
 
 
 def discover_links(sites: DataFrame, cache: DataFrame, log: DataFrame, fetch: web.Fetcher, now: Column) -> DataFrame:
@@ -36,14 +37,49 @@ def fetch_pages(links: DataFrame, ledger: DataFrame, rules: DataFrame, fetch: we
     good = (F.col("reason") == "passed all filters") & F.col("file_name").isNotNull()
     reason = F.when(F.col("file_name").isNull(), "invalid path").otherwise(F.col("reason"))
     left_out = todo.where(~good).withColumns({"status": F.lit("filtered"), "reason": reason, "html": F.lit(None).cast("string")})
-    answers = web.fetched(todo.where(good).drop("reason"), fetch).drop("content_type")
-    ok = (F.col("status") == 200) & F.col("html").isNotNull()
-    done = answers.withColumns({"ok": ok, "html": F.when(ok, F.col("html"))}).withColumns({"status": F.when(F.col("ok"), "success").otherwise("error"), "reason": F.when(~F.col("ok"), "Download failed")}).drop("ok")
-    if limit is not None:
-        done = limit_successes(done, limit, "path", "domain")
+    wanted = todo.where(good).drop("reason")
+    done = _answers(wanted, fetch) if limit is None else _answers_until(wanted, fetch, limit)
     return done.unionByName(left_out).withColumn("fetched_at", now)
 
 
+def _answers(wanted: DataFrame, fetch: web.Fetcher) -> DataFrame:
+    answers = web.fetched(wanted, fetch).drop("content_type")
+    ok = (F.col("status") == 200) & F.col("html").isNotNull()
+    return answers.withColumns({"ok": ok, "html": F.when(ok, F.col("html"))}).withColumns({"status": F.when(F.col("ok"), "success").otherwise("error"), "reason": F.when(~F.col("ok"), "Download failed")}).drop("ok")
+
+
+def _answers_until(wanted: DataFrame, fetch: web.Fetcher, limit: int) -> DataFrame:
+    """Answers in order of the path until each domain has `limit` successes.
+
+    Each round fetches from a domain as many as it lacks, so nothing is fetched that the limit rules out.
+    """
+    queue = stored(wanted.withColumn("_nth", F.row_number().over(Window.partitionBy("domain").orderBy("path"))))
+    state = queue.groupBy("domain").agg(F.lit(0).alias("_upto"), F.lit(0).alias("_got"))
+    done = None
+    while True:
+        lacking = F.col("_nth").between(F.col("_upto") + 1, F.col("_upto") + limit - F.col("_got"))
+        turn = stored(_answers(queue.join(state, "domain").where(lacking).drop("_upto", "_got"), fetch))
+        if turn.isEmpty():
+            return (turn if done is None else done).drop("_nth")
+        done = turn if done is None else done.unionByName(turn)
+        state = stored(done.groupBy("domain").agg(F.max("_nth").alias("_upto"), F.count_if(F.col("status") == "success").cast("int").alias("_got")))
+
+
+def onboard(sites: DataFrame, fetch: web.Fetcher, now: Column, folder: str, sample: int = 8) -> DataFrame:
+    """From site URLs (site, base) to saved rules and reports: finds articles, analyses them, proposes rules and validates these.
+
+    Writes {folder}/rules (one YAML document per site, file names without `www.`) and {folder}/report (JSON), and returns the
+    report. A site without articles has a report only.
+    """
+    urls_found = stored(web.article_sample(sites, fetch, sample))
+    answers = web.fetched(urls_found, fetch).where((F.col("status") == 200) & F.col("html").isNotNull())
+    parsed = stored(pages.analysed(answers.select("site", "url", "html")).drop("html"))
+    rules = stored(onboarding.site_rules(parsed, "site", "url"))
+    report = stored(onboarding.report(sites, urls_found, parsed, rules, now))
+    onboarding.save(rules, report, folder)
+    return report
+
+
 def website_feeds(analysed: DataFrame, site: str, ties: str, now: Column) -> DataFrame:
     return sinks.feeds(articles.feed_rows(analysed, site, ties), site, now)
 

@@ -1,12 +1,15 @@
 """Pages from the network behind one small interface, and the discovery of article URLs of a site.
 
-A fetcher is any picklable callable url -> (status, content type, text) or None. Tests and offline runs
-pass a dictionary's lookup; nothing here opens a connection by itself.
+A fetcher is any picklable callable url -> (status, content type, text) or None. HttpFetcher asks the network; tests and
+offline runs pass a dictionary's lookup.
 """
 
 import re
+import time
 from collections.abc import Callable
+from urllib.error import HTTPError
 from urllib.parse import urljoin
+from urllib.request import Request, urlopen
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -16,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions import urls
 from ..functions.rx import contains_any
+from ..scratch import stored
 
 Fetcher = Callable[[str], tuple[int, str, str] | None]
 # Paths that are tried, what no article URL holds, and what articles' URLs look like.
@@ -25,6 +29,35 @@ NO_ARTICLE = ["/tag/", "/category/", "/author/", "/search/", "/page/", "/contact
 ARTICLE_FORMS = [r"/\d{4}/", "/news/", "/article/", "/post/", "/story/", r"-\d+$", r"-\d+\.html$"]
 FEED_ENTRIES, INDEXED_SITEMAPS, PER_SITEMAP, SITEMAP_URLS, CRAWLED = 20, 5, 10, 50, 30
 PAGE = "status int, content_type string, html string"
+USER_AGENT = "Mozilla/5.0 (compatible; pressmill)"
+
+
+class HttpFetcher:
+    """Answers from the network. Failures give None, or raise if so asked; delay is what each task waits after a request."""
+
+    def __init__(self, user_agent: str = USER_AGENT, timeout: float = 30.0, delay: float = 0.0, raises: bool = False):
+        self.user_agent, self.timeout, self.delay, self.raises = user_agent, timeout, delay, raises
+
+    def __call__(self, url: str) -> tuple[int, str, str] | None:
+        if not url.lower().startswith(("http://", "https://")):
+            if self.raises:
+                raise ValueError(f"no web address: {url}")
+            return None
+        try:
+            with urlopen(Request(url, headers={"User-Agent": self.user_agent}), timeout=self.timeout) as answer:
+                text = answer.read().decode(answer.headers.get_content_charset() or "utf-8", errors="replace")
+                return answer.status, answer.headers.get("Content-Type", ""), text
+        except HTTPError as error:
+            if self.raises:
+                raise
+            return error.code, error.headers.get("Content-Type", ""), ""
+        except (OSError, ValueError):
+            if self.raises:
+                raise
+            return None
+        finally:
+            if self.delay:
+                time.sleep(self.delay)
 
 
 def fetched(links: DataFrame, fetch: Fetcher) -> DataFrame:
@@ -119,7 +152,7 @@ def sitemaps(sites: DataFrame, fetch: Fetcher) -> DataFrame:
 
 def sitemap_pages(maps: DataFrame, fetch: Fetcher) -> DataFrame:
     """site, link of pages in sitemaps and, one level down, in the sitemaps that an index names."""
-    first = fetched(maps, fetch).where("status = 200")
+    first = stored(fetched(maps, fetch).where("status = 200"))  # read twice, fetched once
     below = _xml_links(first, lambda x: sitemap_links(x)[0], "url")
     second = fetched(below, fetch).where("status = 200")
     return _xml_links(first, lambda x: sitemap_links(x)[1]).unionByName(_xml_links(second, lambda x: sitemap_links(x)[1][:PER_SITEMAP]))
@@ -144,7 +177,7 @@ def article_sample(sites: DataFrame, fetch: Fetcher, size: int) -> DataFrame:
     """site, url: up to size article URLs per site from feeds and sitemaps, and from its homepage if these give fewer. In order of URL."""
     from pyspark.sql import Window
 
-    listed = _xml_links(feeds(sites, fetch), feed_links).unionByName(sitemap_pages(sitemaps(sites, fetch), fetch)).distinct()
+    listed = stored(_xml_links(feeds(sites, fetch), feed_links).unionByName(sitemap_pages(sitemaps(sites, fetch), fetch)).distinct())
     few = sites.join(listed.groupBy("site").agg(F.count("*").alias("n")), "site", "left").where(F.coalesce("n", F.lit(0)) < size).drop("n")
     homes = fetched(few.withColumn("url", F.col("base")), fetch).where("status = 200")
     every = listed.unionByName(crawled(homes)).distinct().where(looks_like_article(F.col("link"), F.col("site")))

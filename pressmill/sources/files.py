@@ -9,6 +9,7 @@ from ..functions.rx import strip
 SITES = "link string, city string, country string"
 LINK_LOG = "seen_at string, path string"
 LEDGER = "stage string, key string, status string, reason string, error string, ts timestamp, attrs map<string,string>"
+LEDGER_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 SKIP_LOG = "timestamp string, file_path string, domain string, skip_type string, reason string, details map<string,string>"
 METADATA = (
     "title string, author string, date string, url string, extracted_at string, source_file string, markdown_file string, content_length int, extraction_method string, cleaned_html_saved boolean, "
@@ -137,7 +138,7 @@ def rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, path: str) -> DataFrame:
-    return _or_empty(spark, path, LEDGER, lambda: spark.read.schema(LEDGER).json(path))
+    return _or_empty(spark, path, LEDGER, lambda: spark.read.schema(LEDGER).option("timestampFormat", LEDGER_TIME).json(path))
 
 
 def skip_log(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators.ledger import latest
+from .files import LEDGER_TIME
 
 FEED_ITEM = ("title", "url", "summary", "content_length", "date", "author", "categories", "importance_score", "sentiment")
 
@@ -43,6 +44,11 @@ def update_ledger(old: DataFrame, run: DataFrame) -> DataFrame:
     return latest(old.unionByName(run, allowMissingColumns=True))
 
 
+def write_ledger(ledger: DataFrame, path: str) -> None:
+    """A ledger as JSON lines, times to the microsecond, as files.ledger reads it."""
+    ledger.withColumn("ts", F.col("ts").cast("timestamp")).write.mode("overwrite").option("timestampFormat", LEDGER_TIME).json(path)
+
+
 def write_skips(skipped: DataFrame, path: str) -> None:
     """Rejected rows as JSON lines by month."""
     skipped.withColumn("month", F.substring("timestamp", 1, 7)).write.mode("append").partitionBy("month").json(path)
@@ -59,6 +65,12 @@ def summary_line(counters: dict[str, int], stage: str, run_at: str, elapsed: flo
     return " | ".join([run_at, stage, *(f"{k}: {v}" for k, v in counters.items()), f"time: {elapsed:.2f}s"])
 
 
+def write_summary(counts: DataFrame, path: str, stage: str, run_at: Column, seconds: float) -> None:
+    """Appends the counters of a run (one row) to the summary log, as a line of the form of summary_line."""
+    parts = [F.date_format(run_at, "yyyy-MM-dd HH:mm:ss"), F.lit(stage), *(F.concat(F.lit(f"{c}: "), F.col(c).cast("string")) for c in counts.columns), F.lit(f"time: {seconds:.2f}s")]
+    counts.select(F.concat_ws(" | ", *parts).alias("value")).coalesce(1).write.mode("append").text(path)
+
+
 def _item(row: dict, date: str) -> str:
     from xml.sax.saxutils import escape
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import urls
 from ..operators.ledger import latest, not_done
-from ..sources.files import LEDGER
+from ..sources.files import LEDGER, _or_empty
 
 
 def arriving(spark: SparkSession, path: str, schema, files_per_batch: int = 1000) -> DataFrame:
@@ -37,25 +37,29 @@ def outcomes(ledger: DataFrame, every: str = "1 hour", lateness: str = "2 hours"
 
 
 class LedgerTable:
-    """A ledger in numbered snapshot folders, so that a run that dies leaves the last whole one in place."""
+    """A ledger as a table by stage that is only ever added to; what counts for a key is the row last written.
+
+    A batch writes its own outcomes and nothing else. compact() writes the latest rows to a new table, for use between runs.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _versions(self) -> list[int]:
-        files = self.spark._jvm.org.apache.hadoop.fs
-        top = files.Path(self.path)
-        system = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = system.globStatus(files.Path(f"{self.path}/v*/_SUCCESS")) or []
-        return sorted(int(str(s.getPath()).split("/")[-2][1:]) for s in done)
+    def _rows(self) -> DataFrame:
+        return _or_empty(self.spark, f"{self.path}/stage=*", LEDGER, lambda: self.spark.read.schema(LEDGER).parquet(self.path))
 
-    def read(self) -> DataFrame:
-        versions = self._versions()
-        return self.spark.read.schema(LEDGER).parquet(f"{self.path}/v{versions[-1]}") if versions else self.spark.createDataFrame([], LEDGER)
+    def read(self, stage: str | None = None) -> DataFrame:
+        """The last row of each stage and key; of one stage only its own folder is read."""
+        rows = self._rows()
+        return latest(rows if stage is None else rows.where(F.col("stage") == stage))
 
     def update(self, run: DataFrame) -> None:
-        versions = self._versions()
-        latest(self.read().unionByName(run)).write.mode("overwrite").parquet(f"{self.path}/v{versions[-1] + 1 if versions else 0}")
+        run.write.mode("append").partitionBy("stage").parquet(self.path)
+
+    def compact(self, path: str) -> "LedgerTable":
+        smaller = LedgerTable(self.spark, path)
+        smaller.update(self.read())
+        return smaller
 
 
 def staged(source: DataFrame, stage: str, work: Callable[[DataFrame], DataFrame], ledger: LedgerTable, out: str, checkpoint: str) -> StreamingQuery:
@@ -67,7 +71,7 @@ def staged(source: DataFrame, stage: str, work: Callable[[DataFrame], DataFrame]
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        todo = not_done(rows, ledger.read().where(F.col("stage") == stage))
+        todo = not_done(rows, ledger.read(stage))
         done = work(todo).persist()
         try:
             done.where("status = 'success'").write.mode("overwrite").parquet(f"{out}/batch={number}")

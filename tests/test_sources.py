@@ -173,3 +173,54 @@ def test_streams(spark, tmp_path, kind):
     query.awaitTermination()
     got = spark.table(f"q_{kind}")
     assert sorted(((r.month, r.path) for r in got.collect()) if kind == "links" else ((r.stage, r.rate) for r in got.collect())) == want
+
+
+def test_http_fetcher():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from urllib.error import HTTPError
+
+    seen = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            seen.append(self.headers["User-Agent"])
+            self.send_response(200 if self.path == "/ok" else 404)
+            self.send_header("Content-Type", "text/html; charset=latin-1")
+            self.end_headers()
+            self.wfile.write("é".encode("latin-1"))
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    get, strict = fetch.HttpFetcher("agent x", timeout=5), fetch.HttpFetcher("agent x", timeout=5, raises=True)
+    assert get(f"{base}/ok") == (200, "text/html; charset=latin-1", "é") and seen == ["agent x"]
+    assert get(f"{base}/none")[0] == 404 and get("file:///etc/hosts") is None
+    with pytest.raises(HTTPError):
+        strict(f"{base}/none")
+    server.shutdown()
+    server.server_close()
+    assert get(f"{base}/ok") is None
+    for bad in (f"{base}/ok", "nowhere"):
+        with pytest.raises((OSError, ValueError)):
+            strict(bad)
+
+
+def test_limited_fetching_stops(spark):
+    """No more is fetched from a domain than until its limit of successes is reached."""
+    from pressmill.operators import runs
+
+    asked = spark.sparkContext.accumulator(0)
+
+    def get(url):
+        asked.add(1)
+        return (404 if url.endswith("3") else 200, "", url)
+
+    links = spark.createDataFrame([("2024-03", f"www.{d}.com", f"/news/item-12345{i}") for d in "ab" for i in range(9)], "month string, domain string, path string")
+    ledger_rows = spark.createDataFrame([], files.LEDGER)
+    rules = spark.createDataFrame([], "domain string, additional_skip_patterns array<string>, require_article_id boolean, allow_no_id_pages boolean")
+    done = runs.fetch_pages(links, ledger_rows, rules, get, now(), limit=5).collect()
+    assert sorted((r.domain[4], r.path[-1], r.status) for r in done) == [(d, str(i), "error" if i == 3 else "success") for d in "ab" for i in range(6)] and asked.value == 12
