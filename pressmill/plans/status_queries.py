@@ -19,7 +19,7 @@ def _ledger(spark, sf_dir):
         status = F.when(F.col("event_type") == kind, name).otherwise(status)
     stage = F.element_at(F.array(F.lit("fetch"), F.lit("extract"), F.lit("analyze")), (F.col("user_id") % 3 + 1).cast("int"))
     reason = F.when((F.col("event_type") == "signup") | (F.col("event_id") % 2 == 0), F.concat(F.lit("reason "), (F.col("event_id") % 4).cast("string")))
-    return table(spark, sf_dir, "events").select(stage.alias("stage"), F.col("user_id").cast("string").alias("key"), status.alias("status"), reason.alias("reason"), "ts", "event_id")
+    return table(spark, sf_dir, "events").select(stage.alias("stage"), F.concat_ws("-", "user_id", F.col("event_id") % 97).alias("key"), status.alias("status"), reason.alias("reason"), "ts", "event_id")
 
 
 def _logs(spark, sf_dir):
@@ -46,7 +46,7 @@ def status_latest(spark, sf_dir):
 
 
 def items_to_do(spark, sf_dir):
-    """Users' items in the second half of the month that no success of the first half covers."""
+    """Items of the second half of the month that no success of the first half covers."""
     rows = _ledger(spark, sf_dir)
     work = rows.where("ts >= '2024-01-16'").select("key").distinct()
     return ledger.not_done(work, rows.where("ts < '2024-01-16'"))
@@ -109,7 +109,7 @@ QUERIES = {
     )
 }
 
-_LEDGER = f"""led AS (SELECT ['fetch', 'extract', 'analyze'][(user_id % 3 + 1)::INT] AS stage, user_id::VARCHAR AS key,
+_LEDGER = f"""led AS (SELECT ['fetch', 'extract', 'analyze'][(user_id % 3 + 1)::INT] AS stage, user_id || '-' || event_id % 97 AS key,
     CASE event_type {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATUS.items())} END AS status,
     CASE WHEN event_type = 'signup' OR event_id % 2 = 0 THEN 'reason ' || (event_id % 4) END AS reason, ts, event_id FROM events)"""
 _LOGS = "logs AS (SELECT 'component' || (user_id % 7) AS component, CASE WHEN event_id % 5 = 0 THEN ' ' ELSE props END AS line FROM events WHERE event_type = 'error'), counts AS (SELECT component, count(*) FILTER (WHERE regexp_matches(line, '\\S')) AS errors FROM logs GROUP BY component)"

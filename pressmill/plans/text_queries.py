@@ -91,8 +91,8 @@ def doc_content_type(spark, sf_dir):
 
 
 def slug_path(col):
-    """The first two hundred words of a text as a URL path."""
-    return F.concat(F.lit("/"), F.array_join(F.slice(words(F.lower(col)), 1, 200), "-"))
+    """The words of a text as a URL path."""
+    return F.concat(F.lit("/"), F.array_join(words(F.lower(col)), "-"))
 
 
 def doc_topic(spark, sf_dir):
@@ -255,7 +255,7 @@ _COMPLEXITY = (
     + f" + coalesce(len(list_distinct({_words('lower(text)')}))::DOUBLE / nullif(len({_words('text')}), 0), 0.0)) / 2)"
 )
 _SUMMARY = _strip("array_to_string(string_split(substr(text, 1, 3000), '.')[1:3], '. ')") + " || '.'"
-_PROMPT = rf"array_to_string(list_filter(string_split(trim(array_to_string({_words('lower(text)')}[1:200], '-'), '/'), '-'), lambda x: x <> '' AND NOT regexp_matches(x, '^\d+$')), ' ')"
+_PROMPT = rf"array_to_string(list_filter(string_split(trim(array_to_string({_words('lower(text)')}, '-'), '/'), '-'), lambda x: x <> '' AND NOT regexp_matches(x, '^\d+$')), ' ')"
 _TOPIC = "CASE " + " ".join(f"WHEN {_has('prompt', own)} THEN '{name}'" for name, own in fixed.TOPICS) + " ELSE 'general' END"
 _CATEGORY = "CASE topic " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in fixed.TOPIC_NAMES.items()) + " ELSE 'general' END"
 _ARTICLES = f"""
