@@ -6,19 +6,19 @@ anchors.py), about one position in forty, which loses no match of `window` bytes
 
 1. Each task groups the runs of its own documents and sends only the first of equal runs on, so a
    passage that a third of all documents share arrives once per task. Per bucket of anchor grams,
-   later runs equal to an earlier one are spans to remove at once. A gram found with one
-   content only cannot repeat.
+   later runs equal to an earlier one (by a 128-bit print of their bytes) are spans to remove at once. A gram found
+   with one content only cannot repeat. The windows of grams with very many contexts (see heavy_grams) are
+   dealt out one by one, by their own 128-bit print, so that a common phrase does not meet in one task.
 2. Runs that share a gram but differ somewhere are fetched as text. Per bucket they are taken in
-   batches in document order: a batch gets a suffix array, is merge-scanned against the levels that
-   exist, and levels of like size merge, so each suffix is merged a logarithmic number of times.
-   Matches are confirmed byte by byte. Grams with more than CROWDED contents (a common line inside
-   many contexts) go by the fingerprints of their windows instead, first combined in each task.
+   batches in document order: a batch gets its suffix array, sorted by the bytes themselves, is merge-scanned against
+   the levels that exist, and levels of like size merge, so each suffix is merged a logarithmic number of
+   times. Suffixes count as equal only if all their bytes are.
 3. Spans are unioned per document and cut out.
 
 Edge cases: null text is empty; texts shorter than the window lose nothing; a null doc_id comes
 before all others; rows that share doc_id and text are one occurrence and get one result each;
-rows that share doc_id but not text are told apart by a checksum, and the earlier start counts.
-Extra columns pass through.
+rows that share doc_id but not text are told apart by a checksum, and the earlier start counts; very long
+documents are worked on in pieces. Extra columns pass through.
 """
 
 import hashlib
@@ -29,20 +29,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import BYTE_SYMBOLS, U, Rolling, runs
+from .anchors import BYTE_SYMBOLS, U, Rolling, heavy_grams, mixed, runs
 from .blobs import by_bucket, pack, sort_runs, text_chunks, unpack
 from .common import NULL_ID, shuffle_partitions, stored
 
 GRAM = 24
-CROWDED = 64
-BATCHES = 8
+#: Suffixes that a batch of the index holds.
+BATCH = 1 << 16
 SPAN = {"doc": np.int64, "tag": np.uint32, "start": np.int32, "size": np.int32}
-RUN = {"key": U, "content": U, **SPAN}
-REGION = {"key": U, **SPAN}
-WINDOW = {"print": U, "check": np.uint32, "doc": np.int64, "tag": np.uint32, "start": np.int32}
+RUN = {"key": U, "content": U, "check": U, "doc": np.int64, "tag": np.uint32, "start": np.int32, "size": np.uint16}
+WINDOW = {"print": U, "check": U, "doc": np.int64, "tag": np.uint32, "start": np.int32}
+#: Symbols of a second hash, so that a print of both has 128 bits.
+CHECK_SYMBOLS = mixed(BYTE_SYMBOLS + U(0x5851F42D4C957F2D))
 BLOB = "bucket int, kind int, data binary, body binary"
 SPANS_KIND, RUNS_KIND, REGIONS_KIND, WINDOWS_KIND = range(4)
-OUT = "doc long, tag long, start int, size int, gram long, crowded boolean"
+OUT = "doc long, tag long, start int, size int, gram long"
 
 
 def _slices(data: np.ndarray, offsets: np.ndarray, limit: int = 4_000_000, overlap: int = 0):
@@ -71,31 +72,61 @@ def _first_of_each(columns: dict, *keys: str):
     return order, new, later
 
 
-def _map_runs(window: int, buckets: int):
+def _keys(window: int):
+    """For heavy_grams: key and content of a chunk's runs."""
+
+    def found(data, offsets):
+        for _, piece, bounds in _slices(data, offsets, overlap=window - 1):
+            rolling = Rolling(BYTE_SYMBOLS[piece])
+            start, count, _, key = runs(rolling, bounds, window, GRAM)
+            yield key, rolling.spans(start, start + count + window - 1)
+
+    return found
+
+
+def _map_runs(window: int, buckets: int, heavy: np.ndarray):
     def run(batches):
         for ids, data, offsets, rows in text_chunks(batches):
             tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], dtype=np.uint32)
-            out: dict = {name: [] for name in RUN}
+            found: list = []
             for at, piece, bounds in _slices(data, offsets, overlap=window - 1):
-                rolling = Rolling(BYTE_SYMBOLS[piece])
+                rolling, second = Rolling(BYTE_SYMBOLS[piece]), Rolling(CHECK_SYMBOLS[piece])
                 start, count, _, key = runs(rolling, bounds, window, GRAM)
                 row = np.searchsorted(bounds, start, side="right") - 1
                 size = count + window - 1
-                found = {"key": key, "content": rolling.spans(start, start + size), "doc": ids[row], "tag": tags[row], "start": start + at - offsets[row], "size": size}
-                for name in RUN:
-                    out[name].append(found[name])
-            columns = {name: np.concatenate(parts).astype(RUN[name]) for name, parts in out.items()}
-            order, _, later = _first_of_each(columns, "key", "content")
-            keep = np.sort(order[~later])
-            found = [(b, RUNS_KIND, pack(RUN, keep[at], columns)) for b, at in by_bucket((columns["key"][keep] >> U(32)).astype(np.int64) % buckets)]
-            gone = np.sort(order[later])
-            if len(gone):
-                found.append((zlib.crc32(data[:4096]) % buckets, SPANS_KIND, pack(SPAN, gone, columns)))
-            yield _blob_batch(found)
+                columns = {"key": key, "doc": ids[row], "tag": tags[row], "start": (start + at - offsets[row]).astype(np.int32), "size": size}
+                many = np.isin(key, heavy) if len(heavy) else np.zeros(len(key), dtype=bool)
+                thin, thick = np.flatnonzero(~many), np.flatnonzero(many)
+                whole = {name: column[thin] for name, column in columns.items()} | {"content": rolling.spans(start[thin], (start + size)[thin]), "check": second.spans(start[thin], (start + size)[thin])}
+                found += _first_blobs(whole, ("key", "content", "check"), RUN, RUNS_KIND, buckets)
+                if len(thick):
+                    which, shift = _each_window(thick, count[thick])
+                    begin = start[which] + shift
+                    own = {"print": rolling.spans(begin, begin + window), "check": second.spans(begin, begin + window), "doc": columns["doc"][which], "tag": columns["tag"][which]}
+                    own |= {"start": (columns["start"][which] + shift).astype(np.int32), "size": np.full(len(which), window)}
+                    found += _first_blobs(own, ("print", "check"), WINDOW, WINDOWS_KIND, buckets)
+            if found:
+                yield _blob_batch(found)
 
     return run
 
 
+def _each_window(runs_at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each run: the run's number and the window's place in it."""
+    which = np.repeat(runs_at, count)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _first_blobs(columns: dict, keys: tuple, fields: dict, kind: int, buckets: int) -> list:
+    """The first of each group by its first key's bucket, and later ones as spans to remove."""
+    order, _, later = _first_of_each(columns, *keys)
+    keep, gone = np.sort(order[~later]), np.sort(order[later])
+    found = [(b, kind, pack(fields, keep[at], columns)) for b, at in by_bucket((columns[keys[0]][keep] >> U(32)).astype(np.int64) % buckets)]
+    if len(gone):
+        found.append((int(columns[keys[0]][gone[0]] % U(buckets)), SPANS_KIND, pack(SPAN, gone, columns)))
+    return found
+
+
 def _blob_batch(found: list) -> pa.RecordBatch:
     """Rows (bucket, kind, data[, body])."""
     return pa.record_batch(
@@ -113,7 +144,7 @@ def _blobs(table: pa.Table, kind: int, name: str = "data") -> list[bytes]:
     return [b for b, k in zip(table[name].to_pylist(), table["kind"].to_pylist()) if k == kind]
 
 
-def _span_table(spans: dict, gram=None, crowded=None) -> pa.Table:
+def _span_table(spans: dict, gram=None) -> pa.Table:
     n = len(spans["doc"])
     return pa.table(
         {
@@ -122,62 +153,44 @@ def _span_table(spans: dict, gram=None, crowded=None) -> pa.Table:
             "start": pa.array(spans["start"].astype(np.int32)),
             "size": pa.array(spans["size"].astype(np.int32)),
             "gram": pa.array(gram.view(np.int64)) if gram is not None else pa.nulls(n, pa.int64()),
-            "crowded": pa.array(crowded) if crowded is not None else pa.nulls(n, pa.bool_()),
         }
     )
 
 
-def _judge_runs(table: pa.Table) -> pa.Table:
-    """Spans of runs that an equal run precedes; requests (with their gram) for first runs whose gram has several contents."""
-    columns = unpack(RUN, _blobs(table, RUNS_KIND))
-    order, new, later = _first_of_each(columns, "key", "content")
-    key = columns["key"][order]
-    group = np.cumsum(np.append(True, key[1:] != key[:-1])[: len(key)]) - 1
-    contents = np.bincount(group[new], minlength=1) if len(group) else np.zeros(1, dtype=int)
-    ask = ~later & (contents[group] > 1) if len(group) else later
-    spans = {name: columns[name][order[later]] for name in SPAN}
-    passed = unpack(SPAN, _blobs(table, SPANS_KIND))
-    return pa.concat_tables(
-        [
-            _span_table({name: np.concatenate([spans[name], passed[name]]) for name in SPAN}),
-            _span_table({name: columns[name][order[ask]] for name in SPAN}, key[ask], contents[group[ask]] > CROWDED if len(group) else np.zeros(0, dtype=bool)),
-        ]
-    )
+def _judge_runs(window: int):
+    """Spans of runs and windows that an equal one precedes; requests (with their gram) for first runs whose gram has several contents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = unpack(RUN, _blobs(table, RUNS_KIND))
+        order, new, later = _first_of_each(columns, "key", "content", "check")
+        key = columns["key"][order]
+        group = np.cumsum(np.append(True, key[1:] != key[:-1])[: len(key)]) - 1
+        contents = np.bincount(group[new], minlength=1) if len(group) else np.zeros(1, dtype=int)
+        ask = ~later & (contents[group] > 1) if len(group) else later
+        windows = unpack(WINDOW, _blobs(table, WINDOWS_KIND))
+        windows["size"] = np.full(len(windows["doc"]), window, dtype=np.int32)
+        again, _, repeated = _first_of_each(windows, "print", "check")
+        found = [{name: columns[name][order[later]] for name in SPAN}, _join_windows({name: windows[name][again[repeated]] for name in SPAN}), unpack(SPAN, _blobs(table, SPANS_KIND))]
+        spans = {name: np.concatenate([f[name].astype(kind) for f in found]) for name, kind in SPAN.items()}
+        return pa.concat_tables([_span_table(spans), _span_table({name: columns[name][order[ask]] for name in SPAN}, key[ask])])
+
+    return run
 
 
-def _map_regions(window: int, buckets: int):
-    """Documents with their requests to blobs: texts of regions, or fingerprints of the windows of crowded grams."""
+def _map_regions(buckets: int):
+    """Documents with their requests to blobs of the regions' texts."""
 
     def run(batches):
         for ids, data, offsets, rows in text_chunks(batches):
             asked = rows.column("asked")
             row = np.repeat(np.arange(len(ids)), np.diff(np.asarray(asked.offsets)))
             flat = asked.flatten()
-            start, size, gram, crowded = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "gram", "crowded"))
-            columns = {"key": gram.view(U), "doc": ids[row], "tag": rows.column("tag").to_numpy(zero_copy_only=False)[row], "start": start, "size": size}
+            start, size, gram = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "gram"))
+            columns = {"doc": ids[row], "tag": rows.column("tag").to_numpy(zero_copy_only=False)[row], "start": start, "size": size}
             begin, found = offsets[row] + start, []
-            thin = np.flatnonzero(~crowded)
-            for bucket, at in by_bucket((columns["key"][thin] >> U(32)).astype(np.int64) % buckets):
-                at = thin[at]
+            for bucket, at in by_bucket((gram.view(U) >> U(32)).astype(np.int64) % buckets):
                 body = b"".join(data[b : b + s].tobytes() for b, s in zip(begin[at], size[at]))
-                found.append((bucket, REGIONS_KIND, pack(REGION, at, columns), body))
-            thick = np.flatnonzero(crowded)
-            if len(thick):
-                rolling = Rolling(BYTE_SYMBOLS[data])
-                count = size[thick] - window + 1
-                which = np.repeat(thick, count)
-                shift = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-                at = begin[which] + shift
-                prints = rolling.spans(at, at + window)
-                checks = (rolling.spans(at, at + window // 2) >> U(32)).astype(np.uint32)
-                windows = {"print": prints, "check": checks, "doc": columns["doc"][which], "tag": columns["tag"][which], "start": (start[which] + shift).astype(np.int32)}
-                order, _, later = _first_of_each(windows, "print", "check")
-                keep = np.sort(order[~later])
-                found += [(b, WINDOWS_KIND, pack(WINDOW, keep[rows_], windows)) for b, rows_ in by_bucket((prints[keep] >> U(32)).astype(np.int64) % buckets)]
-                gone = np.sort(order[later])
-                windows["size"] = np.full(len(which), window, dtype=np.int32)
-                if len(gone):
-                    found.append((int(prints[gone[0]] % U(buckets)), SPANS_KIND, pack(SPAN, gone, windows)))
+                found.append((bucket, REGIONS_KIND, pack(SPAN, at, columns), body))
             if found:
                 yield _blob_batch(found)
 
@@ -185,81 +198,102 @@ def _map_regions(window: int, buckets: int):
 
 
 class SuffixLevels:
-    """Sorted lists of suffix ranks, of geometrically growing sizes, over suffixes seen so far.
+    """Suffix arrays of geometrically growing sizes over the suffixes of a text seen so far, each cut at `window` bytes.
 
-    A suffix is known by a 64-bit rank: its first three bytes in text order, then a fingerprint of
-    its first `window` bytes. Suffixes come in corpus order, so what a level holds is earlier.
+    An array holds positions in the order of the bytes that stand there. Suffixes come in corpus order, so what a level holds
+    is earlier.
     """
 
-    def __init__(self):
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # ranks in order, positions
-
-    def add(self, ranks: np.ndarray, positions: np.ndarray) -> np.ndarray:
-        """Scans a batch against all levels and adds it; for each suffix the position of an equal earlier one, or -1."""
-        order = np.argsort(ranks, kind="stable")
-        batch, at = ranks[order], positions[order]
-        new = np.append(True, batch[1:] != batch[:-1])[: len(batch)]
-        earlier = np.where(new, -1, at[np.flatnonzero(new)][np.cumsum(new) - 1]) if len(batch) else at
-        for level, places in self.levels:
-            where = np.minimum(np.searchsorted(level, batch), len(level) - 1)
-            hit = level[where] == batch
-            earlier = np.where(hit, places[where], earlier)
-        fresh = earlier < 0
-        self._insert(batch[fresh], at[fresh])
-        out = np.empty_like(earlier)
-        out[order] = earlier
+    def __init__(self, body: np.ndarray, window: int):
+        padded = np.append(body, np.zeros(8, dtype=np.uint8))
+        #: At each position its eight bytes as a number, in the order of the bytes.
+        self.words = np.ndarray((len(body),), ">u8", padded, strides=(1,))
+        self.steps = [*range(0, window - 8, 8), window - 8]
+        self.levels: list[np.ndarray] = []
+
+    def _word(self, at: np.ndarray) -> np.ndarray:
+        return self.words[at].astype(U)
+
+    def sorted(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order of suffixes by their bytes (of equal ones as given), and where in it a new one begins: ties go on to the next eight bytes."""
+        order = np.argsort(self._word(at), kind="stable")
+        word = self._word(at[order])
+        new = np.append(True, word[1:] != word[:-1])[: len(order)]
+        for step in self.steps[1:]:
+            tied = np.flatnonzero(~(new & np.append(new[1:], True)[: len(new)]))
+            if not len(tied):
+                break
+            group, word = np.cumsum(new)[tied], self._word(at[order[tied]] + step)
+            by = np.lexsort((word, group))
+            order[tied], word = order[tied][by], word[by]
+            new[tied] |= np.append(True, (word[1:] != word[:-1]) | (group[1:] != group[:-1]))
+        return order, new
+
+    def _compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """-1, 0 or 1 for each pair of positions as the first suffix is less, equal or greater."""
+        out, open_ = np.zeros(len(a), dtype=np.int8), np.arange(len(a))
+        for step in self.steps:
+            x, y = self._word(a[open_] + step), self._word(b[open_] + step)
+            apart = x != y
+            out[open_[apart]] = np.where(x[apart] < y[apart], -1, 1)
+            open_ = open_[~apart]
+            if not len(open_):
+                break
         return out
 
-    def _insert(self, ranks: np.ndarray, positions: np.ndarray) -> None:
-        while self.levels and len(self.levels[-1][0]) <= 2 * len(ranks):
-            other, places = self.levels.pop()
-            ranks, positions = np.concatenate([other, ranks]), np.concatenate([places, positions])
-            order = np.argsort(ranks, kind="stable")
-            ranks, positions = ranks[order], positions[order]
-        if len(ranks):
-            self.levels.append((ranks, positions))
+    def _places(self, level: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For each suffix the number of the level's suffixes that are less."""
+        lo, hi = np.zeros(len(at), dtype=np.int64), np.full(len(at), len(level), dtype=np.int64)
+        while len(open_ := np.flatnonzero(lo < hi)):
+            mid = (lo[open_] + hi[open_]) // 2
+            less = self._compare(level[mid], at[open_]) < 0
+            lo[open_[less]] = mid[less] + 1
+            hi[open_[~less]] = mid[~less]
+        return lo
+
+    def add(self, at: np.ndarray) -> np.ndarray:
+        """Scans a batch (positions in corpus order) against all levels and adds it; for each suffix the position of an equal earlier one, or -1."""
+        order, new = self.sorted(at)
+        first = order[new]
+        once, earlier = at[first], np.full(len(first), -1, dtype=np.int64)
+        for level in self.levels:
+            where = np.minimum(self._places(level, once), len(level) - 1)
+            hit = self._compare(level[where], once) == 0
+            earlier[hit] = level[where[hit]]
+        self._insert(once[earlier < 0])
+        out = np.empty(len(at), dtype=np.int64)
+        of = np.cumsum(new) - 1
+        out[order] = np.where(earlier[of] >= 0, earlier[of], np.where(new, -1, once[of]))
+        return out
+
+    def _insert(self, fresh: np.ndarray) -> None:
+        while self.levels and len(self.levels[-1]) <= 2 * len(fresh):
+            level = self.levels.pop()
+            fresh = np.insert(level, self._places(level, fresh), fresh)
+        if len(fresh):
+            self.levels.append(fresh)
 
 
 def _repeats_in_regions(columns: dict, body: np.ndarray, window: int) -> dict:
     """Windows of the regions that an equal, earlier window precedes."""
     order = np.lexsort((columns["tag"], columns["start"], columns["doc"]))
     begin = np.append(0, np.cumsum(columns["size"].astype(np.int64)))[:-1]
-    rolling = Rolling(BYTE_SYMBOLS[body])
-    count = columns["size"][order].astype(np.int64) - window + 1
-    which = np.repeat(order, count)
-    shift = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    which, shift = _each_window(order, columns["size"][order].astype(np.int64) - window + 1)
     at = begin[which] + shift
-    prints = rolling.spans(at, at + window)
-    head = (body[at].astype(U) << U(56)) | (body[at + 1].astype(U) << U(48)) | (body[at + 2].astype(U) << U(40))
-    ranks = head | (prints >> U(24))
-    index, earlier = SuffixLevels(), np.empty(len(at), dtype=np.int64)
-    step = max(4096, -(-len(at) // BATCHES))
-    for lo in range(0, len(at), step):
-        part = slice(lo, lo + step)
-        earlier[part] = index.add(ranks[part], np.arange(lo, min(lo + step, len(at))))
+    index, earlier = SuffixLevels(body, window), np.empty(len(at), dtype=np.int64)
+    for lo in range(0, len(at), BATCH):
+        earlier[lo : lo + BATCH] = index.add(at[lo : lo + BATCH])
     hits = np.flatnonzero(earlier >= 0)
-    for lo in range(0, len(hits), 20_000):
-        some = hits[lo : lo + 20_000]
-        span = np.arange(window)
-        if not np.array_equal(body[at[some][:, None] + span], body[at[earlier[some]][:, None] + span]):
-            earlier = _exact_repeats(body, at, window)  # two ranks met by chance
-            hits = np.flatnonzero(earlier >= 0)
-            break
     starts = (columns["start"][which] + shift).astype(np.int32)
     found = {"doc": columns["doc"][which[hits]], "tag": columns["tag"][which[hits]], "start": starts[hits], "size": np.full(len(hits), window, dtype=np.int32)}
     # regions of one place can meet here under two rows of one document: equal places are no repeats
-    first = earlier[hits]
+    place = np.empty(len(body), dtype=np.int64)
+    place[at] = np.arange(len(at))
+    first = place[earlier[hits]]
     real = _later(found["doc"], found["start"], columns["doc"][which[first]], starts[first])
     return {k: v[real] for k, v in found.items()}
 
 
-def _exact_repeats(body: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-    """For each window the position of its first equal one among those before it, or -1, by their bytes."""
-    seen: dict[bytes, int] = {}
-    first = [seen.setdefault(body[p : p + window].tobytes(), i) for i, p in enumerate(at.tolist())]
-    return np.where(np.array(first) < np.arange(len(first)), first, -1)
-
-
 def _join_windows(spans: dict) -> dict:
     """Overlapping or touching spans of a document as one, to send fewer rows on."""
     order = np.lexsort((spans["start"], spans["tag"], spans["doc"]))
@@ -275,15 +309,8 @@ def _join_windows(spans: dict) -> dict:
 
 def _judge_regions(window: int):
     def run(table: pa.Table) -> pa.Table:
-        parts = [unpack(SPAN, _blobs(table, SPANS_KIND))]
-        bodies = _blobs(table, REGIONS_KIND, "body")
-        if bodies:
-            parts.append(_repeats_in_regions(unpack(REGION, _blobs(table, REGIONS_KIND)), np.frombuffer(b"".join(bodies), dtype=np.uint8), window))
-        windows = unpack(WINDOW, _blobs(table, WINDOWS_KIND))
-        order, _, later = _first_of_each(windows, "print", "check")
-        gone = order[later]
-        parts.append({"doc": windows["doc"][gone], "tag": windows["tag"][gone], "start": windows["start"][gone], "size": np.full(len(gone), window, dtype=np.int32)})
-        return _span_table(_join_windows({name: np.concatenate([p[name] for p in parts]).astype(SPAN[name]) for name in SPAN}))
+        body = np.frombuffer(b"".join(_blobs(table, REGIONS_KIND, "body")), dtype=np.uint8)
+        return _span_table(_join_windows(_repeats_in_regions(unpack(SPAN, _blobs(table, REGIONS_KIND)), body, window)))
 
     return run
 
@@ -299,20 +326,15 @@ def repeated_spans(docs: DataFrame, window: int = 100) -> DataFrame:
     spark = docs.sparkSession
     buckets = 4 * shuffle_partitions(spark)
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    runs_found = texts.mapInArrow(_map_runs(window, buckets), BLOB)
-    judged = stored(runs_found.groupBy("bucket").applyInArrow(_judge_runs, OUT))
-    asked = (
-        judged.where(F.col("gram").isNotNull())
-        .groupBy("doc", "tag")
-        .agg(F.collect_list(F.struct("start", "size", "gram", "crowded")).alias("asked"))
-    )
+    runs_found = texts.mapInArrow(_map_runs(window, buckets, heavy_grams(texts, _keys(window))), BLOB)
+    judged = stored(runs_found.groupBy("bucket").applyInArrow(_judge_runs(window), OUT))
+    asked = judged.where(F.col("gram").isNotNull()).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "size", "gram")).alias("asked"))
     tagged = _tagged(docs.select("doc_id", "text"))
     fetched = (
         tagged.join(asked, (tagged["_doc"] == asked["doc"]) & (tagged["_tag"] == asked["tag"]))
         .select(F.col("doc").alias("doc_id"), F.col("text").cast("binary").alias("text"), "tag", "asked")
     )
-    regions = fetched.mapInArrow(_map_regions(window, buckets), BLOB)
-    more = regions.groupBy("bucket").applyInArrow(_judge_regions(window), OUT)
+    more = fetched.mapInArrow(_map_regions(buckets), BLOB).groupBy("bucket").applyInArrow(_judge_regions(window), OUT)
     spans = judged.where(F.col("gram").isNull()).unionByName(more)
     return spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
 

@@ -49,6 +49,39 @@ def test_suffix_dedup_crowded_gram(spark):
     assert got == brute.suffix_dedup(rows)
 
 
+def test_suffix_dedup_heavy_grams(spark, monkeypatch, edges):
+    from pressmill.llm import anchors
+
+    for bound in (0, 64):
+        monkeypatch.setattr(anchors, "CROWDED", bound)
+        got = {r[0]: tuple(r[1:]) for r in suffix_dedup.remove_repeats(edges, with_text=False).collect()}
+        assert got == brute.suffix_dedup([(r[0], r[1]) for r in EDGES])
+        test_suffix_dedup_crowded_gram(spark)
+
+
+def test_suffix_levels_are_in_the_order_of_the_text():
+    import random
+
+    import numpy as np
+
+    rnd, window = random.Random(9), 20
+    text = bytes(rnd.choices(b"ab\x00\xff", [9, 9, 1, 1], k=3000))
+    text += text[500:1500] + text[:200]
+    index, seen = suffix_dedup.SuffixLevels(np.frombuffer(text, dtype=np.uint8), window), {}
+    places = np.arange(len(text) - window + 1)
+    for lo in range(0, len(places), 100):
+        found = index.add(places[lo : lo + 100])
+        for p, earlier in zip(range(lo, lo + 100), found.tolist()):
+            own = text[p : p + window]
+            assert (earlier < 0) == (own not in seen) and (earlier < 0 or text[earlier : earlier + window] == own and earlier < p)
+            seen.setdefault(own, p)
+        sizes = [len(level) for level in index.levels]
+        assert all(a > 2 * b for a, b in zip(sizes, sizes[1:])) and sum(sizes) == len(seen)
+        for level in index.levels:
+            strings = [text[p : p + window] for p in level.tolist()]
+            assert strings == sorted(strings)
+
+
 def test_substring_dedup(spark, medium):
     got = {r[0]: tuple(r[1:]) for r in substring_dedup.op2_substring_dedup(spark, medium).collect()}
     assert got == brute.substring_dedup(texts(spark, medium))
