@@ -1,20 +1,24 @@
 """License scans by conditional compression.
 
-Each license template whose telling words stand in a block of text is aligned with it word by word, and confirmed if the
+Around each cue in a text every license template whose telling words stand there is aligned word by word, and confirmed if the
 wording differs in few words and in none that tells it from its relatives. The stretch is compressed alone and with the
-template as zstandard raw-content dictionary; of the confirmed templates the one counts that saves most bytes. The rest of the block is then scanned again, so several licenses in a row are all found.
+template as zstandard raw-content dictionary; of the confirmed templates the one counts that saves most bytes. The scan goes on
+behind it, so several licenses in a row are all found.
 
-Candidate blocks are lines that hold a cue, with the short lines around them that wrapped license
-text consists of, across single blank lines between its paragraphs. Cues are searched in every text by Spark itself; only texts with one reach Python.
-Templates are a parameter of fixed, small size; rows are independent, so nothing is shuffled.
+A template is tried on as many words before and behind the cue as it can span, across lines of any length and
+blank ones. Cues are searched in every text by Spark itself; only texts with one reach Python. Templates are a parameter, as a
+dictionary or a table of bounded size (template_table); rows are independent, so nothing is shuffled.
 
 Edge cases: null and empty texts have no license; very long texts are scanned whole; a license that
 stands several times in a text is found each time; repeated rows give their rows each; a null doc_id
 stays null; an empty table gives an empty result; extra columns are ignored.
 """
 
+import re
+from bisect import bisect_right
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -99,18 +103,18 @@ TEMPLATES = {
     "CC0-1.0": [("Released under CC0 1.0 Universal.", "cc0 1.0")],
     "All-Rights-Reserved": [("All rights reserved.", "rights reserved")],
 }
-#: Every template holds one of them.
-CUES = ("licens", "permission", "redistribut", "public domain", "rights reserved", "cc by", "cc0", "copyright")
+#: Every template holds one of them; in a wording words are apart by one space, and "licence" is spelt "license".
+CUES = ("licens", "permission", "redistribut", "copyright", "cc0", "public domain", "rights reserved", "cc by")
 MAX_DIFFERENCE = 0.2
 #: On so little text zstandard parses best, and still fast, at a high level.
 LEVEL = 19
-#: Lines before and after a line with a cue that belong to its block if they are short.
-NEAR, SHORT = 12, 120
+#: Characters of a table of templates that travel to the tasks, at most.
+TEMPLATE_CHARS = 4_000_000
 OUT = "doc_id long, line int, license string, saved int, words int, differences int, wording string"
 
 
 def wording(text: str) -> list[str]:
-    return [w for w in (x.strip(".,;:!?\"'()[]{}*#/<>|-“”") for x in text.casefold().split()) if w]
+    return [w.replace("licenc", "licens") for w in (x.strip(".,;:!?\"'()[]{}*#/<>|-“”") for x in text.casefold().split()) if w]
 
 
 @lru_cache(maxsize=4)
@@ -150,71 +154,96 @@ def differences(template: tuple[str, ...], words: list[str]) -> tuple[list[str],
     return out, touched
 
 
-def confirmed(words: list[str], frozen):
-    """(license, bytes saved, stretch, differences) of the template that saves most among those that the wording confirms; ties go to the longer one.
+def around(words: list[str], cue: int, floor: int, template) -> tuple[int, list[str], set[str], int] | None:
+    """Start, differences, touched words and distance of the template's alignment over the cue, if its wording confirms one; nothing before floor counts."""
+    name, own, must, _ = template
+    reach = len(own) + int(MAX_DIFFERENCE * len(own)) + 1
+    lo, hi = max(floor, cue - reach), min(len(words), cue + reach)
+    while must <= set(words[lo:hi]):
+        distance, a, b = aligned(own, words[lo:hi])
+        if distance > MAX_DIFFERENCE * len(own):
+            return None
+        if lo + a <= cue < lo + b:
+            found, touched = differences(own, words[lo + a : lo + b])
+            return None if must & touched else (lo + a, lo + b, distance, found)
+        # a better one stands beside the cue and has cues of its own
+        lo, hi = (lo + b, hi) if lo + b <= cue else (lo, lo + a)
+    return None
 
-    Bytes are those of the stretch alone, so what else stands in the block, however long, does not count.
+
+def confirmed(words: list[str], cue: int, floor: int, frozen):
+    """(license, bytes saved, start, end, distance, differences) of the template over the cue that saves most bytes; ties go to the longer one.
+
+    Bytes are those of the stretch alone, so what else stands around it does not count.
     """
     templates, plain = _templates(frozen)
-    there, best = set(words), None
-    for i, (name, template, must, _) in enumerate(templates):
-        if not must <= there:
-            continue
-        distance, lo, hi = aligned(template, words)
-        if distance <= MAX_DIFFERENCE * len(template):
-            found, touched = differences(template, words[lo:hi])
-            if not must & touched:
-                saved = saving(words[lo:hi], templates[i], plain)
-                if best is None or (saved, len(template)) > best[0]:
-                    best = (saved, len(template)), (name, saved, lo, hi, distance, found)
+    best = None
+    for template in templates:
+        found = around(words, cue, floor, template)
+        if found:
+            lo, hi, distance, edits = found
+            saved = saving(words[lo:hi], template, plain)
+            if best is None or (saved, len(template[1])) > best[0]:
+                best = (saved, len(template[1])), (template[0], saved, lo, hi, distance, edits)
     return best and best[1]
 
 
-def blocks(text: str) -> list[tuple[int, str]]:
-    """(number of its first line, text) of each candidate block."""
-    lines = text.split("\n")
-    lower = [line.lower() for line in lines]
-    wanted: set[int] = set()
-    for i, line in enumerate(lower):
-        if any(cue in line for cue in CUES):
-            wanted.add(i)
-            for step in (-1, 1):
-                for j in range(i + step, i + step * (NEAR + 1), step):
-                    if not 0 <= j < len(lines) or len(lines[j]) > SHORT or not (lines[j].strip() or lines[j - step].strip()):
-                        break
-                    wanted.add(j)
-    out: list[tuple[int, list[str]]] = []
-    last = -2
-    for i in sorted(wanted):
-        if i != last + 1:
-            out.append((i, []))
-        out[-1][1].append(lines[i])
-        last = i
-    return [(i, "\n".join(part)) for i, part in out]
+def _numbered(text: str) -> tuple[list[str], list[int]]:
+    """The words of a text, and the line each stands in."""
+    words, lines = [], []
+    for i, line in enumerate(text.split("\n")):
+        own = wording(line)
+        words += own
+        lines += [i] * len(own)
+    return words, lines
+
+
+def cues(words: list[str]) -> list[int]:
+    """Numbers of the words in which a cue begins."""
+    starts = list(accumulate((len(w) + 1 for w in words), initial=0))
+    return sorted({bisect_right(starts, m.start()) - 1 for m in _CUE.finditer(" ".join(words))})
+
+
+_CUE = re.compile("|".join(CUES))
 
 
 def licenses(text: str, templates: dict | None = None) -> list[tuple]:
-    """(first line of the block, license, bytes saved, words, differences, wording) for each license in the text."""
-    frozen, out = _frozen(templates or TEMPLATES), []
-    for line, block in blocks(text):
-        parts, here = [(0, wording(block))], []
-        while parts:
-            at, words = parts.pop()
-            found = confirmed(words, frozen) if words else None
-            if found:
-                name, saved, lo, hi, distance, edits = found
-                here.append((at + lo, (line, name, saved, hi - lo, distance, " ".join(edits))))
-                parts += [(at + hi, words[hi:]), (at, words[:lo])]
-        out += [x for _, x in sorted(here)]
+    """(first line, license, bytes saved, words, differences, wording) for each license in the text.
+
+    Around each cue that no license found before covers, each template gets as many words as it can span; lines, however
+    long or blank, make no difference.
+    """
+    frozen, out, floor = _frozen(templates or TEMPLATES), [], 0
+    words, lines = _numbered(text)
+    for cue in cues(words):
+        found = confirmed(words, cue, floor, frozen) if cue >= floor else None
+        if found:
+            name, saved, lo, floor, distance, edits = found
+            out.append((lines[lo], name, saved, floor - lo, distance, " ".join(edits)))
+    return out
+
+
+def template_table(rows: DataFrame) -> dict:
+    """Templates from a table (license, text, must) of bounded size; must: words, apart by spaces, that have to stand unchanged."""
+    if (rows.agg(F.sum(F.length("text"))).first()[0] or 0) > TEMPLATE_CHARS:
+        raise ValueError("templates travel to every task and may not be larger than TEMPLATE_CHARS")
+    out: dict = {}
+    for r in rows.where("text is not null and license is not null").orderBy("license", "text").collect():
+        text, must = r["text"], r["must"] or ""
+        if not cues(wording(text)) or not set(must.split()) <= set(wording(text)):
+            raise ValueError(f"template of {r['license']} holds no cue or lacks a word it must have")
+        out.setdefault(r["license"], []).append((text, must))
     return out
 
 
 def scan_licenses(docs: DataFrame, templates: dict | None = None) -> DataFrame:
     """doc_id, line, license, saved, words, differences, wording: a row for each license found."""
     lower = F.lower("text")
-    cue = F.contains(lower, F.lit(CUES[0]))
-    for other in CUES[1:]:
-        cue = cue | F.contains(lower, F.lit(other))
+    has = lambda word: F.contains(lower, F.lit(word))
+    cue = has("licens") | has("licenc") | has("permission") | has("redistribut") | has("copyright") | has("cc0")
+    # words of a cue may stand in two lines
+    for first, second in (("public", "domain"), ("rights", "reserved"), ("cc", "by")):
+        cue = cue | (has(second) & F.regexp_like(lower, F.lit(rf"\b{first}[^\p{{L}}\p{{N}}]+{second}")))
 
     def run(batches):
         for batch in batches:

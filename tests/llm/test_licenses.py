@@ -30,7 +30,7 @@ def test_query(spark, medium):
 
 @pytest.mark.parametrize("name, text", FORMS)
 def test_each_form(name, text):
-    assert any(cue in text.lower() for cue in licenses.CUES)
+    assert licenses.cues(licenses.wording(text))
     prose = "Some prose of no legal meaning stands here and goes on for a while. " * 5
     assert names(text) == [name]
     assert names(f"{prose}\n{text}\n{prose}") == [name]
@@ -106,3 +106,38 @@ NEITHER = """
 @pytest.mark.parametrize("text, name", [(MIT_TEXT, "MIT"), (BSD_TEXT, "BSD-2-Clause"), (BSD_TEXT + NEITHER, "BSD-3-Clause")])
 def test_published_texts_with_blank_lines(text, name):
     assert names(text) == [name]
+
+
+PUBLISHED = {"MIT": MIT_TEXT, "BSD-2-Clause": BSD_TEXT, "BSD-3-Clause": BSD_TEXT + NEITHER} | {k: TEMPLATES[k][0][0] for k in ("ISC", "MPL-2.0")}
+
+
+@pytest.mark.parametrize("name", sorted(PUBLISHED) + [k for k in sorted(TEMPLATES) if k.startswith("Apache")])
+@pytest.mark.parametrize("width", [40, 80, 130, 200])
+def test_widths_with_and_without_blank_lines(name, width):
+    text = PUBLISHED.get(name) or max((t for t, _ in TEMPLATES[name]), key=len)
+    parts = [" ".join(p.split()) for p in text.split("\n\n")]
+    wrapped = ["\n".join(textwrap.wrap(p, width, break_on_hyphens=False)) for p in parts]
+    for between in ("\n", "\n\n", "\n\n\n\n"):
+        for mark in ("", "// ", " * "):
+            body = "\n".join(mark + line for line in between.join(wrapped).split("\n"))
+            assert names(f"int x = 1;\n{body}\nint y = 2; return x + y;\n") == [name]
+
+
+def test_spelling_and_cues_across_lines(spark):
+    assert names("Licenced under the MIT Licence.") == ["MIT"] and names("All rights\n# reserved.") == ["All-Rights-Reserved"]
+    docs = spark.createDataFrame([(1, "All rights\nreserved."), (2, "by success"), (3, "Released under the MIT Licence.")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.license) for r in licenses.scan_licenses(docs).collect()) == [(1, "All-Rights-Reserved"), (3, "MIT")]
+
+
+def test_many_licenses_in_one_text():
+    mit = " ".join(MIT_TEXT.split())
+    assert names(" and then ".join([mit, BSD_TEXT + NEITHER, mit, "Licensed under CC BY 4.0.", BSD_TEXT, mit])) == ["MIT", "BSD-3-Clause", "MIT", "CC-BY-4.0", "BSD-2-Clause", "MIT"]
+
+
+def test_templates_from_a_table(spark):
+    rows = [("Own-1", "This file comes under the Own License, first version.", "own first"), ("Own-2", "This file comes under the Own License, second version.", "own second"), (None, "x", None)]
+    table = licenses.template_table(spark.createDataFrame(rows, "license string, text string, must string"))
+    docs = spark.createDataFrame([(1, "This file comes under\nthe Own License, second version."), (2, "MIT License")], "doc_id long, text string")
+    assert [(r.doc_id, r.license) for r in licenses.scan_licenses(docs, table).collect()] == [(1, "Own-2")]
+    with pytest.raises(ValueError):
+        licenses.template_table(spark.createDataFrame([("A", "no such word", "x")], "license string, text string, must string"))
