@@ -6,7 +6,8 @@ weighed with the bits that point into its text, wins. Documents are parsed whole
 letters that start phrases of their own, so that numpy can step through all pieces of a chunk together.
 
 The classifier is fitted on a bounded sample of labelled rows: at most SAMPLE_BYTES per language, whole
-texts of up to LONGEST bytes in the order of a hash. Only this sample travels to the tasks.
+texts of up to LONGEST bytes in the order of a hash (beginnings of longer ones, if a language has no others). Only this sample
+travels to the tasks.
 
 Edge cases: null text or text without a letter gives `und` with score 0, as does a table without labelled
 rows; ties go to the language first by code point. A null lang is not learned from; a null doc_id counts
@@ -34,13 +35,16 @@ def fold(doc_id: Column, n: int) -> Column:
 
 def labelled_sample(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> dict[str, list[str]]:
     """Texts of each language, sample_bytes together at most, from rows with text and lang."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.octet_length("text") <= LONGEST))
-    rows = rows.select("lang", "text", (F.xxhash64("text", "doc_id") / F.lit(2.0**63)).alias("at"))
-    per_text = rows.groupBy("lang").agg(F.count("*").alias("n"), F.avg(F.octet_length("text")).alias("size")).collect()
+    size, short = F.octet_length("text"), F.octet_length("text") <= LONGEST
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", (F.xxhash64("text", "doc_id") / F.lit(2.0**63)).alias("at"), short.alias("short"))
+    per_text = rows.groupBy("lang").agg(F.count_if("short").alias("n"), F.avg(F.when(F.col("short"), size)).alias("size"), F.count("*").alias("all")).collect()
     # of each language's rows a share is read that holds about four times what is used
-    share = F.lit(None)
+    share, lone = F.lit(None), [r["lang"] for r in per_text if not r["n"]]
     for r in per_text:
-        share = F.when(F.col("lang") == r["lang"], F.lit(-1 + 2 * min(1.0, 4 * max(64, sample_bytes / r["size"]) / r["n"]))).otherwise(share)
+        wanted = 4 * max(64, sample_bytes / r["size"]) / r["n"] if r["n"] else 64 / r["all"]
+        share = F.when(F.col("lang") == r["lang"], F.lit(-1 + 2 * min(1.0, wanted))).otherwise(share)
+    # a language that has long texts only is learned from their beginnings
+    rows = rows.where(F.col("short") | F.col("lang").isin(*lone)).withColumn("text", F.when(F.col("short"), F.col("text")).otherwise(F.substring("text", 1, LONGEST // 4)))
     sample: dict[str, list[str]] = {}
     used: dict[str, int] = {}
     for r in sorted(rows.where(F.col("at") <= share).collect(), key=lambda r: (r["lang"], r["at"], r["text"])):
@@ -86,8 +90,7 @@ def _normal(data: np.ndarray, alphabet: np.ndarray, offsets: np.ndarray) -> tupl
     symbols = alphabet[data]
     keep = symbols != 0
     keep[1:] |= symbols[:-1] != 0
-    cuts = offsets[(offsets > 0) & (offsets < len(data))]
-    keep[cuts] |= True
+    keep[offsets[offsets < len(data)]] = True  # wherever a text stands in a chunk, it begins alike
     return symbols[keep], np.append(0, np.cumsum(keep))[offsets]
 
 

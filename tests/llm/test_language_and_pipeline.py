@@ -1,5 +1,6 @@
 """Language identification, decontamination and the corpus pipeline, against plain versions on small tables."""
 
+import math
 import random
 import re
 import zlib
@@ -54,6 +55,57 @@ def test_phrases_against_plain_parsing():
         assert abs(got[i] / model[2][i][1] - phrases(query, corpus)) <= 1
 
 
+def plain_identification(docs, sample):
+    """doc_id -> (language, score), symbol by symbol on strings."""
+    bodies = {lang: "\n".join(texts).lower().encode() for lang, texts in sorted(sample.items())}
+    seen = {b for body in bodies.values() for b in body if b >= 0x80}
+
+    def symbols(data):
+        out = ""
+        for b in data:
+            c = chr(b) if 0x61 <= b <= 0x7A or b in seen else "?" if b >= 0x80 else " "
+            out += c if c != " " or not out.endswith(" ") else ""
+        return out
+
+    corpora = {lang: symbols(body) for lang, body in bodies.items()}
+    found = {}
+    for doc_id, text in docs:
+        if not any(c.isalpha() for c in text or ""):
+            found[doc_id] = "und", 0.0
+            continue
+        own, bits = symbols(text.lower().encode()), {}
+        for lang, corpus in corpora.items():
+            n = 0
+            for lo in range(0, len(own), language.PIECE):
+                n, match = n + 1, ""
+                for c in own[lo : lo + language.PIECE]:
+                    if match + c in corpus:
+                        match += c
+                    else:
+                        n, match = n + 1, c if c in corpus else ""
+            bits[lang] = n * math.log2(len(corpus))
+        best = min(bits, key=lambda k: (bits[k], k))
+        found[doc_id] = best, 1 / sum(2 ** -(b - bits[best]) for b in bits.values())
+    return found
+
+
+def test_language_query_against_plain_identification(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    sample = language.labelled_sample(docs.where(language.fold(docs["doc_id"], 4) != 2))
+    want = plain_identification([(r.doc_id, r.text) for r in docs.collect()], sample)
+    got = {r.doc_id: r for r in language.op5_language_id(spark, small).collect()}
+    assert set(got) == set(want) and len({w for w, _ in want.values()}) > 3
+    assert all(r.lang_pred == want[i][0] and abs(r.score - want[i][1]) < 1e-9 for i, r in got.items())
+    assert all(r.held_out == (held(i, 4) == 2) for i, r in got.items())
+
+
+def test_language_of_long_texts_only(spark):
+    docs = spark.createDataFrame([(1, "kurze wörter hier " * 5000, "de", "a", 0), (2, "short words here", "en", "a", 0)], SCHEMA)
+    sample = language.labelled_sample(docs)
+    assert set(sample) == {"de", "en"} and len(sample["de"][0].encode()) <= language.LONGEST
+    assert [r.lang_pred for r in language.detect_language(docs, sample).collect()] == ["de", "en"]
+
+
 def test_language_edges(spark):
     rows = [(1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, "123 !?", "en", "a", 0), (4, "words of some text", "en", "a", 0), (5, "ein paar wörter text", "de", "a", 0), (None, "words", None, None, 0), (4, "words of some text", "en", "a", 0)]
     docs = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit("x"))
