@@ -317,51 +317,87 @@ def _confirm(similarity: float):
     return run
 
 
-def _across(limit: int):
-    """Pairs of a group's texts under different labels, up to `limit` for each text; a row with cut says that there were more.
+def _bounds(sketches: DataFrame) -> DataFrame:
+    """sig, size, common: how many shingles each text has, and how many of them any other of these texts has too."""
 
-    Texts propose pairs to those of labels that more of the group's texts have, so that the many texts of one large
-    label do not each name the few others.
+    def run(batches):
+        for batch in batches:
+            hashes = [np.frombuffer(x, dtype=np.uint32).view(np.int32) for x in batch.column("sketch").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(hashes, pa.list_(pa.int32()))], names=["sig", "hashes"])
+
+    flat = sketches.mapInArrow(run, "sig long, hashes array<int>").select("sig", F.explode("hashes").alias("h"))
+    shared = flat.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    common = flat.join(shared, "h", "left_semi").groupBy(F.col("sig").alias("s")).agg(F.count("*").alias("common"))
+    sizes = sketches.select("sig", (F.octet_length("sketch") / 4).cast("long").alias("size"))
+    return sizes.join(common, F.col("sig") == F.col("s"), "left").select("sig", "size", F.coalesce("common", F.lit(0)).alias("common"))
+
+
+#: Pairs of one group that a task looks at together.
+AT_ONCE = 2_000_000
+
+
+def _across(limit: int, similarity: float):
+    """Pairs of a group's texts under different labels that may be similar, up to `limit` for each text; a row with cut says that there were more.
+
+    Two texts share no more shingles than either shares with any text, so most pairs are ruled out by that number. Texts
+    propose pairs to those of labels that more of the group's texts have, so that the many texts of one large label do
+    not each name the few others.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        group, label, own, sig = (table[c].to_numpy() for c in ("group", "label", "own", "sig"))
+        group, label, own, sig, size, common = (table[c].to_numpy() for c in ("group", "label", "own", "sig", "size", "common"))
         order, new = sort_runs(group, label)
         many = np.empty(len(order), dtype=np.int64)
         many[order] = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] if len(order) else 0
         order = np.lexsort((sig, own, label, many, group))
-        group, label, own, sig = group[order], label[order], own[order], sig[order]
+        group, label, own, sig, size, common = (x[order] for x in (group, label, own, sig, size, common))
+        inner = table["inner"].to_numpy()[order]
         ends = lambda *keys: np.append(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1, len(sig))
         stop, after = ends(group), ends(group, label)
         at = np.arange(len(sig))
         stop, after = stop[np.searchsorted(stop, at, side="right")], after[np.searchsorted(after, at, side="right")]
-        n = np.minimum(stop - after, limit)
-        x = np.repeat(at, n)
-        y = after[x] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
-        meant = (own[x] != own[y]) | table["inner"].to_numpy()[order][x]
-        x, y = x[meant], y[meant]
-        cut = np.zeros(len(x), dtype=bool)
-        if (stop - after > limit).any():  # said by a pair of a text with itself, as no other may be left
-            x, y, cut = np.append(x, 0), np.append(y, 0), np.append(cut, True)
-        return pa.table({"a": pa.array(np.minimum(sig[x], sig[y])), "b": pa.array(np.maximum(sig[x], sig[y])), "cut": pa.array(cut)})
+        n = stop - after
+        pairs, cut, lo = [], False, 0
+        total = np.cumsum(n)
+        while lo < len(sig):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + AT_ONCE, side="right")))
+            x = np.repeat(at[lo:hi], n[lo:hi])
+            y = after[x] + np.arange(len(x)) - np.repeat(np.cumsum(n[lo:hi]) - n[lo:hi], n[lo:hi])
+            fit = ((own[x] != own[y]) | inner[x]) & (np.minimum(common[x], common[y]) * (1 + similarity) >= similarity * (size[x] + size[y]) - 1e-6)
+            x, y = x[fit], y[fit]
+            nth = np.arange(len(x)) - np.searchsorted(x, x, side="left")
+            cut |= bool((nth >= limit).any())
+            pairs.append((x[nth < limit], y[nth < limit]))
+            lo = hi
+        x, y = (np.concatenate([p[i] for p in pairs]) if pairs else np.zeros(0, dtype=np.int64) for i in (0, 1))
+        more = np.zeros(len(x), dtype=bool)
+        if cut:  # said by a pair of a text with itself, as no other may be left
+            x, y, more = np.append(x, 0), np.append(y, 0), np.append(more, True)
+        return pa.table({"a": pa.array(np.minimum(sig[x], sig[y])), "b": pa.array(np.maximum(sig[x], sig[y])), "cut": pa.array(more)})
 
     return run
 
 
-def across_pairs(members: DataFrame, labels: DataFrame, limit: int, crowded: int) -> DataFrame:
-    """a, b, cut: pairs of members (key, n, sig) that share a key and not the label (node, component); n texts have the key.
+def mixed_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, n, sig, label of the members (key, n, sig) whose key stands under several labels (node, component)."""
+    named = members.join(labels, members["sig"] == labels["node"], "left").select("key", "n", "sig", F.coalesce("component", "sig").alias("label"))
+    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select(F.col("key").alias("k"))
+    return named.join(stored(mixed), F.col("key") == F.col("k"), "left_semi")
+
+
+def across_pairs(mixed: DataFrame, bounds: DataFrame, limit: int, crowded: int, similarity: float) -> DataFrame:
+    """a, b, cut: pairs of mixed_members that share a key and not the label; n texts have the key. bounds: see _bounds.
 
     Crowded keys are dealt out as pairs of their parts.
     """
-    named = members.join(labels, members["sig"] == labels["node"], "left").select("key", "n", "sig", F.coalesce("component", "sig").alias("label"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select(F.col("key").alias("k"))
     parts = F.ceil(F.col("n") / crowded).cast("int")
-    split = named.join(stored(mixed), F.col("key") == F.col("k"), "left_semi").withColumn("own", F.pmod(F.xxhash64("sig", F.lit(1)), parts).cast("int"))
+    known = bounds.withColumnRenamed("sig", "s")
+    split = mixed.join(known, F.col("sig") == F.col("s")).withColumn("own", F.pmod(F.xxhash64("sig", F.lit(1)), parts).cast("int"))
     dealt = split.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    buckets = 16 * shuffle_partitions(members.sparkSession)
-    rows = dealt.select(group.alias("group"), "label", "own", "sig", (F.col("own") == F.col("other")).alias("inner"), F.pmod(group, F.lit(buckets)).alias("bucket"))
-    return rows.groupBy("bucket").applyInArrow(_across(limit), "a long, b long, cut boolean")
+    buckets = 16 * shuffle_partitions(mixed.sparkSession)
+    rows = dealt.select(group.alias("group"), "label", "own", "sig", "size", "common", (F.col("own") == F.col("other")).alias("inner"), F.pmod(group, F.lit(buckets)).alias("bucket"))
+    return rows.groupBy("bucket").applyInArrow(_across(limit, similarity), "a long, b long, cut boolean")
 
 
 def near_copy_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, feature: int = 2, budget: int = 8, blocks: int = 10, first_limit: int = 16, crowded: int = 1024) -> DataFrame:
@@ -391,9 +427,12 @@ def near_copy_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     of = lambda name: sketches.select(F.col("sig").alias(name), F.col("sketch").alias(f"sketch_{name}"))
     confirmed = lambda p: p.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(_confirm(similarity), "a long, b long")
     tried, links, limit = pairs, stored(confirmed(pairs)), first_limit
-    groups = stored(components(links))
+    groups, bounds = stored(components(links)), None
     while True:
-        found = stored(across_pairs(members.select("key", "n", "sig"), groups, limit, crowded).groupBy("a", "b").agg(F.max("cut").alias("cut")))
+        mixed = stored(mixed_members(members.select("key", "n", "sig"), groups))
+        if bounds is None:  # later rounds join groups, so no other texts come to stand under several labels
+            bounds = stored(_bounds(sketches.join(mixed.select("sig").distinct(), "sig", "left_semi")))
+        found = stored(across_pairs(mixed, bounds, limit, crowded, similarity).groupBy("a", "b").agg(F.max("cut").alias("cut")))
         fresh = stored(found.where("a <> b").select("a", "b").join(tried, ["a", "b"], "left_anti"))
         more = stored(confirmed(fresh))
         if not more.isEmpty():

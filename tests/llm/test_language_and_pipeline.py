@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pressmill.llm import decontaminate, language
-from pressmill.llm.simhash import across_pairs, near_copies
+from pressmill.llm.simhash import _bounds, across_pairs, mixed_members, near_copies
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -263,11 +263,25 @@ def test_across_pairs_leave_none_out(spark):
     labels = spark.createDataFrame([(i, i % 5) for i in range(30)], "node long, component long")  # the rest are their own
     label = [i % 5 if i < 30 else i for i in range(40)]
     want = {(i, j) for j in range(40) for i in range(j) if label[i] != label[j]}
+    mixed = mixed_members(members, labels)
+    assert {r.sig for r in mixed.where("key = 3").collect()} == set()
+    bounds = spark.createDataFrame([(i, 10, 10) for i in range(40)], "sig long, size long, common long")
     for crowded in (1000, 7):
-        rows = across_pairs(members, labels, 1000, crowded).collect()
+        rows = across_pairs(mixed, bounds, 1000, crowded, 0.8).collect()
         assert {(r.a, r.b) for r in rows} == want and not any(r.cut for r in rows)
-        rows = across_pairs(members, labels, 2, crowded).collect()
+        rows = across_pairs(mixed, bounds, 2, crowded, 0.8).collect()
         assert {(r.a, r.b) for r in rows if r.a != r.b} < want and any(r.cut for r in rows)
+    # a text that shares too few shingles with any other is in no pair; one that shares 9 of 10 is in those with texts of up to 10 or so
+    tight = spark.createDataFrame([(i, 10, 8 if i == 3 else 9 if i == 4 else 10) for i in range(40)], "sig long, size long, common long")
+    assert {(r.a, r.b) for r in across_pairs(mixed, tight, 1000, 7, 0.8).collect()} == {p for p in want if 3 not in p}
+
+
+def test_bounds(spark):
+    import numpy as np
+
+    sets = {1: [1, 2, 3], 2: [3, 4], 3: [9], 4: [], 5: [3, 9, 10, 11]}
+    sketches = spark.createDataFrame([(k, np.array(v, dtype=np.uint32).tobytes()) for k, v in sets.items()], "sig long, sketch binary")
+    assert {r.sig: (r["size"], r.common) for r in _bounds(sketches).collect()} == {1: (3, 1), 2: (2, 1), 3: (1, 1), 4: (0, 0), 5: (4, 2)}
 
 
 @pytest.fixture(scope="module")
