@@ -10,7 +10,8 @@ from .tables import spread_out, sql_list, table
 
 
 def documents(spark, sf_dir):
-    return spread_out(table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", "text"))
+    """All documents; one without text has an empty one."""
+    return spread_out(table(spark, sf_dir, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text")))
 
 
 def doc_language(spark, sf_dir):
@@ -169,7 +170,7 @@ QUERIES = {
     )
 }
 
-_D = "d AS (SELECT doc_id, source, text FROM documents WHERE text IS NOT NULL)"
+_D = "d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents)"
 _STRIP = r"regexp_replace({0}, '^[\s\v\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}]+|[\s\v\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}]+$', '', 'g')"
 _WORDS = r"regexp_extract_all({0}, '[^\s\v\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}]+')"
 

@@ -30,15 +30,14 @@ def url_filter_reasons(spark, sf_dir):
     return left_out.groupBy("reason").agg(F.count("*").alias("n")).withColumn("total_skipped", F.sum("n").over(Window.partitionBy()))
 
 
-#: Filter rules for the first three hosts: patterns, whether an article id is asked for, whether pages without one pass.
+#: Filter rules, dealt to hosts by the length of their names: patterns, whether an article id is asked for, whether pages without one pass.
 RULES = [(1, ["/en/1", "/d"], False, False), (2, [], True, False), (3, ["/e"], True, True)]
 
 
 def link_reasons_by_rules(spark, sf_dir):
-    """Link filtering with rules for the first three hosts in order."""
+    """Link filtering with rules for every host."""
     found = links(spark, sf_dir)
-    hosts = found.select("domain").distinct().orderBy("domain").limit(3)
-    numbered = hosts.withColumn("i", F.row_number().over(Window.orderBy("domain")))
+    numbered = found.select("domain").distinct().withColumn("i", F.length("domain") % 3 + 1)
     rules = spark.createDataFrame(RULES, "i int, additional_skip_patterns array<string>, require_article_id boolean, allow_no_id_pages boolean")
     return urls.with_skip_reason(urls.with_rules(found, numbered.join(rules, "i")), rules="rules").select("page_id", "path", "reason")
 
@@ -67,9 +66,9 @@ def url_reconstruct(spark, sf_dir):
 
 
 def slug_titles(spark, sf_dir):
-    """A slug of the first eight words of each document as a title in each style."""
-    docs = table(spark, sf_dir, "documents").where("text is not null")
-    slug = F.array_join(F.slice(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-zà-ÿ]+"), F.lit(0)), 1, 8), "-")
+    """A slug of the words of each document as a title in each style."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    slug = F.array_join(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-zà-ÿ]+"), F.lit(0)), "-")
     return docs.select("doc_id", *(urls.slug_title(slug, k).alias(k) for k in ("fr", "ro", "en")))
 
 
@@ -152,7 +151,7 @@ SQL = {
     "url_article_id": f"WITH {LINKS_SQL} SELECT page_id, path, {_id('url', fixed.ARTICLE_ID)} AS article_id, {_id('url', fixed.ARTICLE_ID)} IS NOT NULL AS has_id FROM links",
     "url_storage_name": f"WITH {LINKS_SQL} SELECT page_id, path, {_NAME} AS name FROM links",
     "url_reconstruct": f"WITH {LINKS_SQL}, n AS (SELECT page_id, domain, path, {_NAME} AS name FROM links) SELECT page_id, path, 'https://' || CASE WHEN starts_with(domain, 'www.') THEN domain ELSE 'www.' || domain END || '/' || CASE WHEN name = 'index.html' THEN '' ELSE replace(replace(name, '.html', ''), '_', '/') END AS rebuilt FROM n",
-    "slug_titles": "WITH s AS (SELECT doc_id, string_split(array_to_string(regexp_extract_all(lower(text), '[a-zà-ÿ]+')[1:8], '-'), '-') AS ws FROM documents WHERE text IS NOT NULL) SELECT doc_id, "
+    "slug_titles": "WITH s AS (SELECT doc_id, string_split(array_to_string(regexp_extract_all(lower(coalesce(text, '')), '[a-zà-ÿ]+'), '-'), '-') AS ws FROM documents) SELECT doc_id, "
     + ", ".join(f"{_title(k)} AS {k}" for k in ("fr", "ro", "en")) + " FROM s",
     "page_links": f"WITH {LINKS_SQL} SELECT page_id, domain, path FROM links",
     "links_found": f"WITH {LINKS_SQL}, a AS (SELECT DISTINCT domain, path FROM links WHERE page_id % 2 = 0), b AS (SELECT DISTINCT domain, path FROM links WHERE page_id % 2 = 1) "
@@ -166,7 +165,7 @@ SQL["page_link_counts"] = (
 SQL["url_filter_reasons"] = SQL["url_filter_reasons"].replace("sum(count(*)) OVER ()::BIGINT", "CAST(sum(count(*)) OVER () AS BIGINT)")
 SQL["link_reasons_by_rules"] = (
     SQL["link_skip_reason"].removesuffix(" SELECT * FROM reasons")
-    + f""", h AS (SELECT domain, row_number() OVER (ORDER BY domain) AS i FROM (SELECT DISTINCT domain FROM links)),
+    + f""", h AS (SELECT DISTINCT domain, length(domain) % 3 + 1 AS i FROM links),
     j AS (SELECT r.page_id, r.path, r.reason, h.i, l.url, lower(url_decode(l.path)) AS full_path FROM reasons r JOIN links l ON r.page_id = l.page_id AND r.path = l.path JOIN h ON l.domain = h.domain),
     k AS (SELECT *, list_filter(CASE i WHEN 1 THEN {sql_list(RULES[0][1])} WHEN 3 THEN {sql_list(RULES[2][1])} ELSE [] END, lambda x: contains(full_path, x))[1] AS own FROM j)
     SELECT page_id, path, CASE WHEN starts_with(reason, 'matches skip pattern') THEN reason WHEN own IS NOT NULL THEN 'matches domain-specific pattern: ' || own
