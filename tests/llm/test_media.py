@@ -147,3 +147,42 @@ def test_edges(spark):
     assert by_id[1].payload == by_id[2].payload == bytes(64) and by_id[1].media == by_id[2].media
     assert by_id[3].payload.rstrip(b"\0") == rows[3][1].encode() and by_id[None].payload == b"a" * 64
     assert media.media_digests(media.store_media(docs.limit(0))).count() == 0
+
+
+def plain_rgb(payload):
+    """The picture of a payload by the formulas of the format, from the writer's stated layout and not from its files."""
+    n = len(payload) // 64
+    units = -(-n // 6)
+    wide = int(np.ceil(np.sqrt(units)))
+    high = -(-units // wide)
+    coefficients = np.frombuffer(payload.ljust(6 * wide * high * 64, b"\0"), dtype=np.uint8).reshape(-1, 64).astype(int)
+    coefficients = np.where(coefficients >= 128, coefficients, coefficients - 255)
+    k, x = np.mgrid[0:8, 0:8]
+    basis = np.where(k == 0, 0.5**0.5, 1) / 2 * np.cos((2 * x + 1) * k * np.pi / 16)
+
+    def plane(blocks, per_row):
+        out = np.zeros((len(blocks) // per_row * 8, per_row * 8))
+        for i, block in enumerate(blocks):
+            square = np.zeros(64)
+            square[jpeg.ZIGZAG] = block
+            out[i // per_row * 8 :, i % per_row * 8 :][:8, :8] = np.clip(np.round(basis.T @ square.reshape(8, 8) @ basis) + 128, 0, 255)
+        return out
+
+    many = 4 * wide * high
+    y = plane(coefficients[:many], 2 * wide)
+    blue, red = (np.kron(plane(part, wide), np.ones((2, 2))) - 128 for part in (coefficients[many : many + wide * high], coefficients[many + wide * high :]))
+    return np.clip(np.round(np.stack([y + 1.402 * red, y - 0.344136 * blue - 0.714136 * red, y + 1.772 * blue], axis=2)), 0, 255)
+
+
+def test_query_media_columns_against_formulas(spark, small):
+    rows = {r.doc_id: r for r in media.op6_progressive_jpeg(spark, small).collect()}
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = media.store_media(docs.select("doc_id", "text")).select("doc_id", F.octet_length("media").alias("n"), F.sha2("media", 256).alias("sha"))
+    assert all((rows[r.doc_id].media_bytes, rows[r.doc_id].media_sha256) == (r.n, r.sha) for r in kept.collect())
+    short = docs.where("octet_length(text) < 3000").limit(60).collect()
+    assert len(short) > 20
+    for d in short:
+        rgb = plain_rgb(media.padded(d.text.encode()))
+        size, *means = rows[d.doc_id].feature.split()
+        assert size == f"{rgb.shape[0]}x{rgb.shape[1]}"
+        assert all(abs(float(m) - want) < 0.3 for m, want in zip(means, rgb.reshape(-1, 3).mean(axis=0)))
