@@ -1,5 +1,6 @@
 import pytest
 
+from pressmill.scratch import drop_stored
 from pressmill.session import local_session
 
 DATA = "/root/testdata"
@@ -9,6 +10,7 @@ DATA = "/root/testdata"
 def spark():
     session = local_session("tests", spark__sql__shuffle__partitions="8")
     yield session
+    drop_stored(session)
     session.stop()
 
 
