@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ledger import error_alerts, error_counts, success_rate
@@ -15,6 +15,13 @@ def storage_alert(used: int, total: int, warning: float = WARNING, critical: flo
     return f"CRITICAL: Disk usage at {share:.1f}%" if share >= critical else f"WARNING: Disk usage at {share:.1f}%" if share >= warning else None
 
 
+def storage_alert_of(used: Column, total: Column, warning: float = WARNING, critical: float = CRITICAL) -> Column:
+    """The same for a column of volumes; null where all is well."""
+    share = used / total * 100
+    said = lambda how: F.format_string(f"{how}: Disk usage at %.1f%%", share)
+    return F.when(share >= critical, said("CRITICAL")).when(share >= warning, said("WARNING"))
+
+
 def alerts(ledger: DataFrame, log_lines: DataFrame, thresholds: DataFrame) -> DataFrame:
     """alert: one line for each stage with a low success rate and each component with too many errors."""
     low = success_rate(ledger, "stage").where("alert").select(F.format_string("ALERT: %s success rate is %.1f%%", "stage", "rate").alias("alert"))
