@@ -253,6 +253,12 @@ class SuffixLevels:
 
     def add(self, at: np.ndarray) -> np.ndarray:
         """Scans a batch (positions in corpus order) against all levels and adds it; for each suffix the position of an equal earlier one, or -1."""
+        earlier, fresh = self.scan(at)
+        self._insert(fresh)
+        return earlier
+
+    def scan(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What add() returns, and the suffix array of those that no level holds, each once."""
         order, new = self.sorted(at)
         first = order[new]
         once, earlier = at[first], np.full(len(first), -1, dtype=np.int64)
@@ -260,40 +266,51 @@ class SuffixLevels:
             where = np.minimum(self._places(level, once), len(level) - 1)
             hit = self._compare(level[where], once) == 0
             earlier[hit] = level[where[hit]]
-        self._insert(once[earlier < 0])
         out = np.empty(len(at), dtype=np.int64)
         of = np.cumsum(new) - 1
         out[order] = np.where(earlier[of] >= 0, earlier[of], np.where(new, -1, once[of]))
-        return out
+        return out, once[earlier < 0]
+
+    def merged(self, level: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+        return np.insert(level, self._places(level, fresh), fresh)
 
     def _insert(self, fresh: np.ndarray) -> None:
         while self.levels and len(self.levels[-1]) <= 2 * len(fresh):
-            level = self.levels.pop()
-            fresh = np.insert(level, self._places(level, fresh), fresh)
+            fresh = self.merged(self.levels.pop(), fresh)
         if len(fresh):
             self.levels.append(fresh)
 
 
-def _repeats_in_regions(columns: dict, body: np.ndarray, window: int) -> dict:
-    """Windows of the regions that an equal, earlier window precedes."""
+def _windows_of(columns: dict, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of the regions in corpus order: their region, start in the document and position in the regions' bytes."""
     order = np.lexsort((columns["tag"], columns["start"], columns["doc"]))
     begin = np.append(0, np.cumsum(columns["size"].astype(np.int64)))[:-1]
     which, shift = _each_window(order, columns["size"][order].astype(np.int64) - window + 1)
-    at = begin[which] + shift
-    index, earlier = SuffixLevels(body, window), np.empty(len(at), dtype=np.int64)
-    for lo in range(0, len(at), BATCH):
-        earlier[lo : lo + BATCH] = index.add(at[lo : lo + BATCH])
+    return which, (columns["start"][which] + shift).astype(np.int32), begin[which] + shift
+
+
+def _hits(columns: dict, which, starts, at, earlier, floor: int, window: int) -> dict:
+    """Windows of which an equal one stands before `floor`, or at an earlier place of the regions (whose bytes begin at floor)."""
+    place = np.zeros(int(at.max(initial=0)) + 1, dtype=np.int64)
+    place[at] = np.arange(len(at))
     hits = np.flatnonzero(earlier >= 0)
-    starts = (columns["start"][which] + shift).astype(np.int32)
     found = {"doc": columns["doc"][which[hits]], "tag": columns["tag"][which[hits]], "start": starts[hits], "size": np.full(len(hits), window, dtype=np.int32)}
+    inside = earlier[hits] >= floor
+    first = place[np.where(inside, earlier[hits] - floor, 0)]
     # regions of one place can meet here under two rows of one document: equal places are no repeats
-    place = np.empty(len(body), dtype=np.int64)
-    place[at] = np.arange(len(at))
-    first = place[earlier[hits]]
-    real = _later(found["doc"], found["start"], columns["doc"][which[first]], starts[first])
+    real = ~inside | _later(found["doc"], found["start"], columns["doc"][which[first]], starts[first])
     return {k: v[real] for k, v in found.items()}
 
 
+def _repeats_in_regions(columns: dict, body: np.ndarray, window: int) -> dict:
+    """Windows of the regions that an equal, earlier window precedes."""
+    which, starts, at = _windows_of(columns, window)
+    index, earlier = SuffixLevels(body, window), np.empty(len(at), dtype=np.int64)
+    for lo in range(0, len(at), BATCH):
+        earlier[lo : lo + BATCH] = index.add(at[lo : lo + BATCH])
+    return _hits(columns, which, starts, at, earlier, 0, window)
+
+
 def _join_windows(spans: dict) -> dict:
     """Overlapping or touching spans of a document as one, to send fewer rows on."""
     order = np.lexsort((spans["start"], spans["tag"], spans["doc"]))
@@ -370,9 +387,12 @@ def _map_cut(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 100, with_text: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the kept bytes (or only their SHA-256), a row for each row of docs."""
-    tagged, spans = _tagged(docs.select("doc_id", "text")), repeated_spans(docs, window)
+def remove_repeats(docs: DataFrame, window: int = 100, with_text: bool = True, spans: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and the kept bytes (or only their SHA-256), a row for each row of docs.
+
+    spans: what to remove, as repeated_spans or SuffixIndex.add give it; by default what repeats within docs.
+    """
+    tagged, spans = _tagged(docs.select("doc_id", "text")), repeated_spans(docs, window) if spans is None else spans
     joined = tagged.join(spans, (tagged["_doc"] == spans["doc"]) & (tagged["_tag"] == spans["tag"]), "left")
     last = "kept binary" if with_text else "kept_sha256 string"
     out = joined.select("doc_id", F.col("text").cast("binary").alias("text"), "spans").mapInArrow(_map_cut(with_text), f"_doc long, n_bytes long, n_removed long, n_spans long, {last}")
@@ -380,5 +400,104 @@ def remove_repeats(docs: DataFrame, window: int = 100, with_text: bool = True) -
     return out.select(doc_id, *out.columns[1:])
 
 
+def _map_all_regions(window: int, buckets: int):
+    """Documents to blobs of the texts of all their runs; of equal runs of a task the first is sent and later ones are spans."""
+
+    def run(batches):
+        for ids, data, offsets, rows in text_chunks(batches):
+            tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], dtype=np.uint32)
+            found: list = []
+            for at, piece, bounds in _slices(data, offsets, overlap=window - 1):
+                rolling, second = Rolling(BYTE_SYMBOLS[piece]), Rolling(CHECK_SYMBOLS[piece])
+                start, count, _, key = runs(rolling, bounds, window, GRAM)
+                row, size = np.searchsorted(bounds, start, side="right") - 1, count + window - 1
+                columns = {"content": rolling.spans(start, start + size), "check": second.spans(start, start + size), "doc": ids[row], "tag": tags[row], "start": (start + at - offsets[row]).astype(np.int32), "size": size}
+                order, _, later = _first_of_each(columns, "content", "check")
+                keep, gone = np.sort(order[~later]), np.sort(order[later])
+                for bucket, some in by_bucket((key[keep] >> U(32)).astype(np.int64) % buckets):
+                    some = keep[some]
+                    found.append((bucket, REGIONS_KIND, pack(SPAN, some, columns), b"".join(piece[a : a + n].tobytes() for a, n in zip(start[some], size[some]))))
+                if len(gone):
+                    found.append((int(key[gone[0]] % U(buckets)), SPANS_KIND, pack(SPAN, gone, columns)))
+            if found:
+                yield _blob_batch(found)
+
+    return run
+
+
+def _scan_levels(window: int, merging: list[int]):
+    """A bucket's regions of a batch against its stored levels: spans to remove, and one new level, merged with those named."""
+
+    def run(batch: pa.Table, stored_levels: pa.Table) -> pa.Table:
+        parts = {n: (b, np.frombuffer(p, dtype=np.int32).astype(np.int64)) for n, b, p in zip(*(stored_levels[c].to_pylist() for c in ("level", "body", "places")))}
+        bodies = [b for b, _ in parts.values()] + _blobs(batch, REGIONS_KIND, "body")
+        begins = dict(zip(parts, np.append(0, np.cumsum([len(b) for b, _ in parts.values()])).tolist()))
+        floor = sum(len(b) for b, _ in parts.values())
+        body, columns = np.frombuffer(b"".join(bodies), dtype=np.uint8), unpack(SPAN, _blobs(batch, REGIONS_KIND))
+        which, starts, at = _windows_of(columns, window)
+        index = SuffixLevels(body, window)
+        index.levels = [places + begins[n] for n, (_, places) in parts.items()]
+        earlier, level = index.scan(at + floor)
+        spans = [_hits(columns, which, starts, at, earlier, floor, window), unpack(SPAN, _blobs(batch, SPANS_KIND))]
+        for n in merging:
+            if n in parts:
+                level = index.merged(parts[n][1] + begins[n], level)
+        # of the bytes only those stay that a suffix of the level covers
+        marks = np.zeros(len(body) + 1, dtype=np.int64)
+        np.add.at(marks, level, 1)
+        np.add.at(marks, level + window, -1)
+        kept = np.cumsum(marks[:-1]) > 0
+        places = (np.cumsum(kept) - 1)[level].astype(np.int32)
+        bucket = (batch if len(batch) else stored_levels)["bucket"][0].as_py()
+        found = _span_table(_join_windows({name: np.concatenate([s[name] for s in spans]).astype(SPAN[name]) for name in SPAN})).drop_columns(["gram"])
+        n = len(found)
+        own = pa.table({"bucket": pa.array([bucket], pa.int32()), "body": pa.array([body[kept].tobytes()], pa.binary()), "places": pa.array([places.tobytes()], pa.binary())})
+        nothing = {"bucket": pa.nulls(n, pa.int32()), "body": pa.nulls(n, pa.binary()), "places": pa.nulls(n, pa.binary())}
+        return pa.table({**{c: pa.concat_arrays([*found[c].chunks, pa.nulls(1, found[c].type)]) for c in found.column_names}, **{c: pa.concat_arrays([nothing[c], *own[c].chunks]) for c in own.column_names}})
+
+    return run
+
+
+class SuffixIndex:
+    """Suffix arrays in tables, to which batches of documents are added one after the other, by any number of runs.
+
+    A batch gets its suffix arrays, is merge-scanned against all levels there are, and what is new in it becomes a
+    level; two levels of one rank merge to one of the next, so a suffix is merged a logarithmic number of times. Documents of
+    later batches count as later, whatever their doc_id. Each step is one Spark job over the buckets of anchor grams;
+    levels that were merged stay on disk until the folder is cleared.
+    """
+
+    def __init__(self, spark, folder: str, window: int = 100, buckets: int = 256):
+        self.spark, self.folder, self.window, self.buckets = spark, folder.rstrip("/"), window, buckets
+
+    def levels(self) -> list[tuple[int, str]]:
+        """(rank, path) of the levels, the oldest first, as the last whole batch has left them."""
+        files = self.spark._jvm.org.apache.hadoop.fs
+        found = files.Path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(files.Path(f"{self.folder}/state-*/_SUCCESS")) or []
+        states = sorted(str(f.getPath().getParent()) for f in found)
+        return [(r["rank"], r["path"]) for r in self.spark.read.parquet(states[-1]).orderBy("nth").collect()] if states else []
+
+    def add(self, docs: DataFrame) -> DataFrame:
+        """doc, tag, spans: what of these documents an earlier batch or an earlier place in this one holds; the index then holds them too."""
+        levels, rank = self.levels(), 0
+        merging = []
+        while levels and len(merging) < len(levels) and levels[-1 - len(merging)][0] == rank:
+            merging.append(len(levels) - 1 - len(merging))
+            rank += 1
+        schema = "bucket int, body binary, places binary, level int"
+        old = self.spark.createDataFrame([], schema)
+        for n, (_, path) in enumerate(levels):
+            old = old.unionByName(self.spark.read.parquet(path).where("bucket is not null").select("bucket", "body", "places", F.lit(n).alias("level")))
+        texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+        regions = texts.mapInArrow(_map_all_regions(self.window, self.buckets), BLOB)
+        found = regions.groupBy("bucket").cogroup(old.groupBy("bucket")).applyInArrow(_scan_levels(self.window, merging), "doc long, tag long, start int, size int, bucket int, body binary, places binary")
+        number = len(self.spark.read.parquet(f"{self.folder}/state-*").select("batch").distinct().collect()) if levels else 0
+        path = f"{self.folder}/batch-{number:09d}"
+        found.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        now = [x for n, x in enumerate(levels) if n not in merging] + [(rank, path)]
+        self.spark.createDataFrame([(n, r, p, number) for n, (r, p) in enumerate(now)], "nth int, rank int, path string, batch int").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/state-{number:09d}")
+        return self.spark.read.parquet(path).where("doc is not null").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+
+
 def op1_suffix_dedup(spark, sf_dir):
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), with_text=False)

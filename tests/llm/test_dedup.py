@@ -59,6 +59,21 @@ def test_suffix_dedup_heavy_grams(spark, monkeypatch, edges):
         test_suffix_dedup_crowded_gram(spark)
 
 
+def test_suffix_index_takes_batches(spark, small, tmp_path):
+    rows = sorted((r for r in texts(spark, small)), key=lambda r: r[0])
+    rows += [(10**6 + k, rows[k][1]) for k in (3, 50)] + [(10**7, None), (10**7 + 1, "x" * 99), (10**7 + 2, "x" * 250)]
+    want, got, ranks = brute.suffix_dedup(rows), {}, []
+    for n in range(5):
+        part = spark.createDataFrame(rows[n * len(rows) // 5 : (n + 1) * len(rows) // 5], "doc_id long, text string").repartition(3)
+        index = suffix_dedup.SuffixIndex(spark, f"file://{tmp_path}/index", buckets=8)  # opened anew for each batch
+        found = suffix_dedup.remove_repeats(part, with_text=False, spans=index.add(part))
+        got |= {r[0]: tuple(r[1:]) for r in found.collect()}
+        ranks.append([rank for rank, _ in index.levels()])
+    assert ranks == [[0], [1], [1, 0], [2], [2, 0]] and got == want
+    again = index.add(spark.createDataFrame(rows[:40], "doc_id long, text string"))
+    assert suffix_dedup.remove_repeats(spark.createDataFrame(rows[:40], "doc_id long, text string"), spans=again).where("n_bytes >= 100 and n_removed < n_bytes").isEmpty()
+
+
 def test_suffix_levels_are_in_the_order_of_the_text():
     import random
 
