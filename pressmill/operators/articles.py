@@ -23,7 +23,8 @@ def analysed(articles: DataFrame, fallback_type: Column | None = None) -> DataFr
     reason = F.when(F.col("status") == "skipped", "Content too short for AI analysis").when(
         F.col("status") == "filtered", F.concat(F.lit("Content type: "), F.col("content_type"), F.lit(" (confidence: "), F.format_string("%.2f", confidence), F.lit(")"))
     )
-    done = rows.withColumns({"reason": reason, "entities": text.entities(content), "content_type_confidence": confidence})
+    ok = F.col("status") == "success"
+    done = rows.withColumns({"reason": reason, "entities": F.when(ok, text.entities(content)), "content_type_confidence": confidence})
     n_locations = F.size("entities.locations")
     added = {
         "summary": text.summary(F.substring(content, 1, 3000)),
@@ -38,7 +39,6 @@ def analysed(articles: DataFrame, fallback_type: Column | None = None) -> DataFr
         "geographic_scope": text.geographic_scope(content, n_locations),
         "extraction_confidence": F.lit(0.8),
     }
-    ok = F.col("status") == "success"
     return done.withColumns({name: F.when(ok, value) for name, value in added.items()})
 
 
