@@ -400,7 +400,7 @@ def across_pairs(mixed: DataFrame, bounds: DataFrame, limit: int, crowded: int,
     return rows.groupBy("bucket").applyInArrow(_across(limit, similarity), "a long, b long, cut boolean")
 
 
-def near_copy_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, feature: int = 2, budget: int = 8, blocks: int = 10, first_limit: int = 16, crowded: int = 1024) -> DataFrame:
+def near_copy_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, feature: int = 2, budget: int = 8, blocks: int = 10, first_limit: int = 4, crowded: int = 1024) -> DataFrame:
     """node, sig, head, head_sig: a row for each row of docs, by doc_id (null is NULL_ID) and hash of its text; head is the least of its group.
 
     Groups are the components of distinct texts linked by a Jaccard similarity of their shingles. Candidates are, first,
