@@ -207,12 +207,12 @@ class SuffixLevels:
     def __init__(self, body: np.ndarray, window: int):
         padded = np.append(body, np.zeros(8, dtype=np.uint8))
         #: At each position its eight bytes as a number, in the order of the bytes.
-        self.words = np.ndarray((len(body),), ">u8", padded, strides=(1,))
+        self.words = np.ndarray((len(body),), ">u8", padded, strides=(1,)).astype(U)
         self.steps = [*range(0, window - 8, 8), window - 8]
         self.levels: list[np.ndarray] = []
 
     def _word(self, at: np.ndarray) -> np.ndarray:
-        return self.words[at].astype(U)
+        return self.words[at]
 
     def sorted(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The order of suffixes by their bytes (of equal ones as given), and where in it a new one begins: ties go on to the next eight bytes."""
@@ -243,7 +243,8 @@ class SuffixLevels:
 
     def _places(self, level: np.ndarray, at: np.ndarray) -> np.ndarray:
         """For each suffix the number of the level's suffixes that are less."""
-        lo, hi = np.zeros(len(at), dtype=np.int64), np.full(len(at), len(level), dtype=np.int64)
+        first, own = self._word(level), self._word(at)
+        lo, hi = (np.searchsorted(first, own, side=side) for side in ("left", "right"))  # the rest only where the first eight bytes agree
         while len(open_ := np.flatnonzero(lo < hi)):
             mid = (lo[open_] + hi[open_]) // 2
             less = self._compare(level[mid], at[open_]) < 0
