@@ -418,15 +418,22 @@ def near_copy_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     hubs = stored(spread.groupBy("key").agg(F.min("sig").alias("first"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("key", "k"))
     members = stored(spread.join(hubs, F.col("key") == F.col("k")).select("key", "n", "first", "sig"))
     shared = members.where("sig <> first").select(F.col("first").alias("a"), F.col("sig").alias("b"))
-    pairs = found.unionByName(same).unionByName(shared).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(pairs.distinct())
-    linked = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    ordered = lambda p: stored(p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    prints, near = ordered(same.unionByName(shared)), ordered(found)
+    linked = prints.select(F.col("a").alias("sig")).union(prints.select("b")).union(near.select("a")).union(near.select("b")).distinct()
     one_each = texts.join(linked, "sig", "left_semi").select("node", "sig")
     # linked grows with docs; rows that are wholly alike leave one sketch
     sketches = stored(_sketches(ids.join(one_each.hint("merge"), ["node", "sig"], "left_semi"), shingle).dropDuplicates(["sig"]))
     of = lambda name: sketches.select(F.col("sig").alias(name), F.col("sketch").alias(f"sketch_{name}"))
     confirmed = lambda p: p.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(_confirm(similarity), "a long, b long")
-    tried, links, limit = pairs, stored(confirmed(pairs)), first_limit
+    links = stored(confirmed(prints))
+    # of the fingerprints' links only those are tried that would join groups
+    label = stored(components(links))
+    ends = [label.select(F.col("node").alias(f"n{c}"), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
+    apart = near.join(ends[0], F.col("a") == F.col("na"), "left").join(ends[1], F.col("b") == F.col("nb"), "left")
+    apart = stored(apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b").join(prints, ["a", "b"], "left_anti"))
+    tried, limit = prints.unionByName(apart), first_limit
+    links = links.unionByName(stored(confirmed(apart)))
     groups, bounds = stored(components(links)), None
     while True:
         mixed = stored(mixed_members(members.select("key", "n", "sig"), groups))
