@@ -1,6 +1,6 @@
 """The queries of this subpackage by name, and SQL for those that SQL can express."""
 
-from . import decontaminate, katz, language, licenses, line_dedup, media, mixing, simhash, substring_dedup, suffix_dedup
+from . import clustering, decontaminate, katz, language, licenses, line_dedup, media, mixing, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -13,5 +13,6 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_centroid_clusters": clustering.op11_centroid_clusters,
 }
-SQL = {"op8_line_dedup": line_dedup.SQL, "op10_mix_sources": mixing.SQL}
+SQL = {"op8_line_dedup": line_dedup.SQL, "op10_mix_sources": mixing.SQL, "op11_centroid_clusters": clustering.SQL}
