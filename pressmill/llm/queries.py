@@ -1,6 +1,6 @@
 """The queries of this subpackage by name, and SQL for those that SQL can express."""
 
-from . import clustering, collocations, decontaminate, katz, language, licenses, line_dedup, media, mixing, simhash, substring_dedup, suffix_dedup
+from . import clustering, collocations, decontaminate, katz, language, licenses, line_dedup, main_text, media, mixing, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,5 +15,6 @@ QUERIES = {
     "op10_mix_sources": mixing.op10_mix_sources,
     "op11_centroid_clusters": clustering.op11_centroid_clusters,
     "op12_collocations": collocations.op12_collocations,
+    "op13_main_text": main_text.op13_main_text,
 }
 SQL = {"op8_line_dedup": line_dedup.SQL, "op10_mix_sources": mixing.SQL, "op11_centroid_clusters": clustering.SQL, "op12_collocations": collocations.SQL}
