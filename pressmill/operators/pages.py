@@ -11,6 +11,7 @@ from ..functions import text as texts
 from ..functions import urls
 from ..functions.rx import contains_any, strip, word_count
 from ..html import article, candidates, clean, dom, sections
+from ..scratch import stored
 
 PARSED = (
     "parts array<struct<kind:string,nth:int,selector:string,name:string,classes:string,chars:int,words:int,text:string>>, named array<struct<selector:string,names:string>>, strings array<string>, "
@@ -164,24 +165,32 @@ def _extraction(method: str, rules: dict):
             date = _meta(root, 'meta[property="article:published_time"]', 'meta[name="date"]')
             headers = article.headers_in(root)
             cleaned = clean.cleaned(root) if method == "dense" else clean.lightly_cleaned(root)
-            found = article.main_text_of(root)
+            found = article.paragraph_spaced(article.main_text_of(root)) if method == "dense" else None
         except RecursionError:
             return html, None, "", {}, None, None, None
-        if method == "dense":
-            found = article.paragraph_spaced(found)
         return cleaned, found, own, headers, title, author, date
 
     return make
 
 
+def _with_dense_runs(rows: DataFrame) -> DataFrame:
+    """rows with `extracted`: the best run of blocks of the cleaned page. The rows are stored once, as their numbers must hold."""
+    from . import blocks, elements
+
+    numbered = stored(rows.drop("extracted").withColumn("_row", F.monotonically_increasing_id()))
+    strings = elements.string_rows(elements.parsed(numbered, "_row", "cleaned_html"), "_row")
+    return numbered.join(blocks.main_texts(strings, "_row").select("_row", F.col("text").alias("extracted")), "_row", "left").drop("_row")
+
+
 def extracted(pages: DataFrame, rules: dict | None = None, method: str = "dense", now: Column | None = None) -> DataFrame:
     """Articles of pages (domain, url, html): markdown and metadata, or skip_type and reason.
 
-    method: `dense` cleans strictly, `light` leaves more of the page. rules: the rules of each domain, a small
+    method: `dense` cleans strictly and takes the heaviest element; `light` leaves more of the page and takes the best run of its blocks. rules: the rules of each domain, a small
     table in hand. The page passes the gates in order; one that fails keeps no markdown.
     """
     titled = pages.withColumn("_title", urls.url_title(F.col("url"), F.col("domain")))
     rows = per_page(titled, _extraction(method, rules or {}), ["html", "domain", "_title"], EXTRACTION).drop("_title")
+    rows = rows if method == "dense" else _with_dense_runs(rows)
     raw, cut, got = F.char_length(strip(F.col("html"))), F.char_length(strip(F.col("cleaned_html"))), strip(F.coalesce("extracted", F.lit("")))
     least, name = (100, "cleaned_html_too_small") if method == "dense" else (500, "light_cleaned_html_too_small")
     ratio = F.try_divide(texts.unique_words(got), word_count(got))

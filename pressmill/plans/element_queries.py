@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..html import candidates
-from ..operators import elements, pages
+from ..html import candidates, nodes
+from ..operators import blocks, elements, pages
 from ..scratch import stored
 from .tables import spread_out, table
 
@@ -67,7 +67,21 @@ def element_sections(spark, sf_dir):
     return elements.first_texts(*_trees(spark, sf_dir), SECTIONS)
 
 
-QUERIES = {f.__name__: f for f in (element_candidates, element_selector_scores, element_removable, element_names, element_sections)}
+def page_blocks(spark, sf_dir):
+    """The blocks of text of each page, with their words, and what they are worth."""
+    from pyspark.sql import Window
+
+    rows = blocks.block_rows(_trees(spark, sf_dir)[1])
+    order = Window.partitionBy("page_id").orderBy("block")
+    return rows.select("page_id", F.row_number().over(order).alias("nth"), "text", "words", "linked_words", blocks.worth(order).alias("worth"))
+
+
+def dense_texts(spark, sf_dir):
+    """The main text of each page by the best run of its blocks."""
+    return blocks.main_texts(_trees(spark, sf_dir)[1])
+
+
+QUERIES = {f.__name__: f for f in (element_candidates, element_selector_scores, element_removable, element_names, element_sections, page_blocks, dense_texts)}
 
 
 def _varied_sql() -> str:
@@ -130,11 +144,26 @@ ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY page_id, kind
 """
 
 
+_BLOCKS = r"""
+bt AS (SELECT page_id, i, tok, regexp_extract(tok, '^</?([a-z][a-z0-9]*)', 1) AS name FROM t),
+bn AS (SELECT *, sum((list_contains(@, name))::INT) OVER w AS block, sum(CASE WHEN name <> 'a' THEN 0 WHEN tok[2] = '/' THEN -1 ELSE 1 END) OVER w > 0 AS linked FROM bt WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+bs AS (SELECT page_id, block, i, linked, CASE WHEN tok = '<br>' THEN chr(10) ELSE # END AS s FROM bn WHERE tok = '<br>' OR name = '' AND NOT regexp_matches(tok, '^<[/!]')),
+bw AS (SELECT page_id, block, trim(regexp_replace(string_agg(s, '' ORDER BY i), '\s+', ' ', 'g')) AS text, sum(CASE WHEN linked THEN len(regexp_extract_all(s, '\S+')) ELSE 0 END)::BIGINT AS linked_words FROM bs GROUP BY page_id, block),
+b AS MATERIALIZED (SELECT page_id, block, text, len(regexp_extract_all(text, '\S+'))::INT AS words, linked_words FROM bw WHERE text <> ''),
+v1 AS (SELECT *, floor(1000.0::DOUBLE * words * (1.0::DOUBLE - 2.0::DOUBLE * sum(linked_words) OVER f / sum(words) OVER f)
+       * least(sum(words) OVER f / sum(ceil(length(text) / 80.0::DOUBLE)) OVER f / 13, 1.0::DOUBLE))::BIGINT - 15000 AS worth FROM b
+       WINDOW f AS (PARTITION BY page_id ORDER BY block ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)),
+v2 AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY block) AS nth FROM v1),
+runs AS (SELECT x.page_id, x.nth AS first, y.nth AS last, sum(z.worth) AS total FROM v2 x JOIN v2 y ON y.page_id = x.page_id AND y.nth >= x.nth JOIN v2 z ON z.page_id = x.page_id AND z.nth BETWEEN x.nth AND y.nth GROUP BY ALL),
+best AS (SELECT * FROM runs WHERE total > 0 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY total DESC, last, first) = 1)
+""".replace("@", str(sorted(nodes.BLOCKS))).replace("#", _DECODED)
 _REMOVED = " OR ".join(f"contains(lower(own.class) || ' ' || lower(own.id), '{word}')" for word in candidates.REMOVABLE)
 SQL = {
     "element_candidates": f"WITH {_candidates_sql()} SELECT page_id, kind, rank::INT AS rank, selector, score, substr(text, 1, 150) AS text FROM ranked",
     "element_selector_scores": f"""WITH {_candidates_sql()}, tot AS (SELECT v.site, r.kind, r.selector, sum(r.score::DECIMAL(20, 6))::DOUBLE AS score FROM ranked r JOIN v USING (page_id) GROUP BY ALL)
         SELECT site, kind, selector, score, row_number() OVER (PARTITION BY site, kind ORDER BY score DESC, selector)::INT AS rank FROM tot QUALIFY rank <= 10""",
+    "page_blocks": f"WITH {_TOKENS} {_BLOCKS} SELECT page_id, nth::INT AS nth, text, words, linked_words, worth FROM v2",
+    "dense_texts": f"WITH {_TOKENS} {_BLOCKS} SELECT page_id, count(*)::INT AS n_blocks, string_agg(text, chr(10) || chr(10) ORDER BY nth) AS text FROM v2 JOIN best USING (page_id) WHERE nth BETWEEN first AND last GROUP BY page_id",
     "element_removable": f"""WITH {_TOKENS} f AS (SELECT page_id, selector, min(i) AS first FROM own WHERE {_REMOVED} GROUP BY ALL)
         SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY first)::INT AS rank, selector FROM f QUALIFY rank <= 20""",
     "element_names": f"""WITH {_TOKENS} n AS (SELECT page_id, '.' || unnest(cs) AS name FROM own UNION ALL SELECT page_id, '#' || id FROM own WHERE id <> ''),
