@@ -7,7 +7,7 @@ from ..operators import retention, runs
 from ..scratch import scratch_dir, stored
 from ..sources import fetch as web
 from ..sources.files import LEDGER
-from ..streaming import incremental
+from ..streaming import incremental, keyed
 from .status_queries import _FILES, _LEDGER, _files, _ledger
 from .tables import LINKS_SQL, links, page_urls, sql_list, table
 from .url_queries import _NAME, _reason
@@ -158,6 +158,28 @@ def stream_staged(spark, sf_dir):
     return ledger.read("work").select("key", "status", "reason")
 
 
+def stream_attempts(spark, sf_dir):
+    """What becomes of links that arrive three times and fail now and then: tried until they succeed, anew each month and 30 days after the last try."""
+    found = stored(links(spark, sf_dir).select("domain", "path").distinct())
+    folder, out, checkpoint = (scratch_dir(spark) for _ in range(3))
+    for k in range(3):
+        days = F.length("path") % 17 + k * (1 + (F.length("domain") + F.length("path")) % 23)
+        rows = found.select("domain", "path", F.timestamp_seconds(F.lit(1704067200) + days * 86400).alias("ts"), F.when((F.length("path") + k) % 3 == 0, "success").otherwise("error").alias("status"))
+        rows.write.mode("append").parquet(folder)
+        keyed.started(keyed.attempts(incremental.arriving(spark, folder, rows.schema), ["domain", "path"]), out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select("domain", "path", "month", "ts", "status", "attempt")
+
+
+def stream_first_seen(spark, sf_dir):
+    """Links by the month they were first seen in, by state of each link instead of a watermark."""
+    pages = table(spark, sf_dir, "pages").select("url", "html", F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") % 50 * 86400).alias("seen_at"))
+    rows = _arrived(spark, pages, pages)
+    found = rows.select(urls.part(F.col("url"), "netloc").alias("domain"), F.explode(urls.page_links(F.col("html"), F.col("url"))).alias("path"), "seen_at")
+    out = scratch_dir(spark)
+    keyed.started(keyed.first_seen(found, ["domain", "path"]), out, scratch_dir(spark), timers=False).awaitTermination()
+    return spark.read.parquet(out).select("month", "domain", "path")
+
+
 def ledger_compacted(spark, sf_dir):
     """A ledger of two runs, compacted: one row per stage and key."""
     rows = stored(_ledger(spark, sf_dir).withColumns({"error": F.lit(None).cast("string"), "attrs": F.lit(None).cast("map<string,string>"), "status": F.concat_ws(" ", "status", "event_id")}).drop("event_id"))
@@ -169,7 +191,7 @@ def ledger_compacted(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (run_sample, run_discover, run_fetch, run_fetch_limited, run_counters, run_retention, run_onboard, stream_new_links, stream_outcomes, stream_staged, ledger_compacted)
+    for f in (run_sample, run_discover, run_fetch, run_fetch_limited, run_counters, run_retention, run_onboard, stream_new_links, stream_outcomes, stream_staged, stream_attempts, stream_first_seen, ledger_compacted)
 }
 
 _HOSTS = "h AS (SELECT DISTINCT regexp_extract(url, '://([^/?#]*)', 1) AS site FROM pages), hs AS (SELECT site, 'https://' || site AS base, length(site) AS n FROM h)"
@@ -184,7 +206,29 @@ sampled AS (SELECT site, link AS url FROM fit WHERE i <= {SAMPLE})"""
 _FETCHED = f"""{LINKS_SQL}, l AS (SELECT DISTINCT domain, path, url FROM links WHERE length(path) % 3 <> 0), {_reason("l", "url")}, n AS (SELECT domain, path, url, {_NAME} AS name FROM l),
 f AS (SELECT domain, path, CASE WHEN name IS NULL OR reason <> 'passed all filters' THEN 'filtered' WHEN length(n.url) % 4 < 2 THEN 'error' ELSE 'success' END AS status,
     CASE WHEN name IS NULL THEN 'invalid path' WHEN reason <> 'passed all filters' THEN reason WHEN length(n.url) % 4 < 2 THEN 'Download failed' END AS reason FROM n JOIN reasons r ON n.url = r.url)"""
+
+
+def _attempts_sql() -> str:
+    """The state of each link before and after each of its three arrivals, step by step."""
+    steps = [
+        f"""WITH {LINKS_SQL}, l AS (SELECT DISTINCT domain, path FROM links),
+        e AS (SELECT domain, path, k, TIMESTAMP '2024-01-01' + to_days((length(path) % 17 + k * (1 + (length(domain) + length(path)) % 23))::INT) AS ts, CASE WHEN (length(path) + k) % 3 = 0 THEN 'success' ELSE 'error' END AS status FROM l, range(3) r(k)),
+        s0 AS (SELECT domain, path, ts, status AS shown, 1 AS attempt, status AS known, ts AS since FROM e WHERE k = 0)"""
+    ]
+    for k in (1, 2):
+        fresh = "(strftime(e.ts, '%Y-%m') <> strftime(p.since, '%Y-%m') OR e.ts - p.since >= INTERVAL 30 DAY)"
+        done = f"(NOT {fresh} AND p.known = 'success')"
+        steps.append(
+            f"""s{k} AS (SELECT domain, path, e.ts, CASE WHEN {done} THEN 'already_done' ELSE e.status END AS shown, CASE WHEN {done} THEN p.attempt WHEN {fresh} THEN 1 ELSE p.attempt + 1 END AS attempt,
+            CASE WHEN {done} THEN p.known ELSE e.status END AS known, CASE WHEN {done} THEN p.since ELSE e.ts END AS since FROM e JOIN s{k - 1} p USING (domain, path) WHERE e.k = {k})"""
+        )
+    rows = " UNION ALL ".join(f"SELECT domain, path, strftime(ts, '%Y-%m') AS month, ts, shown AS status, attempt FROM s{k}" for k in range(3))
+    return ", ".join(steps) + " " + rows
+
+
 SQL = {
+    "stream_attempts": _attempts_sql(),
+    "stream_first_seen": f"WITH {LINKS_SQL} SELECT DISTINCT strftime(TIMESTAMP '2024-01-01' + to_days((page_id % 50)::INT), '%Y-%m') AS month, domain, path FROM links",
     "run_sample": f"WITH {_SAMPLED} SELECT * FROM sampled",
     "run_discover": f"WITH {_HOSTS} SELECT '2024-03' AS month, site AS domain, unnest(CASE WHEN n % 5 = 0 THEN ['/story/cached'] ELSE ['/story/home-1', '/story/home-2'] END) AS path FROM hs",
     "run_fetch": f"WITH {_FETCHED} SELECT domain, path, status, reason FROM f",
