@@ -12,15 +12,14 @@ windows share. A word goes if a window that covers it also starts in a document
    nonbranching paths: the source coordinates decide whether a path goes on or branches.
 3. Paths are joined with the documents, as copies and as sources. The copies' words are cut out. Copy and source each
    hash the words that stand at their coordinates, and the totals of both sides must agree; if two different windows
-   were ever taken for one, all is done again with other hashes.
+   were ever taken for one, all is done again with other hashes, TRIES times at most.
 
 Edge cases: null text has no words; texts of fewer words lose nothing; a null doc_id is smaller
-than all others; rows that share a doc_id are told apart by a checksum of their text, and do not
+than all others; rows that share a doc_id are told apart by a 64-bit hash of their text, and do not
 remove each other's words; very long documents are worked on in pieces. Extra columns are ignored.
 """
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +30,19 @@ from pyspark.sql import functions as F
 from .anchors import U, Rolling, heavy_grams, mixed, runs
 from .blobs import by_bucket, pack, sort_runs, text_chunks, unpack
 from .common import NULL_ID, shuffle_partitions, stored
-from .suffix_dedup import _blob_batch, _blobs, _tagged
+from .suffix_dedup import _blob_batch, _blobs, _tagged, text_tags
 from .words import word_bounds, word_hashes
 
 GRAM = 5
+#: How often all is done with other hashes before an error; two windows out of all are alike in one try in many millions.
+TRIES = 4
 #: Words of a document that are worked on at once.
 PIECE = 1 << 20
 #: Bytes of a window's hash that travel within runs; windows dealt by their own hash carry all eight.
 SHORT = 6
-SEGMENT = {"doc": np.int64, "tag": np.uint32, "start": np.int32, "size": np.int16, "source": np.int64, "stag": np.uint32, "at": np.int32}
-RUN = {"key": U, "doc": np.int64, "tag": np.uint32, "start": np.int32, "size": np.int16, "turn": np.int16}
-EDGE = {"print": U, "doc": np.int64, "tag": np.uint32, "start": np.int32}
+SEGMENT = {"doc": np.int64, "tag": np.int64, "start": np.int32, "size": np.int16, "source": np.int64, "stag": np.int64, "at": np.int32}
+RUN = {"key": U, "doc": np.int64, "tag": np.int64, "start": np.int32, "size": np.int16, "turn": np.int16}
+EDGE = {"print": U, "doc": np.int64, "tag": np.int64, "start": np.int32}
 SEGMENTS_KIND, RUNS_KIND, EDGES_KIND = range(3)
 OUT = "doc long, tag long, start int, size int, source long, stag long, at int"
 
@@ -79,7 +80,7 @@ def _keys(window: int, seed: int):
 def _map_runs(window: int, buckets: int, heavy: np.ndarray, seed: int):
     def run(batches):
         for ids, data, offsets, _ in text_chunks(batches):
-            tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], dtype=np.uint32)
+            tags = text_tags(data, offsets)
             found = []
             for rolling, bounds, at in _pieces(data, offsets, window, seed):
                 found += _run_blobs(rolling, bounds, at, ids, tags, window, buckets, heavy)
@@ -246,8 +247,7 @@ def remove_repeated_words(docs: DataFrame, window: int = 13, with_text: bool = T
     """doc_id, n_words, n_removed and the kept words (or only their SHA-256), a row for each row of docs."""
     last = "kept binary" if with_text else "kept_sha256 string"
     schema = f"_doc long, _tag long, n_words long, n_removed long, {last}, check_a long, check_b long"
-    seed = 0
-    while True:
+    for seed in range(TRIES):
         tagged, paths = _tagged(docs.select("doc_id", "text")), stored(repeated_paths(docs, window, seed))
         cuts = paths.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "size", "source", "stag", "at")).alias("paths"))
         # however many copies a passage has, its source is asked for it once
@@ -259,7 +259,7 @@ def remove_repeated_words(docs: DataFrame, window: int = 13, with_text: bool = T
         totals = out.groupBy("_doc", "_tag").agg(*(F.first(c).cast("decimal(20,0)").alias(c) for c in ("check_a", "check_b"))).agg(F.sum("check_a"), F.sum("check_b")).first()
         if all((x or 0) % (1 << 32) == 0 for x in totals):
             return out.select(F.when(F.col("_doc") != NULL_ID, F.col("_doc")).alias("doc_id"), "n_words", "n_removed", last.split()[0])
-        seed += 1
+    raise RuntimeError("copies and their sources differ whatever the hashes")
 
 
 def op2_substring_dedup(spark, sf_dir):

@@ -17,15 +17,15 @@ anchors.py), about one position in forty, which loses no match of `window` bytes
 
 Edge cases: null text is empty; texts shorter than the window lose nothing; a null doc_id comes
 before all others; rows that share doc_id and text are one occurrence and get one result each;
-rows that share doc_id but not text are told apart by a checksum, and the earlier start counts; very long
+rows that share doc_id but not text are told apart by a 64-bit hash, and the earlier start counts; very long
 documents are worked on in pieces. Extra columns pass through.
 """
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +36,9 @@ from .common import NULL_ID, shuffle_partitions, stored
 GRAM = 24
 #: Suffixes that a batch of the index holds.
 BATCH = 1 << 16
-SPAN = {"doc": np.int64, "tag": np.uint32, "start": np.int32, "size": np.int32}
-RUN = {"key": U, "content": U, "check": U, "doc": np.int64, "tag": np.uint32, "start": np.int32, "size": np.uint16}
-WINDOW = {"print": U, "check": U, "doc": np.int64, "tag": np.uint32, "start": np.int32}
+SPAN = {"doc": np.int64, "tag": np.int64, "start": np.int32, "size": np.int32}
+RUN = {"key": U, "content": U, "check": U, "doc": np.int64, "tag": np.int64, "start": np.int32, "size": np.uint16}
+WINDOW = {"print": U, "check": U, "doc": np.int64, "tag": np.int64, "start": np.int32}
 #: Symbols of a second hash, so that a print of both has 128 bits.
 CHECK_SYMBOLS = mixed(BYTE_SYMBOLS + U(0x5851F42D4C957F2D))
 BLOB = "bucket int, kind int, data binary, body binary"
@@ -87,7 +87,7 @@ def _keys(window: int):
 def _map_runs(window: int, buckets: int, heavy: np.ndarray):
     def run(batches):
         for ids, data, offsets, rows in text_chunks(batches):
-            tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], dtype=np.uint32)
+            tags = text_tags(data, offsets)
             found: list = []
             for at, piece, bounds in _slices(data, offsets, overlap=window - 1):
                 rolling, second = Rolling(BYTE_SYMBOLS[piece]), Rolling(CHECK_SYMBOLS[piece])
@@ -333,10 +333,15 @@ def _judge_regions(window: int):
     return run
 
 
+def text_tags(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The 64-bit hash of each text of a chunk, as Spark's xxhash64 makes it."""
+    return np.array([xxhash.xxh64_intdigest(data[a:b].tobytes(), 42) for a, b in zip(offsets[:-1], offsets[1:])], dtype=U).astype(np.int64)
+
+
 def _tagged(docs: DataFrame) -> DataFrame:
-    """Texts as bytes with the checksum that tells rows of one doc_id apart."""
+    """Texts as bytes with the 64-bit hash that tells rows of one doc_id apart, as text_tags() makes it."""
     body = F.coalesce(docs["text"], F.lit("")).cast("binary")
-    return docs.withColumns({"_doc": F.coalesce(docs["doc_id"], F.lit(NULL_ID)), "_tag": F.crc32(body)})
+    return docs.withColumns({"_doc": F.coalesce(docs["doc_id"], F.lit(NULL_ID)), "_tag": F.xxhash64(body)})
 
 
 def repeated_spans(docs: DataFrame, window: int = 100) -> DataFrame:
@@ -406,7 +411,7 @@ def _map_all_regions(window: int, buckets: int):
 
     def run(batches):
         for ids, data, offsets, rows in text_chunks(batches):
-            tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], dtype=np.uint32)
+            tags = text_tags(data, offsets)
             found: list = []
             for at, piece, bounds in _slices(data, offsets, overlap=window - 1):
                 rolling, second = Rolling(BYTE_SYMBOLS[piece]), Rolling(CHECK_SYMBOLS[piece])

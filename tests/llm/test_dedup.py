@@ -1,5 +1,7 @@
 """Exact operators against plain versions and SQL, and each edge case of their docstrings."""
 
+from zlib import crc32
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +43,35 @@ def test_suffix_dedup_edges(edges):
     assert got == brute.suffix_dedup([(r[0], r[1]) for r in EDGES])
 
 
+@pytest.fixture(scope="module")
+def alike_by_crc():
+    """Two texts of different length and one CRC-32, the longer of which repeats itself and another text."""
+    seen = {}
+    for n in range(1_000_000):
+        long = n % 2 == 0
+        text = f"{n} " + " ".join(f"w{(n * 31 + i) % 9973}" for i in range(40)) + (" " + " ".join(f"common{i}" for i in range(40)) if long else "")
+        other = seen.setdefault((crc32(text.encode()), not long), None)
+        if other is not None:
+            return (text, other) if long else (other, text)
+        seen[(crc32(text.encode()), long)] = text
+    raise AssertionError("no pair")
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+@pytest.mark.parametrize("turned", [False, True])
+def test_rows_of_one_id_and_crc(spark, alike_by_crc, doc_id, turned):
+    long, short = alike_by_crc
+    assert crc32(long.encode()) == crc32(short.encode()) and len(long) > len(short)
+    common = " ".join(f"common{i}" for i in range(40))
+    rows = [(doc_id, long), (doc_id, short)][:: -1 if turned else 1] + [(9, f"{common} ends here"), (None if doc_id else 1, "before all")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    # the later document loses what the long text holds; neither row of the shared id is taken for the other
+    words = {(r["doc_id"], r["kept"].decode()): r["n_removed"] for r in substring_dedup.remove_repeated_words(table).collect()}
+    assert words[(doc_id, long)] == words[(doc_id, short)] == 0 and words[(9, "ends here")] == 40
+    spans = {(r["doc_id"], r["kept"].decode()): r["n_removed"] for r in suffix_dedup.remove_repeats(table).collect()}
+    assert spans[(doc_id, long)] == spans[(doc_id, short)] == 0 and spans[(9, " ends here")] == len(common)
+
+
 def test_suffix_dedup_crowded_gram(spark):
     # one common middle in very many contexts, some of which repeat
     middle = "the same forty-eight characters stand in each text"
