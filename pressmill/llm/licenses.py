@@ -1,9 +1,9 @@
 """License scans by conditional compression.
 
-Around each cue in a text every license template whose telling words stand there is aligned word by word, and confirmed if the
-wording differs in few words and in none that tells it from its relatives. The stretch is compressed alone and with the
-template as zstandard raw-content dictionary; of the confirmed templates the one counts that saves most bytes. The scan goes on
-behind it, so several licenses in a row are all found.
+Around each cue in a text the block of words that a template can span is compressed alone and with the template as zstandard raw-content
+dictionary, for every template whose telling words stand there. In the order of the bytes saved templates are aligned
+word by word, and the first is confirmed whose wording differs in few words, in none that tells it from its relatives, and adds none that tells
+a relative. The scan goes on behind it, so several licenses in a row are all found.
 
 A template is tried on as many words before and behind the cue as it can span, across lines of any length and
 blank ones. Cues are searched in every text by Spark itself; only texts with one reach Python. Templates are a parameter, as a
@@ -103,6 +103,28 @@ TEMPLATES = {
     "CC0-1.0": [("Released under CC0 1.0 Universal.", "cc0 1.0")],
     "All-Rights-Reserved": [("All rights reserved.", "rights reserved")],
 }
+_GNU = "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+TEMPLATES |= {
+    "GPL-2.0-or-later": [(_GNU.format(";", "General", ";", "2"), "gnu general 2 later")],
+    "LGPL-2.0-or-later": [(_GNU.format(";", "Library General", ";", "2"), "gnu library 2 later")],
+    "LGPL-2.1-or-later": [(_GNU.format(";", "Lesser General", ";", "2.1").replace("program", "library"), "gnu lesser 2.1 later")],
+    "LGPL-3.0-or-later": [(_GNU.format(":", "Lesser General", ",", "3"), "gnu lesser 3 later")],
+    "AGPL-3.0-or-later": [(_GNU.format(":", "Affero General", ",", "3"), "gnu affero 3 later")],
+    "BSL-1.0": [("Distributed under the Boost Software License, Version 1.0.", "boost 1.0")],
+    "Zlib": [
+        (
+            "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+            "anyone alter commercial restrictions",
+        )
+    ],
+}
+#: The line by which source files name a license.
+_IDENTIFIED = "SPDX-License-Identifier: {}"
+for _name in [*TEMPLATES, "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "AGPL-3.0-only"]:
+    if _name != "All-Rights-Reserved":
+        TEMPLATES.setdefault(_name, []).append((_IDENTIFIED.format(_name), f"spdx-license-identifier {_name.lower()}"))
+#: Added to another license's wording, such a word makes it one more license.
+RELATIVES = frozenset("affero lesser noncommercial sharealike noderivatives attribution-noncommercial attribution-sharealike attribution-noderivatives by-sa by-nc by-nd 1.0 1.1 2 2.0 2.1 3 3.0 4.0".split())
 #: Every template holds one of them; in a wording words are apart by one space, and "licence" is spelt "license".
 CUES = ("licens", "permission", "redistribut", "copyright", "cc0", "public domain", "rights reserved", "cc by")
 MAX_DIFFERENCE = 0.2
@@ -154,6 +176,12 @@ def differences(template: tuple[str, ...], words: list[str]) -> tuple[list[str],
     return out, touched
 
 
+def _block(words: list[str], cue: int, floor: int, template) -> tuple[int, int]:
+    """The words that the template can span over the cue."""
+    reach = len(template[1]) + int(MAX_DIFFERENCE * len(template[1])) + 1
+    return max(floor, cue - reach), min(len(words), cue + reach)
+
+
 def around(words: list[str], cue: int, floor: int, template) -> tuple[int, list[str], set[str], int] | None:
     """Start, differences, touched words and distance of the template's alignment over the cue, if its wording confirms one; nothing before floor counts."""
     name, own, must, _ = template
@@ -165,27 +193,27 @@ def around(words: list[str], cue: int, floor: int, template) -> tuple[int, list[
             return None
         if lo + a <= cue < lo + b:
             found, touched = differences(own, words[lo + a : lo + b])
-            return None if must & touched else (lo + a, lo + b, distance, found)
+            more = {x[1:] for x in found if x[0] == "+"} & RELATIVES
+            return None if must & touched or more else (lo + a, lo + b, distance, found)
         # a better one stands beside the cue and has cues of its own
         lo, hi = (lo + b, hi) if lo + b <= cue else (lo, lo + a)
     return None
 
 
 def confirmed(words: list[str], cue: int, floor: int, frozen):
-    """(license, bytes saved, start, end, distance, differences) of the template over the cue that saves most bytes; ties go to the longer one.
+    """(license, bytes saved, start, end, distance, differences) of the first template confirmed over the cue, in the order of the bytes it saves on its block; ties go to the longer one.
 
-    Bytes are those of the stretch alone, so what else stands around it does not count.
+    The bytes returned are those of the confirmed stretch alone.
     """
     templates, plain = _templates(frozen)
-    best = None
-    for template in templates:
+    blocks = [(t, *_block(words, cue, floor, t)) for t in templates]
+    ranked = [(saving(words[lo:hi], t, plain), len(t[1]), -i, t) for i, (t, lo, hi) in enumerate(blocks) if t[2] <= set(words[lo:hi])]
+    for *_, template in sorted(ranked, key=lambda r: r[:3], reverse=True):
         found = around(words, cue, floor, template)
         if found:
             lo, hi, distance, edits = found
-            saved = saving(words[lo:hi], template, plain)
-            if best is None or (saved, len(template[1])) > best[0]:
-                best = (saved, len(template[1])), (template[0], saved, lo, hi, distance, edits)
-    return best and best[1]
+            return template[0], saving(words[lo:hi], template, plain), lo, hi, distance, edits
+    return None
 
 
 def _numbered(text: str) -> tuple[list[str], list[int]]:

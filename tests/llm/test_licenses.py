@@ -46,6 +46,33 @@ def test_changed_wording(name, text):
     assert found[1] == name and found[4] == 1 and "+changed" in found[5]
 
 
+GNU = "This {what} is free software{a} you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as published by the Free Software Foundation{b} either version {v} of the License, or (at your option) any later version."
+
+
+@pytest.mark.parametrize(
+    "kind, version, name",
+    [("General", "2", "GPL-2.0-or-later"), ("General", "3", "GPL-3.0-or-later"), ("Library General", "2", "LGPL-2.0-or-later"), ("Lesser General", "2.1", "LGPL-2.1-or-later"), ("Lesser General", "3", "LGPL-3.0-or-later"), ("Affero General", "3", "AGPL-3.0-or-later")],
+)
+def test_relatives(kind, version, name):
+    for what in ("program", "library", "file"):
+        for a, b in ((":", ","), (";", ";")):
+            assert names(GNU.format(what=what, kind=kind, v=version, a=a, b=b)) == [name]
+    assert names(GNU.format(what="program", kind=kind, v="7", a=";", b=";")) == []
+
+
+def test_identifiers():
+    for name in ("Apache-2.0", "MIT", "GPL-2.0-only", "AGPL-3.0-or-later", "Zlib", "BSL-1.0"):
+        assert names(f"// SPDX-License-Identifier: {name}\nint main() {{ return 0; }}") == [name]
+    assert names("SPDX-License-Identifier: Nobody-1.0") == []
+
+
+def test_ranks_decide():
+    # both wordings stand in the block and both can be confirmed; the one that saves more bytes is taken
+    longer = next(t for t, _ in TEMPLATES["BSD-3-Clause"] if len(t) > 200)
+    (found,) = licenses.licenses(longer)
+    assert found[1] == "BSD-3-Clause" and found[2] > max(x[2] for x in licenses.licenses(next(t for t, _ in TEMPLATES["BSD-2-Clause"] if len(t) > 200)))
+
+
 def test_rejects_and_repeats():
     assert names("Licensed under the Apache License, Version 1.1.") == []
     assert names("Her driving licence was renewed. We sell licensed goods and ask for permission.") == []
