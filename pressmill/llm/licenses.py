@@ -124,7 +124,7 @@ for _name in [*TEMPLATES, "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL
     if _name != "All-Rights-Reserved":
         TEMPLATES.setdefault(_name, []).append((_IDENTIFIED.format(_name), f"spdx-license-identifier {_name.lower()}"))
 #: Added to another license's wording, such a word makes it one more license.
-RELATIVES = frozenset("affero lesser noncommercial sharealike noderivatives attribution-noncommercial attribution-sharealike attribution-noderivatives by-sa by-nc by-nd 1.0 1.1 2 2.0 2.1 3 3.0 4.0".split())
+RELATIVES = frozenset("affero lesser noncommercial sharealike noderivatives attribution-noncommercial attribution-sharealike attribution-noderivatives by-sa by-nc by-nd 1.0 1.1 2.0 2.1 3.0 4.0".split())
 #: Every template holds one of them; in a wording words are apart by one space, and "licence" is spelt "license".
 CUES = ("licens", "permission", "redistribut", "copyright", "cc0", "public domain", "rights reserved", "cc by")
 MAX_DIFFERENCE = 0.2
