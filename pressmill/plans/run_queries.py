@@ -7,7 +7,7 @@ from ..operators import retention, runs
 from ..scratch import scratch_dir, stored
 from ..sources import fetch as web
 from ..sources.files import LEDGER
-from ..streaming import incremental, keyed
+from ..streaming import bucketed, incremental, keyed
 from .status_queries import _FILES, _LEDGER, _files, _ledger
 from .tables import LINKS_SQL, links, page_urls, sql_list, table
 from .url_queries import _NAME, _reason
@@ -180,6 +180,32 @@ def stream_first_seen(spark, sf_dir):
     return spark.read.parquet(out).select("month", "domain", "path")
 
 
+def stream_bucketed(spark, sf_dir):
+    """The ledger in buckets after three arrivals of work, each item in two of them; some fail at first."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), F.coalesce("n_chars", F.lit(0)).alias("n"))
+    folder, checkpoint, out = (scratch_dir(spark) for _ in range(3))
+    ledger = bucketed.BucketedLedger(spark, scratch_dir(spark), buckets=8)
+    for turn in range(3):
+        docs.where(F.col("key").cast("long") % 3 != turn).write.mode("append").parquet(folder)
+
+        def work(rows, turn=turn):
+            bad = F.col("n") % (turn + 2) == 0
+            return rows.withColumns({"status": F.when(bad, "error").otherwise("success"), "reason": F.lit(f"turn {turn}")})
+
+        incremental.staged(incremental.arriving(spark, folder, docs.schema), "work", work, ledger, out, checkpoint).awaitTermination()
+    return ledger.read("work").select("key", "status", "reason")
+
+
+def ledger_levels(spark, sf_dir):
+    """The last row of each key of a ledger that a week is added to at a time."""
+    rows = stored(_ledger(spark, sf_dir).withColumns({"error": F.lit(None).cast("string"), "attrs": F.lit(None).cast("map<string,string>"), "key": F.concat_ws(":", "stage", "key"), "status": F.concat_ws(" ", "status", "event_id")}).drop("event_id"))
+    ledger = bucketed.BucketedLedger(spark, scratch_dir(spark), buckets=8)
+    week = F.floor(F.unix_timestamp("ts") / 604800)
+    for r in rows.select(week.alias("w")).distinct().orderBy("w").collect():
+        ledger.update(rows.where(week == r["w"]))
+    return ledger.read().select("key", "status", "ts")
+
+
 def ledger_compacted(spark, sf_dir):
     """A ledger of two runs, compacted: one row per stage and key."""
     rows = stored(_ledger(spark, sf_dir).withColumns({"error": F.lit(None).cast("string"), "attrs": F.lit(None).cast("map<string,string>"), "status": F.concat_ws(" ", "status", "event_id")}).drop("event_id"))
@@ -191,7 +217,7 @@ def ledger_compacted(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (run_sample, run_discover, run_fetch, run_fetch_limited, run_counters, run_retention, run_onboard, stream_new_links, stream_outcomes, stream_staged, stream_attempts, stream_first_seen, ledger_compacted)
+    for f in (run_sample, run_discover, run_fetch, run_fetch_limited, run_counters, run_retention, run_onboard, stream_new_links, stream_outcomes, stream_staged, stream_attempts, stream_first_seen, stream_bucketed, ledger_levels, ledger_compacted)
 }
 
 _HOSTS = "h AS (SELECT DISTINCT regexp_extract(url, '://([^/?#]*)', 1) AS site FROM pages), hs AS (SELECT site, 'https://' || site AS base, length(site) AS n FROM h)"
@@ -228,6 +254,12 @@ def _attempts_sql() -> str:
 
 SQL = {
     "stream_attempts": _attempts_sql(),
+    "stream_bucketed": """WITH d AS (SELECT doc_id, doc_id % 3 AS r, coalesce(n_chars, 0) AS n FROM documents),
+        t AS (SELECT doc_id, CASE WHEN r = 0 THEN 1 ELSE 0 END AS first, CASE WHEN r = 2 THEN 1 ELSE 2 END AS second, n FROM d)
+        SELECT doc_id::VARCHAR AS key, CASE WHEN n % (first + 2) = 0 AND n % (second + 2) = 0 THEN 'error' ELSE 'success' END AS status,
+        'turn ' || CASE WHEN n % (first + 2) = 0 THEN second ELSE first END AS reason FROM t""",
+    "ledger_levels": f"""WITH {_LEDGER}, s AS (SELECT stage || ':' || key AS key, status || ' ' || event_id AS status, ts FROM led), r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, status DESC) AS n FROM s)
+        SELECT key, status, ts FROM r WHERE n = 1""",
     "stream_first_seen": f"WITH {LINKS_SQL} SELECT DISTINCT strftime(TIMESTAMP '2024-01-01' + to_days((page_id % 50)::INT), '%Y-%m') AS month, domain, path FROM links",
     "run_sample": f"WITH {_SAMPLED} SELECT * FROM sampled",
     "run_discover": f"WITH {_HOSTS} SELECT '2024-03' AS month, site AS domain, unnest(CASE WHEN n % 5 = 0 THEN ['/story/cached'] ELSE ['/story/home-1', '/story/home-2'] END) AS path FROM hs",

@@ -53,6 +53,9 @@ class LedgerTable:
         rows = self._rows()
         return latest(rows if stage is None else rows.where(F.col("stage") == stage))
 
+    def not_done(self, work: DataFrame, stage: str) -> DataFrame:
+        return not_done(work, self.read(stage))
+
     def update(self, run: DataFrame) -> None:
         run.write.mode("append").partitionBy("stage").parquet(self.path)
 
@@ -62,16 +65,16 @@ class LedgerTable:
         return smaller
 
 
-def staged(source: DataFrame, stage: str, work: Callable[[DataFrame], DataFrame], ledger: LedgerTable, out: str, checkpoint: str) -> StreamingQuery:
+def staged(source: DataFrame, stage: str, work: Callable[[DataFrame], DataFrame], ledger, out: str, checkpoint: str) -> StreamingQuery:
     """Runs `work` on what has arrived and is not done, until all of it is read.
 
     source: key and whatever work needs. work returns its rows with key, status and reason (and error); successes are written
-    to `out`, and every outcome to the ledger. Items that failed are tried again when they arrive again;
+    to `out`, and every outcome to the ledger, a LedgerTable or a BucketedLedger. Items that failed are tried again when they arrive again;
     a checkpoint alone would not do that, nor spare an item that another run has done.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        todo = not_done(rows, ledger.read(stage))
+        todo = ledger.not_done(rows, stage)
         done = work(todo).persist()
         try:
             done.where("status = 'success'").write.mode("overwrite").parquet(f"{out}/batch={number}")
