@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, urls
+from ..operators import containment
 from ..operators.ledger import new_links
 from .tables import LINKS_SQL, links, page_urls, sql_list, table
 
@@ -93,11 +94,31 @@ def links_found(spark, sf_dir):
     return total.join(fresh, "domain", "left").select("domain", "found", new.alias("new"), (F.col("found") - new).alias("old"))
 
 
+def _words(spark, sf_dir):
+    """All distinct words of the documents as patterns."""
+    words = F.explode(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[a-z]+"), F.lit(0)))
+    return table(spark, sf_dir, "documents").select(words.alias("pattern")).distinct()
+
+
+def url_contained_words(spark, sf_dir):
+    """How many of the documents' words stand in each link, and the first of them."""
+    found = links(spark, sf_dir).select(F.lower("url").alias("text")).distinct().withColumn("url", F.col("text"))
+    return containment.first_contained(found, _words(spark, sf_dir), "url", "pattern").select("url", F.col("pattern").alias("first"), "n")
+
+
+def doc_contained_phrases(spark, sf_dir):
+    """Ten pieces of each document, of several lengths and places, as patterns: how many documents hold each."""
+    place = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    cut = docs.select("doc_id", "text", place).select(F.expr("substring(text, cast(1 + (char_length(text) * k) div 10 as int), cast(3 + (doc_id * 7 + k * 5) % 23 as int))").alias("pattern")).where("pattern <> ''").distinct()
+    return containment.contained(docs, cut).groupBy("pattern").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         url_parts, url_language, url_skip_reason, link_skip_reason, url_filter_reasons, link_reasons_by_rules, url_kept, url_category_pages, url_article_id, url_storage_name, url_reconstruct, slug_titles,
-        page_links, page_link_counts, links_found,
+        page_links, page_link_counts, links_found, url_contained_words, doc_contained_phrases,
     )
 }
 
@@ -142,6 +163,11 @@ def _title(language):
 
 
 SQL = {
+    "url_contained_words": f"""WITH {LINKS_SQL}, u AS (SELECT DISTINCT lower(url) AS url FROM links), w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS word FROM documents)
+        SELECT url, min(word) AS first, count(*) AS n FROM u JOIN w ON contains(url, word) GROUP BY url""",
+    "doc_contained_phrases": """WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        p AS (SELECT DISTINCT substr(text, 1 + (length(text) * k) // 10, 3 + (doc_id * 7 + k * 5) % 23) AS pattern FROM d, range(10) r(k))
+        SELECT pattern, count(*) AS n, min(doc_id) AS first FROM p JOIN d ON contains(d.text, pattern) WHERE pattern <> '' GROUP BY pattern""",
     "url_parts": f"SELECT page_id, lower({_part('url', 1)}) AS scheme, {_part('url', 2)} AS netloc, regexp_replace({_part('url', 3)}, ';[^/]*$', '') AS path, {_part('url', 4)} AS query, {_part('url', 5)} AS fragment FROM pages",
     "url_language": "SELECT page_id, CASE WHEN h LIKE '%.ro' THEN 'romanian' WHEN h LIKE '%.fr' THEN 'french' WHEN h LIKE '%.com' OR h LIKE '%.org' OR h LIKE '%.net' OR h LIKE '%.uk' OR h LIKE '%.us' THEN 'english' ELSE 'common' END AS language FROM (SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS h FROM pages)",
     "url_skip_reason": f"WITH {_reason('pages', 'page_id')} SELECT * FROM reasons",
