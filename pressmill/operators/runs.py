@@ -1,6 +1,6 @@
 """Whole runs: link discovery, fetching, feeds and retention, each one plan over tables."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls
@@ -88,9 +88,20 @@ def category_feeds(analysed: DataFrame, ties: str, now: Column) -> DataFrame:
     return sinks.feeds(articles.feed_rows(articles.by_category(analysed), "category", ties), "category", now, by_category=True)
 
 
+def _counts() -> list[Column]:
+    return [F.count("*").alias("total"), *(F.count_if(F.col("status") == s).alias(s) for s in ("success", "error", "skipped", "filtered"))]
+
+
 def counters(done: DataFrame) -> DataFrame:
-    """One row: items in all and by status."""
-    return done.agg(F.count("*").alias("total"), *(F.count_if(F.col("status") == s).alias(s) for s in ("success", "error", "skipped", "filtered")))
+    """One row: items in all and by status. For rows that are a table already; a run that is still to be worked out is counted by written()."""
+    return done.agg(*_counts())
+
+
+def written(done: DataFrame, path: str, *partition_by: str, mode: str = "append") -> dict[str, int]:
+    """Writes a run's rows as Parquet and returns its counters, which the writing tasks add up: the run is worked out once."""
+    seen = Observation()
+    done.observe(seen, *_counts()).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    return seen.get
 
 
 def cleaned_up(months: DataFrame, cache: DataFrame, log_months: DataFrame, ledger: DataFrame, now: Column) -> dict[str, DataFrame]:

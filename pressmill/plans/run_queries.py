@@ -93,6 +93,53 @@ def run_counters(spark, sf_dir):
     return runs.counters(_fetched(spark, sf_dir))
 
 
+def _answers(spark, sf_dir):
+    """The pages of the table as answers to their own addresses."""
+    at = F.concat(F.lit("https://"), F.regexp_extract("url", r"^[a-z]+://([^#]*)", 1))
+    return table(spark, sf_dir, "pages").select(at.alias("url"), F.lit(200).alias("status"), F.lit("text/html").alias("content_type"), "html")
+
+
+def _asked(spark, sf_dir):
+    """The addresses of all pages and of what they link to."""
+    own = page_urls(spark, sf_dir).select(F.regexp_extract("url", r"^[a-z]+://([^/?#]*)", 1).alias("domain"), F.regexp_extract("url", r"^[a-z]+://[^/?#]*([^#]*)", 1).alias("path"))
+    return own.unionByName(links(spark, sf_dir).select("domain", "path")).distinct().withColumn("month", F.lit("2024-03"))
+
+
+def _table_run(spark, sf_dir, limit=None):
+    """A fetch of all these from the table; every fifth page has been fetched before."""
+    asked = _asked(spark, sf_dir)
+    known = asked.where(F.length("path") % 5 == 0).select(F.lit("fetch").alias("stage"), F.concat_ws(":", "month", "domain", "path").alias("key"), F.lit("success").alias("status"), F.lit(NOW).cast("timestamp").alias("ts"))
+    rules = spark.createDataFrame([], "domain string, additional_skip_patterns array<string>, require_article_id boolean, allow_no_id_pages boolean")
+    return runs.fetch_pages(asked, known, rules, _answers(spark, sf_dir), _now(), limit)
+
+
+def web_fetch(spark, sf_dir):
+    """What becomes of each address when the table of pages answers, with the size of what came."""
+    return _table_run(spark, sf_dir).select("domain", "path", "status", "reason", F.char_length("html").alias("n"))
+
+
+def web_fetch_limited(spark, sf_dir):
+    """The same until each host has two successes."""
+    return _table_run(spark, sf_dir, 2).where("status <> 'filtered'").select("domain", "path", "status")
+
+
+def web_counters(spark, sf_dir):
+    """The counters that a run adds up while it is written, and those of the table that it leaves."""
+    path = scratch_dir(spark)
+    seen = runs.written(_table_run(spark, sf_dir).select("domain", "path", "status", "reason", "html"), path, "status")
+    left = runs.counters(spark.read.parquet(path)).withColumn("by", F.lit("table"))
+    return spark.createDataFrame([(*(seen[c] for c in left.columns[:-1]), "run")], left.schema).unionByName(left)
+
+
+def web_discover(spark, sf_dir):
+    """Links of all pages as far as last month's log lacks them; the table of pages answers, and some pages are in the cache."""
+    found = _answers(spark, sf_dir)
+    first = found.groupBy(urls.part(F.col("url"), "netloc").alias("host")).agg(F.min("url").alias("link"))
+    cache = first.where(F.length("host") % 4 == 0).select("host", F.lit('<a href="/only/cached">x</a>').alias("html"), _now().alias("fetched_at"))
+    log = links(spark, sf_dir).where(F.length("path") % 4 == 0).select(F.lit("2024-03").alias("month"), "domain", "path")
+    return runs.discover_links(first.select("link"), cache, log, found, _now())
+
+
 def run_retention(spark, sf_dir):
     """How much a retention run archives, drops and keeps."""
     now = F.lit("2024-01-31 12:00:00").cast("timestamp")
@@ -217,7 +264,7 @@ def ledger_compacted(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (run_sample, run_discover, run_fetch, run_fetch_limited, run_counters, run_retention, run_onboard, stream_new_links, stream_outcomes, stream_staged, stream_attempts, stream_first_seen, stream_bucketed, ledger_levels, ledger_compacted)
+    for f in (run_sample, run_discover, run_fetch, run_fetch_limited, run_counters, web_fetch, web_fetch_limited, web_counters, web_discover, run_retention, run_onboard, stream_new_links, stream_outcomes, stream_staged, stream_attempts, stream_first_seen, stream_bucketed, ledger_levels, ledger_compacted)
 }
 
 _HOSTS = "h AS (SELECT DISTINCT regexp_extract(url, '://([^/?#]*)', 1) AS site FROM pages), hs AS (SELECT site, 'https://' || site AS base, length(site) AS n FROM h)"
@@ -252,7 +299,23 @@ def _attempts_sql() -> str:
     return ", ".join(steps) + " " + rows
 
 
+_WEB = f"""{LINKS_SQL},
+ans AS (SELECT 'https://' || regexp_extract(url, '^[a-z]+://([^#]*)', 1) AS url, html FROM pages), an AS (SELECT url, min(html) AS html FROM ans GROUP BY url),
+lo AS (SELECT regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS domain, regexp_extract(url, '^[a-z]+://[^/?#]*([^#]*)', 1) AS path FROM pages UNION SELECT domain, path FROM links),
+l AS (SELECT DISTINCT domain, path, 'https://' || domain || path AS url FROM lo WHERE length(path) % 5 <> 0), {_reason("l", "url")}, n AS (SELECT domain, path, url, {_NAME} AS name FROM l),
+f AS (SELECT domain, path, CASE WHEN name IS NULL OR reason <> 'passed all filters' THEN 'filtered' WHEN an.url IS NULL THEN 'error' ELSE 'success' END AS status,
+    CASE WHEN name IS NULL THEN 'invalid path' WHEN reason <> 'passed all filters' THEN reason WHEN an.url IS NULL THEN 'Download failed' END AS reason,
+    CASE WHEN name IS NOT NULL AND reason = 'passed all filters' THEN length(html)::INT END AS n FROM n JOIN reasons r ON n.url = r.url LEFT JOIN an ON an.url = n.url)"""
+_COUNTED = "count(*) AS total, count(*) FILTER (WHERE status = 'success') AS success, count(*) FILTER (WHERE status = 'error') AS error, 0::BIGINT AS skipped, count(*) FILTER (WHERE status = 'filtered') AS filtered"
 SQL = {
+    "web_fetch": f"WITH {_WEB} SELECT domain, path, status, reason, n FROM f",
+    "web_fetch_limited": f"""WITH {_WEB}, c AS (SELECT domain, path, status, coalesce(sum((status = 'success')::INT) OVER (PARTITION BY domain ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM f WHERE status <> 'filtered') SELECT domain, path, status FROM c WHERE before < 2""",
+    "web_counters": f"WITH {_WEB} SELECT {_COUNTED}, 'run' AS by FROM f UNION ALL SELECT {_COUNTED}, 'table' FROM f",
+    "web_discover": f"""WITH {LINKS_SQL}, u AS (SELECT page_id, 'https://' || regexp_extract(url, '^[a-z]+://([^#]*)', 1) AS url, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, html FROM pages),
+        h AS (SELECT host, min(url) AS url FROM u GROUP BY host), pg AS (SELECT page_id FROM (SELECT u.page_id, row_number() OVER (PARTITION BY u.url ORDER BY u.html) AS i FROM u JOIN h USING (host, url)) WHERE i = 1)
+        SELECT DISTINCT '2024-03' AS month, domain, path FROM links l JOIN pg USING (page_id) WHERE length(domain) % 4 <> 0 AND NOT EXISTS (SELECT 1 FROM links o WHERE o.domain = l.domain AND o.path = l.path AND length(o.path) % 4 = 0)
+        UNION ALL SELECT '2024-03', host, '/only/cached' FROM h WHERE length(host) % 4 = 0""",
     "stream_attempts": _attempts_sql(),
     "stream_bucketed": """WITH d AS (SELECT doc_id, doc_id % 3 AS r, coalesce(n_chars, 0) AS n FROM documents),
         t AS (SELECT doc_id, CASE WHEN r = 0 THEN 1 ELSE 0 END AS first, CASE WHEN r = 2 THEN 1 ELSE 2 END AS second, n FROM d)

@@ -1,7 +1,7 @@
 """Pages from the network behind one small interface, and the discovery of article URLs of a site.
 
-A fetcher is any picklable callable url -> (status, content type, text) or None. HttpFetcher asks the network; tests and
-offline runs pass a dictionary's lookup.
+A fetcher is any picklable callable url -> (status, content type, text) or None, or a table of answers (url, status, content_type, html), which is
+joined. HttpFetcher asks the network; Polite makes any callable wait between two requests to one host.
 """
 
 import re
@@ -21,7 +21,7 @@ from ..functions import urls
 from ..functions.rx import contains_any
 from ..scratch import stored
 
-Fetcher = Callable[[str], tuple[int, str, str] | None]
+Fetcher = Callable[[str], tuple[int, str, str] | None] | DataFrame
 # Paths that are tried, what no article URL holds, and what articles' URLs look like.
 FEED_PATHS = ["/rss", "/rss.xml", "/feed", "/feed.xml", "/feeds", "/index.xml", "/atom.xml", "/rss/news", "/feeds/all"]
 SITEMAP_PATHS = ["/sitemap.xml", "/sitemap_index.xml", "/sitemaps.xml"]
@@ -60,8 +60,36 @@ class HttpFetcher:
                 time.sleep(self.delay)
 
 
+class Polite:
+    """A fetcher that waits until `seconds` have passed since it last asked the same host; other hosts are not held up.
+
+    It knows of the requests of its own task only, so fetched() deals each host's links to one task.
+    """
+
+    def __init__(self, fetch: Callable[[str], tuple[int, str, str] | None], seconds: float):
+        self.fetch, self.seconds, self.asked = fetch, seconds, {}
+
+    def __call__(self, url: str) -> tuple[int, str, str] | None:
+        host = url.partition("://")[2].partition("/")[0].lower()
+        wait = self.asked.get(host, float("-inf")) + self.seconds - time.monotonic()
+        if wait > 0:
+            time.sleep(wait)
+        try:
+            return self.fetch(url)
+        finally:
+            self.asked[host] = time.monotonic()
+
+
 def fetched(links: DataFrame, fetch: Fetcher) -> DataFrame:
-    """links (url, ...) with status, content_type and html; null where the fetcher has nothing."""
+    """links (url, ...) with status, content_type and html; null where the fetcher has nothing.
+
+    Of several answers to one url in a table the least counts. A Polite fetcher gets all links of a host in one task, in an order that mixes hosts.
+    """
+    if isinstance(fetch, DataFrame):
+        answers = fetch.groupBy("url").agg(F.min(F.struct("status", "content_type", "html")).alias("_a"))
+        return links.join(answers, "url", "left").select(*links.columns, F.col("_a.status").cast("int").alias("status"), "_a.content_type", "_a.html")
+    if isinstance(fetch, Polite):
+        links = links.repartition(F.lower(urls.part(F.col("url"), "netloc"))).sortWithinPartitions(F.xxhash64("url"))
     schema = T.StructType([*links.schema, *T._parse_datatype_string(PAGE)])
 
     def run(batches):
