@@ -14,7 +14,6 @@ rows; ties go to the language first by code point. A null lang is not learned fr
 as the empty string where folds are made. Repeated rows get equal answers. Extra columns are ignored.
 """
 
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +84,10 @@ def _automaton(symbols: list[int]) -> list[dict[int, int]]:
     return to
 
 
+#: A worker's model, by its sample.
+_models: dict = {}
+
+
 def _normal(data: np.ndarray, alphabet: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of lower-cased texts with runs of non-letters as one separator (0), and the texts' new offsets."""
     symbols = alphabet[data]
@@ -94,8 +97,15 @@ def _normal(data: np.ndarray, alphabet: np.ndarray, offsets: np.ndarray) -> tupl
     return symbols[keep], np.append(0, np.cumsum(keep))[offsets]
 
 
-@lru_cache(maxsize=2)
 def _model(sample: tuple[tuple[str, tuple[str, ...]], ...]):
+    """The model of a sample, which a worker keeps for its next task; that of another sample goes before a new one is made."""
+    if sample not in _models:
+        _models.clear()
+        _models[sample] = _made_model(sample)
+    return _models[sample]
+
+
+def _made_model(sample: tuple[tuple[str, tuple[str, ...]], ...]):
     """Byte alphabet, and for each language its name, bits per phrase and transition table."""
     bodies = [(lang, "\n".join(texts).lower().encode()) for lang, texts in sample]
     seen = np.unique(np.frombuffer(b"".join(b for _, b in bodies), dtype=np.uint8))
@@ -111,12 +121,12 @@ def _model(sample: tuple[tuple[str, tuple[str, ...]], ...]):
         symbols, _ = _normal(data, alphabet, np.array([0, len(data)]))
         to = _automaton(symbols.tolist())
         begin = np.array([to[0].get(s, 0) for s in range(width)], dtype=np.int64)
-        table = np.tile(begin * width + _MISS, (len(to), 1))
+        table = np.tile((begin * width + _MISS).astype(np.int32), (len(to), 1))
         for state, moves in enumerate(to):
             for symbol, target in moves.items():
                 table[state, symbol] = target * width
         table[:, width - 1] = np.arange(len(to)) * width
-        languages.append((lang, float(np.log2(max(len(symbols), 2))), table.astype(np.int32).ravel()))
+        languages.append((lang, float(np.log2(max(len(symbols), 2))), table.ravel()))
     return alphabet, width, languages
 
 
