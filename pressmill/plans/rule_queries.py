@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import models, text, urls
+from ..functions import models, scripts, text, urls
 from ..html import dom, sections
 from ..operators import monitor, pages
 from .html_queries import _PAGES
@@ -84,7 +84,22 @@ def storage_alerts(spark, sf_dir):
     return rows.select("volume", monitor.storage_alert_of(F.col("used"), F.col("n") * 60).alias("alert"))
 
 
-QUERIES = {f.__name__: f for f in (page_sections, doc_rules_cleaned, model_answers, doc_type_counts, url_sites, url_resolved, storage_alerts)}
+#: What scripts of a page made from an event assign: the event as an object whose place, quoting and soundness vary.
+_STATES = [
+    'var state = {"article": {"id": ID, "kind": "KIND", "list": [PROPS, {"t": "&lt;b&gt;KIND&lt;/b&gt; &amp;amp; more&nbsp;&#233;"}]}};', 'window.state = {"article": {"kind": {"of": "KIND"}, "list": [{"t": 5}, {"t": "<i>a</i><p> KIND </p>"}]}};',
+    'var state = {"article": {"kind": "broken};</script><script>window.state = {"article": {"kind": "second KIND", "list": []}};', 'other = {"article": {"kind": "not this"}}; state = {"article": PROPS};',
+]
+
+
+def script_texts(spark, sf_dir):
+    """Texts at three paths of the objects that scripts assign."""
+    made = F.element_at(F.array(*map(F.lit, _STATES)), (F.pmod("event_id", F.lit(len(_STATES))) + 1).cast("int"))
+    made = F.replace(F.replace(F.replace(made, F.lit("ID"), F.col("event_id").cast("string")), F.lit("KIND"), F.col("event_type")), F.lit("PROPS"), F.col("props"))
+    html = F.concat(F.lit("<html><script>var a = 1;</script><script type='x'>"), made, F.lit("</script><p>state</p></html>"))
+    return table(spark, sf_dir, "events").select("event_id", scripts.script_text(html, "state.article.kind").alias("kind"), scripts.script_text(html, "state.article.list[1].t").alias("t"), scripts.script_text(html, "state.article.k").alias("k"))
+
+
+QUERIES = {f.__name__: f for f in (script_texts, page_sections, doc_rules_cleaned, model_answers, doc_type_counts, url_sites, url_resolved, storage_alerts)}
 
 
 def _cut(x):
@@ -99,7 +114,13 @@ def _without(x, patterns):
 
 _OWN = f"d AS (SELECT doc_id, source, CASE doc_id % 3 WHEN 0 THEN {_without('t', OWN_PATTERNS['site0'])} WHEN 1 THEN {_without('t', OWN_PATTERNS['site1'])} ELSE t END AS text FROM (SELECT *, coalesce(text, '') AS t FROM documents))"
 _SHARE = "used::DOUBLE / (n * 60) * 100"
+_HTML = "CASE event_id % 4 " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(_STATES)) + " END"
+_OBJECT = r"""CASE event_id % 4 WHEN 2 THEN regexp_extract(html, 'window\.state\s*=\s*(\{.*?\});', 1) ELSE regexp_extract(html, '(?:^| |\.)state = (\{.*?\});', 1) END"""
 SQL = {
+    "script_texts": f"""WITH h AS (SELECT event_id, replace(replace(replace({_HTML}, 'ID', event_id::VARCHAR), 'KIND', event_type), 'PROPS', props) AS html FROM events), o AS (SELECT event_id, {_OBJECT}::JSON AS o FROM h),
+        v AS (SELECT event_id, CASE WHEN json_type(o, '$.article.kind') = 'VARCHAR' THEN o ->> '$.article.kind' ELSE '' END AS kind, CASE WHEN json_type(o, '$.article.list[1].t') = 'VARCHAR' THEN o ->> '$.article.list[1].t' ELSE '' END AS t,
+        CASE WHEN json_type(o, '$.article.k') = 'VARCHAR' THEN o ->> '$.article.k' ELSE '' END AS k FROM o)
+        SELECT event_id, kind, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&amp;amp;', '&'), '&nbsp;', chr(160)), '&#233;', 'é'), '<[^>]*>', ' ', 'g'), ' +', ' ', 'g')) AS t, k FROM v""",
     "page_sections": f"WITH {_PAGES} SELECT page_id, concat_ws(chr(10) || chr(10), CASE WHEN length(body) > 3 THEN '*' || {_cut('body')} || '*' END, CASE WHEN length(h1) > 3 THEN '# ' || {_cut('h1')} END) AS sections FROM p",
     "doc_rules_cleaned": f"WITH {_CLEAN.replace(_D, _OWN)} SELECT doc_id, cleaned FROM c",
     "model_answers": f"""WITH {_D} SELECT doc_id, substr(text, 1, 100) || '... ' || length(substr(text, 1, 3000)) AS summary, {sql_list(models.TOPICS)}[length({_PROMPT}) % {len(models.TOPICS)} + 1] AS topic,
