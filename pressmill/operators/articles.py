@@ -56,4 +56,5 @@ def feed_rows(articles: DataFrame, feed: str, ties: str, size: int = fixed.FEED_
 
 def by_category(articles: DataFrame, categories: list[str] = fixed.FEED_CATEGORIES) -> DataFrame:
     """A row for each article and category of its that has a feed; one pass over the articles for all feeds."""
-    return articles.withColumn("category", F.explode("categories")).where(F.col("category").isin(categories))
+    # the outer form keeps Spark from working out the categories once more to leave out empty ones
+    return articles.withColumn("category", F.explode_outer("categories")).where(F.col("category").isin(categories))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..html import candidates
 from ..operators import onboarding, pages
+from ..scratch import stored
 from .tables import spread_out, table
 
 
@@ -48,7 +49,7 @@ def html_kept_tags(spark, sf_dir):
 
 def site_rules(spark, sf_dir):
     """The proposed rules of each site as columns, read back from their YAML."""
-    rules = onboarding.site_rules(_analysis(spark, sf_dir), "site", "page_id")
+    rules = onboarding.site_rules(stored(_analysis(spark, sf_dir)), "site", "page_id")
     line = lambda key: F.regexp_extract("config", rf"(?m)^{key}: (.*)$", 1)
     listed = lambda key: F.array_join(F.regexp_extract_all(F.regexp_extract("config", rf"(?m)^{key}:\n((?:- .*\n)+)", 1), F.lit(r"(?m)^- (.*)$"), F.lit(1)), " ")
     return rules.select("site", "language", line("domain").alias("domain"), line("title_selector").alias("title_selector"), listed("article_selectors").alias("article_selectors"))
@@ -77,7 +78,7 @@ def site_validation(spark, sf_dir):
 
 
 def onboard_config(spark, sf_dir):
-    return onboarding.site_rules(_analysis(spark, sf_dir), "site", "page_id")
+    return onboarding.site_rules(stored(_analysis(spark, sf_dir)), "site", "page_id")
 
 
 def page_lang_attr(spark, sf_dir):
