@@ -95,11 +95,11 @@ _DECODED = "tok"
 for _name, _character in {"&copy;": "©", "&middot;": "·", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&amp;": "&"}.items():
     _DECODED = f"replace({_DECODED}, '{_name}', '{_character}')"
 #: Tags and strings of the pages by position. An element ends at its first end tag behind it, or else where the body or the page does.
-_TOKENS = rf"""
+TOKENS = rf"""
 v AS (SELECT page_id, regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^www\.', '') AS site, {_varied_sql()} AS html FROM pages),
 k AS (SELECT page_id, regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<(?:script|style)>.*?</(?:script|style)>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '<[^>]*>|<|[^<]+') AS ts FROM v),
 t AS MATERIALIZED (SELECT page_id, unnest(range(1, len(ts) + 1)) AS i, unnest(ts) AS tok FROM k),
-x AS MATERIALIZED (SELECT page_id, i, trim({_DECODED}, chr(32) || chr(9) || chr(10) || chr(13)) AS text FROM t WHERE NOT regexp_matches(tok, '^<[a-zA-Z/!]')),
+x AS MATERIALIZED (SELECT page_id, i, {_DECODED} AS raw, trim({_DECODED}, chr(32) || chr(9) || chr(10) || chr(13)) AS text FROM t WHERE NOT regexp_matches(tok, '^<[a-zA-Z/!]')),
 e0 AS (SELECT page_id, i, regexp_extract(tok, '^<([a-z][a-z0-9]*)', 1) AS name, regexp_extract(tok, '\sid="([^"]*)"', 1) AS id, list_filter(string_split(regexp_extract(tok, '\sclass="([^"]*)"', 1), ' '), lambda c: c <> '') AS cs,
        regexp_extract(tok, '\sclass="([^"]*)"', 1) AS class, regexp_extract(tok, '\srel="([^"]*)"', 1) AS rel, regexp_extract(tok, '\sname="([^"]*)"', 1) AS meta, regexp_extract(tok, '\scontent="([^"]*)"', 1) AS content
        FROM t WHERE regexp_matches(tok, '^<[a-z]')),
@@ -131,7 +131,7 @@ def _sql_test(css: str, e: str) -> str:
 def _candidates_sql() -> str:
     every = [(kind, nth, css, weight) for kind, weights in candidates.KINDS.items() for nth, (css, weight) in enumerate(weights)]
     hits = "\n UNION ALL ".join(f"SELECT own.*, '{kind}' AS kind, {nth} AS nth, {weight}::DOUBLE AS weight, '{css}' AS css FROM own WHERE {_sql_test(css, 'own')}" for kind, nth, css, weight in every)
-    return f"""{_TOKENS}
+    return f"""{TOKENS}
 h AS MATERIALIZED ({hits}),
 span AS (SELECT DISTINCT page_id, i, last FROM h),
 tx AS MATERIALIZED (SELECT s.page_id, s.i, string_agg(x.text, '' ORDER BY x.i) AS text FROM span s JOIN x ON x.page_id = s.page_id AND x.i > s.i AND x.i <= s.last WHERE x.text <> '' GROUP BY s.page_id, s.i),
@@ -162,14 +162,14 @@ SQL = {
     "element_candidates": f"WITH {_candidates_sql()} SELECT page_id, kind, rank::INT AS rank, selector, score, substr(text, 1, 150) AS text FROM ranked",
     "element_selector_scores": f"""WITH {_candidates_sql()}, tot AS (SELECT v.site, r.kind, r.selector, sum(r.score::DECIMAL(20, 6))::DOUBLE AS score FROM ranked r JOIN v USING (page_id) GROUP BY ALL)
         SELECT site, kind, selector, score, row_number() OVER (PARTITION BY site, kind ORDER BY score DESC, selector)::INT AS rank FROM tot QUALIFY rank <= 10""",
-    "page_blocks": f"WITH {_TOKENS} {_BLOCKS} SELECT page_id, nth::INT AS nth, text, words, linked_words, worth FROM v2",
-    "dense_texts": f"WITH {_TOKENS} {_BLOCKS} SELECT page_id, count(*)::INT AS n_blocks, string_agg(text, chr(10) || chr(10) ORDER BY nth) AS text FROM v2 JOIN best USING (page_id) WHERE nth BETWEEN first AND last GROUP BY page_id",
-    "element_removable": f"""WITH {_TOKENS} f AS (SELECT page_id, selector, min(i) AS first FROM own WHERE {_REMOVED} GROUP BY ALL)
+    "page_blocks": f"WITH {TOKENS} {_BLOCKS} SELECT page_id, nth::INT AS nth, text, words, linked_words, worth FROM v2",
+    "dense_texts": f"WITH {TOKENS} {_BLOCKS} SELECT page_id, count(*)::INT AS n_blocks, string_agg(text, chr(10) || chr(10) ORDER BY nth) AS text FROM v2 JOIN best USING (page_id) WHERE nth BETWEEN first AND last GROUP BY page_id",
+    "element_removable": f"""WITH {TOKENS} f AS (SELECT page_id, selector, min(i) AS first FROM own WHERE {_REMOVED} GROUP BY ALL)
         SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY first)::INT AS rank, selector FROM f QUALIFY rank <= 20""",
-    "element_names": f"""WITH {_TOKENS} n AS (SELECT page_id, '.' || unnest(cs) AS name FROM own UNION ALL SELECT page_id, '#' || id FROM own WHERE id <> ''),
+    "element_names": f"""WITH {TOKENS} n AS (SELECT page_id, '.' || unnest(cs) AS name FROM own UNION ALL SELECT page_id, '#' || id FROM own WHERE id <> ''),
         c AS (SELECT v.site, n.name, count(*) AS n FROM n JOIN v USING (page_id) GROUP BY ALL)
         SELECT site, name, n, row_number() OVER (PARTITION BY site ORDER BY n DESC, name)::INT AS rank FROM c QUALIFY rank <= 5""",
-    "element_sections": f"""WITH {_TOKENS}
+    "element_sections": f"""WITH {TOKENS}
         h AS (SELECT own.*, 'title' AS section, 0 AS nth FROM own WHERE name = 'h1' AND list_contains(cs, 'article-headline')
           UNION ALL SELECT own.*, 'title', 1 FROM own WHERE name = 'h1' AND EXISTS (SELECT 1 FROM own o WHERE o.page_id = own.page_id AND o.i = own.i - 1 AND list_contains(o.cs, 'headline'))
           UNION ALL SELECT own.*, 'title', 2 FROM own WHERE name = 'h1' AND EXISTS (SELECT 1 FROM own o WHERE o.page_id = own.page_id AND o.i < own.i AND own.i <= o.last AND o.name = 'article')

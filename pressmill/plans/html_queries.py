@@ -9,6 +9,8 @@ from ..functions import urls
 from ..html import candidates
 from ..operators import onboarding, pages
 from ..scratch import stored
+from .element_queries import SQL as _ELEMENT_SQL
+from .element_queries import TOKENS, varied_pages
 from .tables import spread_out, table
 
 
@@ -24,9 +26,14 @@ def _analysis(spark, sf_dir):
     return pages.analysed(_pages(spark, sf_dir)).drop("html")
 
 
+def _varied_analysis(spark, sf_dir):
+    """The same of pages whose classes, ids and elements differ from page to page."""
+    return pages.analysed(spread_out(varied_pages(spark, sf_dir))).drop("html")
+
+
 def html_candidates(spark, sf_dir):
     """The best selectors of each kind on each page."""
-    found = _analysis(spark, sf_dir)
+    found = _varied_analysis(spark, sf_dir)
     kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("found")) for k in candidates.KINDS))).alias("k")
     each = found.select("page_id", kinds).select("page_id", F.col("k.kind").alias("kind"), F.posexplode("k.found").alias("i", "c"))
     return each.select("page_id", "kind", (F.col("i") + 1).alias("rank"), "c.selector", "c.score", "c.text")
@@ -34,7 +41,7 @@ def html_candidates(spark, sf_dir):
 
 def html_page_parts(spark, sf_dir):
     """Size of the text, parts to remove and how many classes and ids each page has."""
-    return _analysis(spark, sf_dir).select("page_id", "text_chars", "text_words", F.array_join("removable", " ").alias("removable"), F.size("classes").alias("n_classes"), F.size("ids").alias("n_ids"))
+    return _varied_analysis(spark, sf_dir).select("page_id", "text_chars", "text_words", F.array_join("removable", " ").alias("removable"), F.size("classes").alias("n_classes"), F.size("ids").alias("n_ids"))
 
 
 def html_kept_tags(spark, sf_dir):
@@ -49,10 +56,14 @@ def html_kept_tags(spark, sf_dir):
 
 def site_rules(spark, sf_dir):
     """The proposed rules of each site as columns, read back from their YAML."""
-    rules = onboarding.site_rules(stored(_analysis(spark, sf_dir)), "site", "page_id")
+    rules = onboarding.site_rules(stored(_varied_analysis(spark, sf_dir)), "site", "page_id")
     line = lambda key: F.regexp_extract("config", rf"(?m)^{key}: (.*)$", 1)
     listed = lambda key: F.array_join(F.regexp_extract_all(F.regexp_extract("config", rf"(?m)^{key}:\n((?:- .*\n)+)", 1), F.lit(r"(?m)^- (.*)$"), F.lit(1)), " ")
-    return rules.select("site", "language", line("domain").alias("domain"), line("title_selector").alias("title_selector"), listed("article_selectors").alias("article_selectors"))
+    unquoted = lambda c: F.regexp_replace(c, "(?m)^'(.*)'$", "$1")
+    return rules.select(
+        "site", "language", line("domain").alias("domain"), unquoted(line("title_selector")).alias("title_selector"), F.replace(listed("article_selectors"), F.lit("'"), F.lit("")).alias("article_selectors"),
+        F.replace(listed("remove_selectors"), F.lit("'"), F.lit("")).alias("remove_selectors"), unquoted(line("author_selector")).alias("author_selector"),
+    )
 
 
 def page_language(spark, sf_dir):
@@ -60,12 +71,12 @@ def page_language(spark, sf_dir):
 
 
 def selector_scores(spark, sf_dir):
-    return pages.selector_scores(_analysis(spark, sf_dir), "site")
+    return pages.selector_scores(_varied_analysis(spark, sf_dir), "site")
 
 
 def site_classes(spark, sf_dir):
     """The ten most frequent classes of each site."""
-    return pages.most_common(_analysis(spark, sf_dir), "site", "classes", 10)
+    return pages.most_common(_varied_analysis(spark, sf_dir), "site", "classes", 10)
 
 
 def repeated_texts(spark, sf_dir):
@@ -135,19 +146,38 @@ _PAGES = re.sub(r"@([^@]+)@", lambda m: reduce(lambda x, e: f"replace({x}, '{e[0
 _TAGS = r"t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<(?:script|style)>.*?</(?:script|style)>', '', 'g'), '<([a-z][a-z0-9]*)', 1)) AS tag FROM pages)"
 #: Elements of the tables' pages that are gone: in strip those without content and attributes, in both others what is no content and what it holds.
 _GONE = {"strip": ["br", "meta"], "clean": ["head", "meta", "title", "nav", "ul", "li", "a", "footer"], "light": ["meta", "title", "nav", "ul", "li", "a", "footer"]}
+_LISTED = "(SELECT site, string_agg(selector, ' ' ORDER BY first) AS {name} FROM (SELECT site, selector, min(pos) AS first FROM ({rows}) GROUP BY site, selector QUALIFY row_number() OVER (PARTITION BY site ORDER BY min(pos)) <= {most}) GROUP BY site)"
+
+
+def _listed_sql(name: str, own: str, others: list[str], most: int) -> str:
+    """A site's own selectors (site, selector, pos) and those that all sites have behind them, each once, as text."""
+    fixed = " UNION ALL ".join(f"SELECT site, '{x}', {1000 + i} FROM sites" for i, x in enumerate(others))
+    return _LISTED.format(name=name, rows=f"{own} UNION ALL {fixed}", most=most)
+
+
+_REMOVED = _ELEMENT_SQL["element_removable"]
+_SCORES = _ELEMENT_SQL["element_selector_scores"]
 SQL = {
+    "html_candidates": _ELEMENT_SQL["element_candidates"],
+    "selector_scores": _SCORES,
+    "html_page_parts": f"""WITH {TOKENS} r AS (SELECT page_id, string_agg(selector, ' ' ORDER BY rank) AS removable FROM ({_REMOVED}) GROUP BY page_id),
+        c AS (SELECT page_id, sum(len(cs)) AS n_classes, count(*) FILTER (WHERE id <> '') AS n_ids FROM own GROUP BY page_id), x2 AS (SELECT page_id, string_agg(raw, '' ORDER BY i) AS page_text FROM x GROUP BY page_id)
+        SELECT page_id, length(page_text)::INT AS text_chars, len(regexp_extract_all(page_text, '\\S+'))::INT AS text_words, coalesce(removable, '') AS removable, n_classes::INT AS n_classes, n_ids::INT AS n_ids FROM x2 JOIN c USING (page_id) LEFT JOIN r USING (page_id)""",
+    "site_classes": f"""WITH {TOKENS} n AS (SELECT page_id, unnest(cs) AS value FROM own), c AS (SELECT v.site, value, count(*) AS n FROM n JOIN v USING (page_id) GROUP BY ALL)
+        SELECT site, value, n, row_number() OVER (PARTITION BY site ORDER BY n DESC, value)::INT AS rank FROM c QUALIFY rank <= 10""",
+    "site_rules": f"""WITH {_PAGES}, sites AS (SELECT DISTINCT site FROM p), sc AS MATERIALIZED ({_SCORES}), rm AS MATERIALIZED (SELECT DISTINCT site, selector FROM ({_REMOVED}) JOIN p USING (page_id)),
+        rr AS (SELECT site, selector, row_number() OVER (PARTITION BY site ORDER BY selector) AS pos FROM rm QUALIFY pos <= 20)
+        SELECT lg.site, language, CASE WHEN starts_with(lg.site, 'www.') THEN lg.site ELSE 'www.' || lg.site END AS domain,
+        coalesce((SELECT selector FROM sc WHERE sc.site = lg.site AND kind = 'titles' AND rank = 1), 'h1') AS title_selector, article_selectors, remove_selectors,
+        coalesce((SELECT selector FROM sc WHERE sc.site = lg.site AND kind = 'authors' AND rank = 1), '{onboarding.AUTHOR_SELECTOR}') AS author_selector
+        FROM lg JOIN {_listed_sql("article_selectors", "SELECT site, selector, rank AS pos FROM sc WHERE kind = 'contents' AND rank <= 5", onboarding.ARTICLE_FALLBACKS, 10)} USING (site)
+        JOIN {_listed_sql("remove_selectors", "SELECT site, selector, pos FROM rr WHERE pos <= 15", onboarding.COMMON_REMOVED, 1000)} USING (site) WHERE k = 1""",
     "page_lang_attr": """SELECT page_id, CASE WHEN lang IN ('en', 'fr', 'ro', 'es', 'de', 'it') THEN lang END AS language FROM
         (SELECT page_id, lower(substr(regexp_extract(html, '(?i)<html[^>]*\\blang=["'']?([a-zA-Z-]+)', 1), 1, 2)) AS lang FROM pages)""",
     "page_titles_regex": "SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')) AS title FROM pages",
     "page_language": f"WITH {_PAGES} SELECT page_id, language FROM a",
-    "html_candidates": f"WITH {_PAGES} SELECT page_id, kind, 1 AS rank, selector, score, substr(text, 1, 150) AS text FROM c",
-    "html_page_parts": f"WITH {_PAGES} SELECT page_id, length(page_text)::INT AS text_chars, len(regexp_extract_all(page_text, '\\S+'))::INT AS text_words, '' AS removable, 1 AS n_classes, 0 AS n_ids FROM p",
     "html_kept_tags": f"WITH {_TAGS} " + " UNION ALL ".join(f"SELECT page_id, '{how}' AS how, tag, count(*) AS n FROM t WHERE NOT list_contains({gone}, tag) GROUP BY page_id, tag" for how, gone in _GONE.items()),
-    "selector_scores": f"WITH {_PAGES} SELECT site, kind, selector, sum(score::DECIMAL(20, 6))::DOUBLE AS score, 1 AS rank FROM c GROUP BY site, kind, selector",
-    "site_classes": f"WITH {_PAGES} SELECT site, 'ad' AS value, count(*) AS n, 1 AS rank FROM p GROUP BY site",
     "repeated_texts": f"WITH {_PAGES} SELECT site, value, n, rank FROM rep WHERE rank <= 5",
     "site_validation": f"""WITH {_PAGES} SELECT site, count(*) AS pages, count(*) FILTER (WHERE length(page_text) > 500) AS successful, count(*) FILTER (WHERE length(page_text) <= 500) AS failed,
         coalesce(avg(len(regexp_extract_all(page_text, '\\S+'))) FILTER (WHERE length(page_text) > 500), 0.0::DOUBLE) AS average_words FROM p GROUP BY site""",
-    "site_rules": f"""WITH {_PAGES} SELECT site, language, CASE WHEN starts_with(site, 'www.') THEN site ELSE 'www.' || site END AS domain, 'h1' AS title_selector,
-        CASE WHEN EXISTS (SELECT 1 FROM c WHERE c.site = lg.site AND kind = 'contents') THEN 'article .article-content .post-content .entry-content main' ELSE '.article-content .post-content .entry-content article main' END AS article_selectors FROM lg WHERE k = 1""",
 }
