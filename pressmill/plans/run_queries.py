@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..operators import retention, runs
+from ..operators import retention, runs, sketches
 from ..scratch import scratch_dir, stored
 from ..sources import fetch as web
 from ..sources.files import LEDGER
@@ -140,6 +140,24 @@ def web_discover(spark, sf_dir):
     return runs.discover_links(first.select("link"), cache, log, found, _now())
 
 
+def sketch_links(spark, sf_dir):
+    """Links and distinct paths per host from three months' sketches, and whether these are within 3 percent (or one) of the exact number."""
+    found = links(spark, sf_dir).select(F.concat(F.lit("2024-0"), (F.col("page_id") % 3 + 1).cast("string")).alias("month"), "domain", "path")
+    folder = scratch_dir(spark)
+    sketches.add_months(sketches.monthly(found, "domain", "path"), folder)
+    about = sketches.distinct_values(sketches.stored_months(spark, folder), "domain")
+    exact = found.groupBy("domain").agg(F.countDistinct("path").alias("exact"))
+    return about.join(exact, "domain").select("domain", "rows", "exact", (F.abs(F.col("n") - F.col("exact")) <= F.greatest(F.col("exact") * 0.03, F.lit(1.0))).alias("close"))
+
+
+def sketch_frequent(spark, sf_dir):
+    """The five users with most events of each type, from weekly summaries merged over the weeks."""
+    rows = table(spark, sf_dir, "events").select(F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("week"), "event_type", "user_id")
+    folder = scratch_dir(spark)
+    sketches.add_months(sketches.monthly(rows, "event_type", "user_id", "week"), folder)
+    return sketches.most_frequent(sketches.stored_months(spark, folder), "event_type", 5)
+
+
 def run_retention(spark, sf_dir):
     """How much a retention run archives, drops and keeps."""
     now = F.lit("2024-01-31 12:00:00").cast("timestamp")
@@ -264,7 +282,7 @@ def ledger_compacted(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (run_sample, run_discover, run_fetch, run_fetch_limited, run_counters, web_fetch, web_fetch_limited, web_counters, web_discover, run_retention, run_onboard, stream_new_links, stream_outcomes, stream_staged, stream_attempts, stream_first_seen, stream_bucketed, ledger_levels, ledger_compacted)
+    for f in (run_sample, run_discover, run_fetch, run_fetch_limited, run_counters, web_fetch, web_fetch_limited, web_counters, web_discover, sketch_links, sketch_frequent, run_retention, run_onboard, stream_new_links, stream_outcomes, stream_staged, stream_attempts, stream_first_seen, stream_bucketed, ledger_levels, ledger_compacted)
 }
 
 _HOSTS = "h AS (SELECT DISTINCT regexp_extract(url, '://([^/?#]*)', 1) AS site FROM pages), hs AS (SELECT site, 'https://' || site AS base, length(site) AS n FROM h)"
@@ -308,6 +326,9 @@ f AS (SELECT domain, path, CASE WHEN name IS NULL OR reason <> 'passed all filte
     CASE WHEN name IS NOT NULL AND reason = 'passed all filters' THEN length(html)::INT END AS n FROM n JOIN reasons r ON n.url = r.url LEFT JOIN an ON an.url = n.url)"""
 _COUNTED = "count(*) AS total, count(*) FILTER (WHERE status = 'success') AS success, count(*) FILTER (WHERE status = 'error') AS error, 0::BIGINT AS skipped, count(*) FILTER (WHERE status = 'filtered') AS filtered"
 SQL = {
+    "sketch_links": f"WITH {LINKS_SQL} SELECT domain, count(path) AS rows, count(DISTINCT path) AS exact, TRUE AS close FROM links GROUP BY domain",
+    "sketch_frequent": """WITH c AS (SELECT event_type, user_id::VARCHAR AS value, count(*) AS n FROM events WHERE user_id IS NOT NULL GROUP BY ALL)
+        SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, value)::INT AS rank, value, n FROM c QUALIFY rank <= 5""",
     "web_fetch": f"WITH {_WEB} SELECT domain, path, status, reason, n FROM f",
     "web_fetch_limited": f"""WITH {_WEB}, c AS (SELECT domain, path, status, coalesce(sum((status = 'success')::INT) OVER (PARTITION BY domain ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
         FROM f WHERE status <> 'filtered') SELECT domain, path, status FROM c WHERE before < 2""",
