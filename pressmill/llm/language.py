@@ -14,7 +14,6 @@ rows; ties go to the language first by code point. A null lang is not learned fr
 as the empty string where folds are made. Repeated rows get equal answers. Extra columns are ignored.
 """
 
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -184,6 +183,8 @@ def detect_language(docs: DataFrame, sample: dict[str, list[str]]) -> DataFrame:
                 rate[known] = (least / np.maximum(np.diff(offsets), 1))[known]
             columns = [rows.column(k) for k in extra] + [rows.column("_original"), pa.array(pred, pa.string()), pa.array(score), pa.array(rate, pa.float64(), from_pandas=True)]
             yield pa.RecordBatch.from_arrays(columns, names=[*extra, "text", "lang_pred", "score", "bits_per_letter"])
+        # a worker waits for its next task with the model and nothing else
+        pa.default_memory_pool().release_unused()
 
     return rows_in.mapInArrow(run, schema)
 
