@@ -11,8 +11,12 @@ IGNORE_CASE = "(?iuUd)"
 SPACE = r"[\s\x1c-\x1f]"
 
 
+#: The characters of SPACE one by one.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?Ud)\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def words(text: Column) -> Column:
@@ -37,6 +41,37 @@ def any_of(patterns: list[str]) -> str:
     return "|".join(f"(?:{searched(p)})" for p in patterns)
 
 
+_TOKEN = re.compile(r"(\\.|\[(?:\\.|[^\]\\])*\]|\((?:\\.|[^()\\])*\)|.)([*+?]\??)?", re.DOTALL)
+#: What lower case leaves of letters that match i or s in any case, but are not told as these by lower case.
+ODD_CASES = ["\u0307", "\u0131", "\u017f"]
+
+
+def telling_parts(pattern: str) -> list[str] | None:
+    """Texts of which every match of a pattern, in lower case, has at least one: its longest run of plain characters, or those of a small class; None if it has neither."""
+    runs, classes, run = [], [], ""
+    for token, times in _TOKEN.findall(searched(pattern)):
+        if token == "|":
+            return None
+        plain = token[-1] if len(token) == 1 and token not in ".^$" or len(token) == 2 and not token[1].isalnum() else ""
+        if plain and times[:1] in ("", "+"):
+            run += plain.lower()
+        elif re.fullmatch(r"\[[^-^\\\]]+\]", token) and not times:
+            classes.append(list(token[1:-1].lower()))
+        if not plain or times:
+            runs, run = [*runs, run], ""
+    longest = max([*runs, run], key=len)
+    return [longest] if longest else classes[0] if classes else None
+
+
+def like_any(text: Column, lower: Column, patterns: list[str]) -> Column:
+    """Whether one of the patterns matches in any case. Only texts whose lower case has what a match needs are tried."""
+    found = F.regexp_like(text, F.lit(IGNORE_CASE + any_of(patterns)))
+    parts = [telling_parts(p) for p in patterns]
+    if None in parts:
+        return found
+    return contains_any(lower, list(dict.fromkeys([*(x for own in parts for x in own), *ODD_CASES]))) & found
+
+
 def contains_any(text: Column, parts: list[str]) -> Column:
     found = F.contains(text, F.lit(parts[0]))
     for part in parts[1:]:

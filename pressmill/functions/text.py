@@ -4,31 +4,40 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .rx import FLAGS, IGNORE_CASE, any_of, capitalize, contains_any, count_contained, let, lines, strip, word_count, words
+from .rx import FLAGS, IGNORE_CASE, capitalize, contains_any, count_contained, let, like_any, lines, strip, word_count, words
 
 
 def text_language(text: Column, domain: Column | None = None) -> Column:
     """By the domain's ending, else by telling words in the text, else English."""
-    lower, found = F.lower(text), F.lit("english")
-    for language, own in reversed(fixed.LANGUAGE_WORDS):
-        found = F.when(contains_any(lower, own), language).otherwise(found)
+
+    def by_words(lower):
+        found = F.lit("english")
+        for language, own in reversed(fixed.LANGUAGE_WORDS):
+            found = F.when(contains_any(lower, own), language).otherwise(found)
+        return found
+
+    found = let(F.lower(text), by_words)
     if domain is not None:
         for suffix, language in reversed(fixed.SUFFIX_LANGUAGE):
             found = F.when(F.endswith(domain, F.lit(suffix)), language).otherwise(found)
     return found
 
 
-def _by_language(line: Column, language: Column, patterns: dict[str, list[str]]) -> Column:
+def _by_language(line: Column, lower: Column, language: Column, patterns: dict[str, list[str]]) -> Column:
     found = F.lit(False)
     for name, own in patterns.items():
-        found = F.when(language == name, F.regexp_like(line, F.lit(IGNORE_CASE + any_of(own)))).otherwise(found)
+        found = F.when(language == name, like_any(line, lower, own)).otherwise(found)
     return found
 
 
+def _paywall_line(stripped: Column, language: Column) -> Column:
+    hits = F.transform(stripped, lambda x: let(F.lower(x), lambda lower: _by_language(x, lower, language, fixed.PAYWALL)))
+    return F.array_position(hits, True).cast("int")
+
+
 def paywall_line(text: Column, language: Column) -> Column:
     """Number of the first line with a paywall notice, from 1; 0 if there is none."""
-    hits = F.transform(lines(text), lambda x: _by_language(strip(x), language, fixed.PAYWALL))
-    return F.array_position(hits, True).cast("int")
+    return _paywall_line(F.transform(lines(text), strip), language)
 
 
 def finished(text: Column) -> Column:
@@ -42,13 +51,17 @@ def finished(text: Column) -> Column:
 
 def cleaned(text: Column, language: Column, stop_at_paywall: bool = True) -> Column:
     """The text up to its paywall without navigation, sharing, promotion, footers, links and notices."""
+
+    def upto_paywall(whole):
+        return let(_paywall_line(whole, language), lambda cut: F.when(cut > 0, F.slice(whole, F.lit(1), F.greatest(cut - 1, F.lit(0)))).otherwise(whole))
+
+    def dropped(line):
+        return let(F.lower(line), lambda lower: _by_language(line, lower, language, fixed.DROPPED_LINES) | like_any(line, lower, fixed.DROPPED_EVERYWHERE))
+
     whole = F.transform(lines(text), strip)
     if stop_at_paywall:
-        cut = paywall_line(text, language)
-        whole = F.when(cut > 0, F.slice(whole, F.lit(1), F.greatest(cut - 1, F.lit(0)))).otherwise(whole)
-    everywhere = IGNORE_CASE + any_of(fixed.DROPPED_EVERYWHERE)
-    kept = F.filter(whole, lambda x: (x == "") | ~(_by_language(x, language, fixed.DROPPED_LINES) | F.regexp_like(x, F.lit(everywhere))))
-    return finished(F.array_join(kept, "\n"))
+        whole = let(whole, upto_paywall)
+    return finished(F.array_join(F.filter(whole, lambda x: (x == "") | ~dropped(x)), "\n"))
 
 
 def cleaned_by_rules(text: Column, domain: Column, patterns: dict[str, list[str]]) -> Column:
@@ -59,7 +72,8 @@ def cleaned_by_rules(text: Column, domain: Column, patterns: dict[str, list[str]
         for pattern in own:
             changed = F.regexp_replace(changed, "(?iuUdm)" + pattern, "")
         out = F.when(domain == name, changed).otherwise(out)
-    return cleaned(out, text_language(out, domain))
+    # text and language are bound once: named for each line they would be made anew for each line
+    return let(out, lambda own: let(text_language(own, domain), lambda language: cleaned(own, language)))
 
 
 def filled_lines(text: Column) -> Column:
