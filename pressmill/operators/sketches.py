@@ -4,6 +4,9 @@ A month is worked out once, into one row per group with a HyperLogLog sketch of
 rows. Counts of distinct values err by about 1.04 / sqrt(2 ** lg_k) (one standard deviation); of values, a summary's
 counts are exact as long as a group has fewer distinct values than it tracks. The exact counts (ledger, pages.most_common) stay the default elsewhere.
 
+Where values are too many for a summary, a month can be kept as its counts of values instead (`monthly_values`), a row for each value: these add up
+over months, exactly, however many values there are.
+
 Edge cases: null values count in neither; a group of nulls only has an estimate of 0 and no values. A month that is written again replaces its
 rows and no others. An empty table gives none.
 """
@@ -45,3 +48,16 @@ def most_frequent(sketches: DataFrame, group: str, most: int = 10, tracked: int
     found = merged.select(group, F.inline(F.expr(f"approx_top_k_estimate(_s, {max(most, int(tracked) // 10)})")).alias("value", "n"))
     order = Window.partitionBy(group).orderBy(F.desc("n"), "value")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select(group, "rank", "value", "n")
+
+
+def monthly_values(rows: DataFrame, group: str, value: str, month: str = "month") -> DataFrame:
+    """month, group, value, n: how often a group has each value in a month; null values are left out. `add_months` stores these as well."""
+    shown = rows.select(F.col(month).alias("month"), F.col(group), F.col(value).cast("string").alias("value")).where("value is not null")
+    return shown.groupBy("month", group, "value").agg(F.count("*").alias("n"))
+
+
+def most_frequent_values(counts: DataFrame, group: str, most: int = 10) -> DataFrame:
+    """group, rank, value, n: the most frequent values over all months given, exactly; ties in order of the value."""
+    total = counts.groupBy(group, "value").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy(group).orderBy(F.desc("n"), "value")
+    return total.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select(group, "rank", "value", "n")

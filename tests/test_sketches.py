@@ -43,3 +43,14 @@ def test_most_frequent(spark):
     n = {r["domain"]: (r["rows"], r["n"]) for r in sketches.distinct_values(made, "domain").collect()}
     assert n == {"a": (16, 3), "b": (1, 1), "c": (0, 0)}
     assert sketches.monthly(table.limit(0), "domain", "path").count() == 0
+
+
+def test_more_values_than_a_summary_tracks(spark, tmp_path):
+    from pressmill.plans.run_queries import QUERIES, SQL
+
+    from .oracle import agree
+
+    rows = spark.range(90_000).union(spark.range(0, 90_000, 7)).union(spark.range(0, 90_000, 77)).select(F.col("id").alias("user_id"), F.lit("view").alias("event_type"), F.timestamp_seconds(F.col("id") * 20 + 1_704_067_200).alias("ts"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/made")
+    next(tmp_path.glob("made/*.parquet")).rename(tmp_path / "events.parquet")
+    agree(spark, str(tmp_path), QUERIES["sketch_frequent"], SQL["sketch_frequent"])
