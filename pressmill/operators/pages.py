@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as texts
 from ..functions import urls
-from ..functions.rx import contains_any, strip, word_count
+from ..functions.rx import contains_any, let, strip, word_count
 from ..html import article, candidates, clean, dom, sections
 from ..scratch import stored
 
@@ -94,9 +94,16 @@ def _page_language() -> Column:
 def _repeated() -> Column:
     """Short strings that stand in a page more than once, the most frequent first, then in the order of the page."""
     short = F.array_sort(F.transform(F.filter("strings", lambda s: F.char_length(s).between(5, 100)), lambda s, i: F.struct(s.alias("s"), i.alias("i"))))
-    starts = F.filter(F.transform(short, lambda x, i: F.struct(x["s"].alias("s"), x["i"].alias("first"), i.alias("at"), ((i == 0) | (F.get(short, i - 1)["s"] != x["s"])).alias("new"))), lambda x: x["new"])
-    counted = F.transform(starts, lambda x, i: F.struct((x["at"] - F.coalesce(F.get(starts, i + 1)["at"], F.size(short))).alias("minus"), x["first"].alias("first"), x["s"].alias("s")))
-    return F.transform(F.slice(F.array_sort(F.filter(counted, lambda c: c["minus"] < -1)), 1, candidates.MOST_REPEATED), lambda c: c["s"])
+
+    def starts(all_short):
+        each = F.transform(all_short, lambda x, i: F.struct(x["s"].alias("s"), x["i"].alias("first"), i.alias("at"), ((i == 0) | (F.get(all_short, i - 1)["s"] != x["s"])).alias("new")))
+        return let(F.filter(each, lambda x: x["new"]), lambda found: counted(found, F.size(all_short)))
+
+    def counted(found, n):
+        return F.transform(found, lambda x, i: F.struct((x["at"] - F.coalesce(F.get(found, i + 1)["at"], n)).alias("minus"), x["first"].alias("first"), x["s"].alias("s")))
+
+    # arrays are bound once: named inside a lambda they would be sorted anew for each string
+    return F.transform(F.slice(F.array_sort(F.filter(let(short, starts), lambda c: c["minus"] < -1)), 1, candidates.MOST_REPEATED), lambda c: c["s"])
 
 
 def analysed(pages: DataFrame) -> DataFrame:

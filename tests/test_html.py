@@ -95,3 +95,12 @@ def test_main_text_and_headers():
     text = article.with_headers("Main head\nThis line is content and ends here.\nThird one\nEnds.\nLooks like one\nAnd content follows here.", known)
     assert text == "# Main head\n===========\nThis line is content and ends here.\n\n### Third one\nEnds.\n\n## Looks like one\n-----------------\nAnd content follows here."
     assert article.paragraph_spaced("\n a \nb\n\nc") == "a\n\nb\n\n\nc"
+
+
+def test_selectors_by_an_index_of_the_page():
+    from pressmill.html import candidates
+
+    page = dom.parse('<div class="title lead"><h1 class="big-title">a</h1></div><article class="content Content"><h1 rel="author">b</h1><p class="author by-author">c</p></article><meta name="description" content="d"><main><h2 class="x">e</h2></main>')
+    found = dom.index(list(page.elements()))
+    for selector in [s for kind in candidates.KINDS.values() for s, _ in kind] + ["#none", "[rel]", ".content.Content", "div > h1".replace(" >", "")]:
+        assert dom.select_indexed(found, selector) == dom.select(page, selector)

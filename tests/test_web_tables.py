@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from pressmill.operators import runs
+from pressmill.operators import pages, runs
 from pressmill.scratch import scratch_dir
 from pressmill.sources import fetch as web
 
@@ -45,3 +45,10 @@ def test_counters_come_with_the_run(spark):
     assert evaluated.value == 6
     assert seen == {"total": 6, "success": 2, "error": 1, "skipped": 1, "filtered": 1} == runs.counters(spark.read.parquet(path)).first().asDict()
     assert runs.written(rows.where(F.lit(False)), path)["total"] == 0
+
+
+def test_repeated_texts_bind_their_arrays(spark):
+    rows = spark.createDataFrame([(1, "s", "<p>often here</p>" * 3 + "<p>twice</p><b>once only</b><p>twice</p><i>abc</i><i>abc</i>")], "page_id int, site string, html string")
+    found = pages.analysed(rows).select("repeated")
+    assert found._jdf.queryExecution().analyzed().toString().count("array_sort(transform(filter(strings") == 1
+    assert found.first()["repeated"] == ["often here", "twice"]
