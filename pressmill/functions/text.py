@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .rx import FLAGS, IGNORE_CASE, capitalize, contains_any, count_contained, let, like_any, lines, strip, word_count, words
+from .rx import FLAGS, IGNORE_CASE, ODD_CASES, capitalize, contains_any, count_contained, let, like_any, lines, strip, word_count, words
 
 
 def text_language(text: Column, domain: Column | None = None) -> Column:
@@ -119,8 +119,14 @@ def is_repetitive(text: Column) -> Column:
     return (total > 20) & (F.try_divide(unique_words(text), total) < 0.1)
 
 
-def _found(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _found(text: Column, pattern: str, held: Column | None = None) -> Column:
+    """What the pattern finds; a text that does not hold what a match needs is not tried."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return found if held is None else F.when(held | text.isNull(), found).otherwise(F.array().cast("array<string>"))
+
+
+#: One of these is in every company's name.
+COMPANY_FORMS = ["SA", "Inc", "Corp", "Ltd", "AG", "GmbH"]
 
 
 def _names(names: list[str]) -> str:
@@ -131,29 +137,36 @@ def persons(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.array(*(_found(text, FLAGS + p) for p in fixed.PERSONS)))))
 
 
-def locations(text: Column) -> Column:
-    found = F.flatten(F.array(*(_found(text, IGNORE_CASE + _names(names)) for names in fixed.LOCATIONS)))
+def locations(text: Column, lower: Column | None = None) -> Column:
+    lower = F.lower(text) if lower is None else lower
+    held = lambda names: contains_any(lower, [*(n.lower() for n in names), *ODD_CASES])
+    found = F.flatten(F.array(*(_found(text, IGNORE_CASE + _names(names), held(names)) for names in fixed.LOCATIONS)))
     return F.array_sort(F.array_distinct(F.transform(found, capitalize)))
 
 
 def organizations(text: Column) -> Column:
-    patterns = [*(_names(names) for names in fixed.ORGANIZATIONS), fixed.COMPANY]
-    return F.array_sort(F.array_distinct(F.flatten(F.array(*(_found(text, FLAGS + p) for p in patterns)))))
+    patterns = [*((_names(names), names) for names in fixed.ORGANIZATIONS), (fixed.COMPANY, COMPANY_FORMS)]
+    return F.array_sort(F.array_distinct(F.flatten(F.array(*(_found(text, FLAGS + p, contains_any(text, parts)) for p, parts in patterns)))))
 
 
-def entities(text: Column) -> Column:
-    return F.struct(persons(text).alias("persons"), locations(text).alias("locations"), organizations(text).alias("organizations"))
+# Functions below take the text in lower case, or its number of words, where a caller has it as a column: inside a condition an expression is made anew each time it is named.
 
 
-def sentiment(text: Column) -> Column:
-    lower = F.lower(text)
-    good, bad = count_contained(lower, fixed.POSITIVE), count_contained(lower, fixed.NEGATIVE)
-    return F.when(good > bad, "positive").when(bad > good, "negative").otherwise("neutral")
+def entities(text: Column, lower: Column | None = None) -> Column:
+    return F.struct(persons(text).alias("persons"), locations(text, lower).alias("locations"), organizations(text).alias("organizations"))
 
 
-def importance(text: Column, title: Column) -> Column:
+def sentiment(text: Column, lower: Column | None = None) -> Column:
+    lower = F.lower(text) if lower is None else lower
+    more = count_contained(lower, fixed.POSITIVE) - count_contained(lower, fixed.NEGATIVE)
+    # as a place in a list, the counts are named once
+    named = F.get(F.array(F.lit("negative"), F.lit("neutral"), F.lit("positive")), (F.signum(more) + 1).cast("int"))
+    return F.coalesce(named, F.lit("neutral"))
+
+
+def importance(text: Column, title: Column, lower: Column | None = None, total: Column | None = None) -> Column:
     """Score from 0 to 1, unrounded."""
-    lower, total = F.lower(text), word_count(text)
+    lower, total = F.lower(text) if lower is None else lower, word_count(text) if total is None else total
     score = F.lit(0.5) + F.when(total > 1000, 0.2).when(total > 500, 0.1).when(total < 100, -0.3).otherwise(0.0)
     score = score + F.least(count_contained(lower, fixed.IMPORTANT) * F.lit(0.05), F.lit(0.3))
     score = score + F.when(contains_any(lower, fixed.LOW_VALUE), -0.2).otherwise(0.0)
@@ -161,8 +174,8 @@ def importance(text: Column, title: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
 
 
-def geographic_scope(text: Column, n_locations: Column) -> Column:
-    lower = F.lower(text)
+def geographic_scope(text: Column, n_locations: Column, lower: Column | None = None) -> Column:
+    lower = F.lower(text) if lower is None else lower
     national = contains_any(lower, fixed.SCOPE_NATIONAL) & ~F.contains(lower, F.lit("international"))
     return (
         F.when(contains_any(lower, fixed.SCOPE_LOCAL), "local")
@@ -172,12 +185,13 @@ def geographic_scope(text: Column, n_locations: Column) -> Column:
     )
 
 
-def complexity(text: Column) -> Column:
+def complexity(text: Column, lower: Column | None = None) -> Column:
     """Mean words a full-stop segment over 20, and share of distinct words; their mean, 1 at most, unrounded."""
-    segments = F.regexp_count(text, F.lit(r"\.")) + 1
+    segments = F.char_length(text) - F.char_length(F.replace(text, F.lit("."), F.lit(""))) + 1
     # a word with full stops inside counts in each of its segments
     total = F.regexp_count(text, F.lit(r"(?U)[^\s\x1c-\x1f.]+"))
-    richness = F.coalesce(F.try_divide(unique_words(F.lower(text)), word_count(text)), F.lit(0.0))
+    # words are cut once: lower case makes no two words of one, nor one of two
+    richness = let(words(F.lower(text) if lower is None else lower), lambda own: F.coalesce(F.try_divide(F.size(F.array_distinct(own)), F.size(own)), F.lit(0.0)))
     return F.least(F.lit(1.0), (total / segments / 20 + richness) / 2)
 
 

@@ -24,22 +24,24 @@ def analysed(articles: DataFrame, fallback_type: Column | None = None) -> DataFr
         F.col("status") == "filtered", F.concat(F.lit("Content type: "), F.col("content_type"), F.lit(" (confidence: "), F.format_string("%.2f", confidence), F.lit(")"))
     )
     ok = F.col("status") == "success"
-    done = rows.withColumns({"reason": reason, "entities": F.when(ok, text.entities(content)), "content_type_confidence": confidence})
+    rows = rows.withColumns({"_lower": F.when(ok, F.lower(content)), "_total": F.when(ok, word_count(content))})
+    lower, total = F.col("_lower"), F.col("_total")
+    done = rows.withColumns({"reason": reason, "entities": F.when(ok, text.entities(content, lower)), "content_type_confidence": confidence})
     n_locations = F.size("entities.locations")
     added = {
         "summary": text.summary(F.substring(content, 1, 3000)),
         "entities": F.col("entities"),
-        "sentiment": text.sentiment(content),
-        "importance_score": F.round(text.importance(content, F.col("title")), 2),
+        "sentiment": text.sentiment(content, lower),
+        "importance_score": F.round(text.importance(content, F.col("title"), lower, total), 2),
         "categories": F.array(text.category(text.topic_label(text.topic(urls.part(F.col("url"), "path"))))),
         "content_type_confidence": F.col("content_type_confidence"),
         "language": F.lit("fr"),
-        "word_count": word_count(content),
-        "complexity_score": text.complexity(content),
-        "geographic_scope": text.geographic_scope(content, n_locations),
+        "word_count": total,
+        "complexity_score": text.complexity(content, lower),
+        "geographic_scope": text.geographic_scope(content, n_locations, lower),
         "extraction_confidence": F.lit(0.8),
     }
-    return done.withColumns({name: F.when(ok, value) for name, value in added.items()})
+    return done.withColumns({name: F.when(ok, value) for name, value in added.items()}).drop("_lower", "_total")
 
 
 def feed_rows(articles: DataFrame, feed: str, ties: str, size: int = fixed.FEED_SIZE, threshold: float = fixed.FEED_THRESHOLD, best_first: bool = False) -> DataFrame:

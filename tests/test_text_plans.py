@@ -6,6 +6,7 @@ import sys
 from pyspark.sql import functions as F
 
 from pressmill.functions import fixed, rx, text
+from pressmill.plans.text_queries import QUERIES
 
 
 def test_own_patterns_stand_once_in_the_plan(spark):
@@ -33,3 +34,19 @@ def test_lines_ruled_out_have_no_match(spark):
 def test_strip_takes_what_the_class_takes(spark):
     made = spark.range(1, 0x3100).select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c")).select("c", F.concat("c", F.lit("a"), "c", F.lit("b"), "c").alias("t"))
     assert made.where(rx.strip(F.col("t")) != F.regexp_replace("t", rf"(?Ud)\A{rx.SPACE}+|{rx.SPACE}+\z", "")).count() == 0
+
+
+def test_analysis_lowers_a_text_once(spark, small):
+    plan = QUERIES["article_enriched"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("lower(content#") <= 2
+
+
+def test_guards_of_names_keep_odd_letters(spark):
+    texts = ["PARIſ et parıs, İnde", "à NÎMES", "Foo GmbH", "Bar SARL et ONU", "rien", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    names = lambda lists, flags: [flags + text._names(n) for n in lists]
+    plain = lambda patterns: F.flatten(F.array(*(F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in patterns)))
+    want_places = F.array_sort(F.array_distinct(F.transform(plain(names(fixed.LOCATIONS, rx.IGNORE_CASE)), rx.capitalize)))
+    want_orgs = F.array_sort(F.array_distinct(plain([*names(fixed.ORGANIZATIONS, rx.FLAGS), rx.FLAGS + fixed.COMPANY])))
+    got = rows.select("id", text.locations(F.col("text")), text.organizations(F.col("text")), want_places, want_orgs).collect()
+    assert all(r[1] == r[3] and r[2] == r[4] for r in got) and sum(len(r[1] or []) for r in got) >= 2
