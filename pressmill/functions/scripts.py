@@ -6,7 +6,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .rx import strip
+from .rx import let, strip
 
 _SCRIPT = r"(?is)<script\b[^>]*>(.*?)</script\s*>"
 
@@ -70,4 +70,5 @@ def script_text(html: Column, path: str) -> Column:
         return F.when((F.schema_of_variant(got) == "STRING") & F.try_variant_get(whole, "$[1]", "variant").isNull(), got.cast("string"))
 
     texts = F.filter(F.transform(assigned_objects(html, variable), value), lambda t: t.isNotNull() & (t != ""))
-    return F.coalesce(tagless(unescaped(F.get(texts, F.lit(0)))), F.lit(""))
+    # bound once: unescaped names its text three times, and each time the page would be searched anew
+    return F.coalesce(let(F.get(texts, F.lit(0)), lambda t: tagless(unescaped(t))), F.lit(""))

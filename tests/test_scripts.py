@@ -54,3 +54,12 @@ def test_unescaped(spark):
     texts = ["no reference", "&lt;&amp;&eacute;&#8364;&#x20ac;&#X41;", "&amp;amp;", "&unknown; &; & &&amp", "&#0;&#55296;&#9999999;"]
     got = [r[0] for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(scripts.unescaped(F.col("t"))).collect()]
     assert got[:3] == [html.unescape(t) for t in texts[:3]] and got[3:] == ["&unknown; &; & &&amp", "&#0;&#55296;&#9999999;"]
+
+
+def test_a_page_is_searched_once_for_a_path(spark):
+    from pyspark.sql import functions as F
+
+    from pressmill.functions import scripts
+
+    plan = spark.range(1).select(F.col("id").cast("string").alias("html")).select(scripts.script_text(F.col("html"), "state.a.b"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(html#") == 1
