@@ -82,8 +82,12 @@ def filled_lines(text: Column) -> Column:
 
 def markdown_repaired(text: Column) -> Column:
     """Joins emphasis broken by line ends, drops empty emphasis, spaces out markers and blank lines."""
-    for pattern, to in fixed.MARKDOWN_REPAIRS:
-        text = F.regexp_replace(text, FLAGS + pattern, to)
+    def where_held(pattern, to, need):
+        held = lambda t: F.regexp_like(t, F.lit(need)) if need.startswith(r"\n[") else F.contains(t, F.lit(need))
+        return lambda t: F.when(held(t), F.regexp_replace(t, FLAGS + pattern, to)).otherwise(t)
+
+    for (pattern, to), need in zip(fixed.MARKDOWN_REPAIRS, fixed.REPAIRS_NEED):
+        text = F.regexp_replace(text, FLAGS + pattern, to) if need is None else let(text, where_held(pattern, to, need))
     return text
 
 
@@ -91,13 +95,14 @@ def paragraphs(text: Column) -> Column:
     """A blank line where a line ends a sentence and the next one begins another."""
 
     def spaced(all_lines):
-        def one(line, i):
-            here, after = strip(line), strip(F.coalesce(F.get(all_lines, i + 1), F.lit("")))
-            ends = F.regexp_like(here, F.lit(r"""[.!?"]\z"""))
-            starts = F.regexp_like(after, F.lit(r"""\A["\p{Lu}\p{Lt}]""")) & ~F.regexp_like(after, F.lit(r"\A(?:[#>\-*]|[123]\.)"))
-            return F.when(ends & starts, F.concat(line, F.lit("\n"))).otherwise(line)
-
-        return F.transform(all_lines, one)
+        return let(F.transform(all_lines, strip), lambda bare: F.transform(all_lines, lambda line, i: one(line, i, bare)))
+
+    def one(line, i, bare):
+        # only the ends of lines are looked at
+        ends = F.substring(F.get(bare, i), -1, 1).isin(".", "!", "?", '"')
+        start = F.substring(F.get(bare, i + 1), 1, 2)
+        starts = F.regexp_like(start, F.lit(r"""\A["\p{Lu}\p{Lt}]""")) & ~F.regexp_like(start, F.lit(r"\A(?:[#>\-*]|[123]\.)"))
+        return F.when(ends & starts, F.concat(line, F.lit("\n"))).otherwise(line)
 
     # lines are bound once: named inside the lambda they would be made anew for each line
     return F.array_join(let(lines(text), spaced), "\n")
