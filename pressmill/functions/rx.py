@@ -1,5 +1,6 @@
 """Text helpers that agree with Unicode-aware regular expressions and string methods, inside Spark's own functions."""
 
+import os
 import re
 
 from pyspark.sql import Column
@@ -63,13 +64,44 @@ def telling_parts(pattern: str) -> list[str] | None:
     return [longest] if longest else classes[0] if classes else None
 
 
-def like_any(text: Column, lower: Column, patterns: list[str]) -> Column:
-    """Whether one of the patterns matches in any case. Only texts whose lower case has what a match needs are tried."""
-    found = F.regexp_like(text, F.lit(IGNORE_CASE + any_of(patterns)))
-    parts = [telling_parts(p) for p in patterns]
-    if None in parts:
-        return found
-    return contains_any(lower, list(dict.fromkeys([*(x for own in parts for x in own), *ODD_CASES]))) & found
+def _guard(pattern: str) -> tuple[str, ...] | None:
+    """The telling parts of a pattern, or one behind ^ that a line must start with."""
+    own = telling_parts(pattern)
+    if own is None:
+        return None
+    return ("^" + own[0],) if len(own) == 1 and pattern[:1] == "^" and pattern[1:].lower().startswith(own[0]) else tuple(own)
+
+
+def guarded(patterns: list[str]) -> list[tuple[tuple[str, ...], list[str]]] | None:
+    """Patterns with what their matches need: those whose one part begins with the same five characters share that beginning. None if one has no telling part."""
+    groups: dict[tuple, list] = {}
+    for pattern in patterns:
+        own = _guard(pattern)
+        if own is None:
+            return None
+        shared = len(own) == 1 and own[0][0] != "^" and len(own[0]) > 5
+        groups.setdefault((own[0][:5],) if shared else own, []).append((own, pattern))
+    return [((os.path.commonprefix([own[0] for own, _ in each]),) if len(key) == 1 else key, [p for _, p in each]) for key, each in groups.items()]
+
+
+def has_odd_case(lower: Column) -> Column:
+    return contains_any(lower, ODD_CASES)
+
+
+def like_any(text: Column, lower: Column, patterns: list[str], odd: Column | None = None) -> Column:
+    """Whether one of the patterns matches in any case. Only texts whose lower case has what a match needs are tried, each pattern for what it needs itself.
+
+    odd: whether letters of ODD_CASES may be in the text, where a caller knows it of several lines.
+    """
+    like = lambda own: F.regexp_like(text, F.lit(IGNORE_CASE + (any_of(own) if len(own) > 1 else searched(own[0]))))
+    groups = guarded(patterns)
+    if groups is None:
+        return like(patterns)
+    found = (has_odd_case(lower) if odd is None else odd) & like(patterns)
+    for parts, own in groups:
+        held = F.startswith(lower, F.lit(parts[0][1:])) if parts[0][:1] == "^" and len(parts[0]) > 1 else contains_any(lower, list(parts))
+        found = found | (held & like(own))
+    return found
 
 
 def contains_any(text: Column, parts: list[str]) -> Column:

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .rx import FLAGS, IGNORE_CASE, ODD_CASES, capitalize, contains_any, count_contained, let, like_any, lines, strip, word_count, words
+from .rx import FLAGS, IGNORE_CASE, ODD_CASES, capitalize, contains_any, count_contained, has_odd_case, let, like_any, lines, strip, word_count, words
 
 
 def text_language(text: Column, domain: Column | None = None) -> Column:
@@ -23,15 +23,15 @@ def text_language(text: Column, domain: Column | None = None) -> Column:
     return found
 
 
-def _by_language(line: Column, lower: Column, language: Column, patterns: dict[str, list[str]]) -> Column:
+def _by_language(line: Column, lower: Column, language: Column, patterns: dict[str, list[str]], odd: Column | None = None) -> Column:
     found = F.lit(False)
     for name, own in patterns.items():
-        found = F.when(language == name, like_any(line, lower, own)).otherwise(found)
+        found = F.when(language == name, like_any(line, lower, own, odd)).otherwise(found)
     return found
 
 
-def _paywall_line(stripped: Column, language: Column) -> Column:
-    hits = F.transform(stripped, lambda x: let(F.lower(x), lambda lower: _by_language(x, lower, language, fixed.PAYWALL)))
+def _paywall_line(stripped: Column, language: Column, odd: Column | None = None) -> Column:
+    hits = F.transform(stripped, lambda x: let(F.lower(x), lambda lower: _by_language(x, lower, language, fixed.PAYWALL, odd)))
     return F.array_position(hits, True).cast("int")
 
 
@@ -43,8 +43,9 @@ def paywall_line(text: Column, language: Column) -> Column:
 def finished(text: Column) -> Column:
     """Runs of blank lines and spaces shortened; lines of one to three characters dropped."""
     text = F.regexp_replace(text, "\n{3,}", "\n\n")
-    text = F.regexp_replace(text, r"[ \t]+", " ")
-    text = F.regexp_replace(text, " +\n", "\n")
+    # a single space is what it would be replaced by
+    text = F.regexp_replace(text, r" [ \t]++|\t[ \t]*+", " ")
+    text = F.replace(text, F.lit(" \n"), F.lit("\n"))
     kept = F.filter(F.transform(lines(text), strip), lambda x: (F.char_length(x) > 3) | (x == ""))
     return strip(F.array_join(kept, "\n"))
 
@@ -52,16 +53,20 @@ def finished(text: Column) -> Column:
 def cleaned(text: Column, language: Column, stop_at_paywall: bool = True) -> Column:
     """The text up to its paywall without navigation, sharing, promotion, footers, links and notices."""
 
-    def upto_paywall(whole):
-        return let(_paywall_line(whole, language), lambda cut: F.when(cut > 0, F.slice(whole, F.lit(1), F.greatest(cut - 1, F.lit(0)))).otherwise(whole))
+    def kept_lines(odd):
+        def upto_paywall(whole):
+            return let(_paywall_line(whole, language, odd), lambda cut: F.when(cut > 0, F.slice(whole, F.lit(1), F.greatest(cut - 1, F.lit(0)))).otherwise(whole))
 
-    def dropped(line):
-        return let(F.lower(line), lambda lower: _by_language(line, lower, language, fixed.DROPPED_LINES) | like_any(line, lower, fixed.DROPPED_EVERYWHERE))
+        def dropped(line):
+            return let(F.lower(line), lambda lower: _by_language(line, lower, language, fixed.DROPPED_LINES, odd) | like_any(line, lower, fixed.DROPPED_EVERYWHERE, odd))
 
-    whole = F.transform(lines(text), strip)
-    if stop_at_paywall:
-        whole = let(whole, upto_paywall)
-    return finished(F.array_join(F.filter(whole, lambda x: (x == "") | ~dropped(x)), "\n"))
+        whole = F.transform(lines(text), strip)
+        if stop_at_paywall:
+            whole = let(whole, upto_paywall)
+        return F.filter(whole, lambda x: (x == "") | ~dropped(x))
+
+    # odd letters are looked for once a text, not once a line and list
+    return finished(F.array_join(let(F.coalesce(has_odd_case(F.lower(text)), F.lit(False)), kept_lines), "\n"))
 
 
 def cleaned_by_rules(text: Column, domain: Column, patterns: dict[str, list[str]]) -> Column:
