@@ -125,8 +125,7 @@ def unique_words(text: Column) -> Column:
 
 
 def is_repetitive(text: Column) -> Column:
-    total = word_count(text)
-    return (total > 20) & (F.try_divide(unique_words(text), total) < 0.1)
+    return let(words(text), lambda own: (F.size(own) > 20) & (F.try_divide(F.size(F.array_distinct(own)), F.size(own)) < 0.1))
 
 
 def _found(text: Column, pattern: str, held: Column | None = None) -> Column:

@@ -22,24 +22,26 @@ EXTRACTION = "cleaned_html string, extracted string, sections string, headers ma
 ROWS = 64
 
 
-def per_page(pages: DataFrame, make: Callable[..., tuple], inputs: list[str], added: str) -> DataFrame:
-    """pages with the columns that make(*inputs) gives for each row; rows stay in their partitions."""
+def per_page(pages: DataFrame, make: Callable[..., tuple], inputs: list[str], added: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """pages with the columns that make(*inputs) gives for each row, but without those that only it needs; rows stay in their partitions."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     new = T._parse_datatype_string(added)
-    keep = [c for c in pages.columns if c not in new.names]
+    keep = [c for c in pages.columns if c not in new.names and c not in without]
+    # a column that is kept is sent once
+    sent = [c if c in keep else f"_in{i}" for i, c in enumerate(inputs)]
     kinds = to_arrow_schema(new)
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
-                rows = [make(*x) for x in zip(*(part.column(f"_in{i}").to_pylist() for i in range(len(inputs))))]
+                rows = [make(*x) for x in zip(*(part.column(c).to_pylist() for c in sent))]
                 made = [pa.array(list(column), kinds.field(k).type) for k, column in enumerate(zip(*rows))] if rows else [pa.array([], f.type) for f in kinds]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *made], names=[*keep, *new.names])
 
     schema = T.StructType([*(pages.schema[c] for c in keep), *new.fields])
-    return pages.select(*keep, *(F.col(c).alias(f"_in{i}") for i, c in enumerate(inputs))).mapInArrow(run, schema)
+    return pages.select(*keep, *(F.col(c).alias(s) for c, s in zip(inputs, sent) if s not in keep)).mapInArrow(run, schema)
 
 
 def rewritten(pages: DataFrame, how: str) -> DataFrame:
@@ -156,8 +158,8 @@ def validated(analysis: DataFrame, site: str) -> DataFrame:
     )
 
 
-def _meta(root, *selectors):
-    return sections.first_text(root, list(selectors)) or None
+def _meta(root, index, *selectors):
+    return sections.first_text(root, list(selectors), index) or None
 
 
 def _extraction(method: str, rules: dict):
@@ -167,9 +169,10 @@ def _extraction(method: str, rules: dict):
             # one tree for all: sections, metadata and headers are read before it is cleaned
             root = dom.parse(formatted)
             own = sections.sections(root, rules.get(domain) or {}, url_title or "")
-            title = _meta(root, 'meta[property="og:title"]', "title", "h1")
-            author = _meta(root, 'meta[name="author"]', ".author", ".byline", '[rel="author"]')
-            date = _meta(root, 'meta[property="article:published_time"]', 'meta[name="date"]')
+            index = dom.index(list(root.elements()))
+            title = _meta(root, index, 'meta[property="og:title"]', "title", "h1")
+            author = _meta(root, index, 'meta[name="author"]', ".author", ".byline", '[rel="author"]')
+            date = _meta(root, index, 'meta[property="article:published_time"]', 'meta[name="date"]')
             headers = article.headers_in(root)
             cleaned = clean.cleaned(root) if method == "dense" else clean.lightly_cleaned(root)
             found = article.paragraph_spaced(article.main_text_of(root)) if method == "dense" else None
@@ -186,32 +189,40 @@ def _with_dense_runs(rows: DataFrame) -> DataFrame:
 
     numbered = stored(rows.drop("extracted").withColumn("_row", F.monotonically_increasing_id()))
     strings = elements.string_rows(elements.parsed(numbered, "_row", "cleaned_html"), "_row")
-    return numbered.join(blocks.main_texts(strings, "_row").select("_row", F.col("text").alias("extracted")), "_row", "left").drop("_row")
-
-
-def extracted(pages: DataFrame, rules: dict | None = None, method: str = "dense", now: Column | None = None) -> DataFrame:
-    """Articles of pages (domain, url, html): markdown and metadata, or skip_type and reason.
-
-    method: `dense` cleans strictly and takes the heaviest element; `light` leaves more of the page and takes the best run of its blocks. rules: the rules of each domain, a small
-    table in hand. The page passes the gates in order; one that fails keeps no markdown.
-    """
-    titled = pages.withColumn("_title", urls.url_title(F.col("url"), F.col("domain")))
-    rows = per_page(titled, _extraction(method, rules or {}), ["html", "domain", "_title"], EXTRACTION).drop("_title")
-    rows = rows if method == "dense" else _with_dense_runs(rows)
-    raw, cut, got = F.char_length(strip(F.col("html"))), F.char_length(strip(F.col("cleaned_html"))), strip(F.coalesce("extracted", F.lit("")))
+    return numbered.drop("cleaned_html").join(blocks.main_texts(strings, "_row").select("_row", F.col("text").alias("extracted")), "_row", "left").drop("_row")
+
+
+def gated(pages: DataFrame, rules: dict | None = None, method: str = "dense") -> DataFrame:
+    """Pages (domain, url, html) with what is extracted of each, and skip_type and reason of the first gate that stops it; without html."""
+    # pages and what is left of them are measured where they are made, so that no later step carries them
+    titled = pages.withColumns({"_title": urls.url_title(F.col("url"), F.col("domain")), "_raw": F.char_length(strip(F.col("html"))), "_chars": F.char_length("html")})
+    rows = per_page(titled, _extraction(method, rules or {}), ["html", "domain", "_title"], EXTRACTION, without=("html", "_title"))
+    rows = rows.withColumns({"_cut": F.char_length(strip(F.col("cleaned_html"))), "_cut_chars": F.char_length("cleaned_html")})
+    rows = rows.drop("cleaned_html") if method == "dense" else _with_dense_runs(rows)
+    rows = rows.withColumn("_got", strip(F.coalesce("extracted", F.lit(""))))
+    raw, cut, got = F.col("_raw"), F.col("_cut"), F.col("_got")
     least, name = (100, "cleaned_html_too_small") if method == "dense" else (500, "light_cleaned_html_too_small")
     ratio = F.try_divide(texts.unique_words(got), word_count(got))
     tests = [
-        (F.coalesce(raw, F.lit(0)) < 200, "html_too_small", F.format_string("HTML file too small (%d chars)", F.coalesce(F.char_length("html"), F.lit(0)))),
-        (cut < least, name, F.format_string("HTML cleaning left too little content (%d chars)", F.char_length("cleaned_html"))),
+        (F.coalesce(raw, F.lit(0)) < 200, "html_too_small", F.format_string("HTML file too small (%d chars)", F.coalesce("_chars", F.lit(0)))),
+        (cut < least, name, F.format_string("HTML cleaning left too little content (%d chars)", F.col("_cut_chars"))),
         (got == "", "extraction_failed_no_text", F.lit("Extraction returned no text")),
         (F.char_length(got) < 100, "extracted_text_too_short", F.format_string("Extracted text too short (%d chars)", F.char_length(got))),
         (texts.is_repetitive(got), "repetitive_content", F.format_string("Extracted text appears repetitive (unique word ratio: %.2f%%)", ratio * 100)),
     ]
     verdict = F.coalesce(*(F.when(hit, F.struct(F.lit(kind).alias("skip_type"), reason.alias("reason"))) for hit, kind, reason in tests))
-    gated = rows.withColumn("_verdict", verdict).withColumns({"skip_type": F.col("_verdict.skip_type"), "reason": F.col("_verdict.reason")}).drop("_verdict")
-    spaced = gated.withColumn("_text", F.when(F.col("skip_type").isNull(), texts.paragraphs(texts.markdown_repaired(F.col("extracted")))))
-    headed = per_page(spaced, lambda t, known: (article.with_headers(t, dict(known or {})) if t is not None else None,), ["_text", "headers"], "_text string")
+    found = rows.withColumn("_verdict", verdict).withColumns({"skip_type": F.col("_verdict.skip_type"), "reason": F.col("_verdict.reason")})
+    return found.drop("_verdict", "_raw", "_chars", "_cut", "_cut_chars", "_got")
+
+
+def extracted(pages: DataFrame, rules: dict | None = None, method: str = "dense", now: Column | None = None) -> DataFrame:
+    """Articles of pages (domain, url, html): markdown and metadata, or skip_type and reason.
+
+    method: `dense` cleans strictly and takes the heaviest element; `light` leaves more of the page and takes the best run of its blocks. rules: the rules of each domain, a small
+    table in hand. The page passes the gates in order; one that fails keeps no markdown.
+    """
+    spaced = gated(pages, rules, method).withColumn("_text", F.when(F.col("skip_type").isNull(), texts.paragraphs(texts.markdown_repaired(F.col("extracted"))))).drop("extracted")
+    headed = per_page(spaced, lambda t, known: (article.with_headers(t, dict(known or {})) if t is not None else None,), ["_text", "headers"], "_text string", without=("headers",))
     # sections stand in front unless the text has most of their words already
     front = (F.col("sections") != "") & ~F.coalesce(texts.overlap(F.col("sections"), F.col("_text")) >= 0.8, F.lit(False))
     whole = F.when(front, F.concat("sections", F.lit("\n\n"), "_text")).otherwise(F.col("_text"))
@@ -222,4 +233,4 @@ def extracted(pages: DataFrame, rules: dict | None = None, method: str = "dense"
     out = headed.withColumn("markdown", F.when(F.col("skip_type").isNull(), markdown))
     return out.withColumns(
         {"content_length": F.char_length("markdown"), "extraction_method": F.lit(method), "extracted_at": F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), "custom_sections_found": F.col("sections") != ""}
-    ).drop("_text", "extracted", "headers", "html", "cleaned_html")
+    ).drop("_text")

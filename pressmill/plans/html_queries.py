@@ -103,9 +103,12 @@ def page_titles_regex(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.btrim(F.regexp_replace(title, r"<[^>]*>", "")).alias("title"))
 
 
+def _with_domain(spark, sf_dir):
+    return _pages(spark, sf_dir).withColumn("domain", urls.part(F.col("url"), "netloc"))
+
+
 def _articles(spark, sf_dir, method="dense"):
-    found = _pages(spark, sf_dir).withColumn("domain", urls.part(F.col("url"), "netloc"))
-    return pages.extracted(found, method=method, now=F.lit("2024-01-31 12:00:00").cast("timestamp"))
+    return pages.extracted(_with_domain(spark, sf_dir), method=method, now=F.lit("2024-01-31 12:00:00").cast("timestamp"))
 
 
 def extract_articles(spark, sf_dir):
@@ -117,7 +120,8 @@ def extract_articles_light(spark, sf_dir):
 
 
 def extract_gates(spark, sf_dir):
-    return _articles(spark, sf_dir).groupBy(F.coalesce("skip_type", F.lit("success")).alias("outcome")).agg(F.count("*").alias("n"))
+    """Outcomes of all pages; no text is formatted for them."""
+    return pages.gated(_with_domain(spark, sf_dir)).groupBy(F.coalesce("skip_type", F.lit("success")).alias("outcome")).agg(F.count("*").alias("n"))
 
 
 QUERIES = {f"html_{name}": _rewritten(how) for name, how in (("strip", "strip"), ("clean", "clean"), ("light_clean", "light"), ("markdown", "marked"))} | {
