@@ -189,7 +189,9 @@ def _with_dense_runs(rows: DataFrame) -> DataFrame:
 
     numbered = stored(rows.drop("extracted").withColumn("_row", F.monotonically_increasing_id()))
     strings = elements.string_rows(elements.parsed(numbered, "_row", "cleaned_html"), "_row")
-    return numbered.drop("cleaned_html").join(blocks.main_texts(strings, "_row").select("_row", F.col("text").alias("extracted")), "_row", "left").drop("_row")
+    # Spark cannot tell how long texts from a task are, and would send all of them through the driver
+    found = blocks.main_texts(strings, "_row").select("_row", F.col("text").alias("extracted")).hint("merge")
+    return numbered.drop("cleaned_html").join(found, "_row", "left").drop("_row")
 
 
 def gated(pages: DataFrame, rules: dict | None = None, method: str = "dense") -> DataFrame:

@@ -32,3 +32,13 @@ def test_gates_format_no_text(spark, small):
     assert gates.count("MapInArrow") == 1 and whole.count("MapInArrow") == 2
     # html enters the first step and leaves none
     assert not any("html#" in line.split("), [", 1)[-1].replace("cleaned_html#", "") for line in (gates + whole).splitlines() if "MapInArrow" in line)
+
+
+def test_no_text_goes_through_the_driver(spark, small):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        out = QUERIES["extract_articles_light"](spark, small)
+        assert out.count() == 50 and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
